@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
-_WHOLE = (T.ShortType, T.IntegerType, T.LongType)
-
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -18,7 +16,10 @@ def typed(raw: Column, field: T.StructField) -> Column:
     raw = raw.cast("string")
     if isinstance(field.dataType, T.StringType):
         return raw
-    if isinstance(field.dataType, _WHOLE):
+    if isinstance(field.dataType, T.LongType):  # a double holds no more than 53 bits
+        exact = F.nullif(raw, F.lit("NaN")).try_cast("decimal(38,18)")
+        return F.bround(exact, 0).try_cast("bigint")
+    if isinstance(field.dataType, T.IntegralType):
         return F.rint(F.nullif(raw, F.lit("NaN")).try_cast("double")).try_cast(field.dataType)
     if isinstance(field.dataType, T.DecimalType):
         return F.nullif(raw, F.lit("NaN")).try_cast(field.dataType)

@@ -1,8 +1,7 @@
 """Aggregate expressions with exact, order-independent results.
 
-Sums run over integers (a DECIMAL is summed as its unscaled units), so the result does not depend
-on how rows are partitioned, the hash-aggregation buffer stays a primitive long, and no DECIMAL
-sum can overflow before 9.2e18 units. Only the final division is done in doubles.
+Sums run over whole numbers or decimals, so the result does not depend on how rows are
+partitioned. Only the final division is done in doubles.
 """
 
 from __future__ import annotations
@@ -34,9 +33,13 @@ def fixed(value: Column, precision: int, scale: int) -> Column:
 
 
 def mean(column: Column, precision: int, places: int, scale: int = 0) -> Column:
-    """Mean of the non-NULL values; NULL for an all-NULL group. ``scale``: the column's own."""
-    total = F.sum(units(column, scale)).cast("double")
-    return fixed(divide(total / 10**scale if scale else total, F.count(column)), precision, places)
+    """Mean of the non-NULL values; NULL for an all-NULL group. ``scale`` is the column's own.
+
+    A DECIMAL of at most 8 digits is summed as DECIMAL(8, scale): Spark sums that as plain longs,
+    and 10**14 rows fit.
+    """
+    summed = column.cast(T.DecimalType(8, scale)) if scale else column
+    return fixed(divide(F.sum(summed), F.count(column)), precision, places)
 
 
 def share_of_rows(condition: Column, places: int = 4) -> Column:

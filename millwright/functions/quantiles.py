@@ -24,11 +24,18 @@ def slice_bits(data_type: T.DataType) -> int:
 
 
 def histogram(rows: DataFrame, keys: list[str], value: str, scale: int = 0) -> DataFrame:
-    """keys, units, n for the non-NULL values; ``units`` is the value in 10**-scale."""
+    """keys, units, n for the non-NULL values; ``units`` is the value in 10**-scale.
+
+    ``neighbours`` reads the histogram twice. The filters on the keys and the ``coalesce``, which
+    only tells Spark that the value is never NULL, keep its later join from adding a filter of its
+    own to one of the two readings: they stay equal and share one scan and one shuffle.
+    """
+    present = F.col(value).isNotNull()
+    for key in keys:
+        present = present & F.col(key).isNotNull()
+    known = F.coalesce(units(F.col(value), scale), F.lit(0))
     return (
-        rows.where(F.col(value).isNotNull())
-        .groupBy(*keys, units(F.col(value), scale).alias("units"))
-        .agg(F.count("*").alias("n"))
+        rows.where(present).groupBy(*keys, known.alias("units")).agg(F.count("*").alias("n"))
     )
 
 
@@ -39,7 +46,7 @@ def neighbours(
     side of position p * (total - 1) in sorted order and the fraction ``part_i`` between them.
 
     ``counts`` has keys, units and n; ``bits`` is a number or the name of a column that depends on
-    the keys only. Keys must not be NULL.
+    the keys only. Keys are not NULL.
     """
     sliced = counts.withColumn("slice", F.expr(f"shiftright(units, {bits})"))
     group = W.partitionBy(*keys)

@@ -36,30 +36,33 @@ def validate(text_rows: DataFrame, contract: T.StructType) -> DataFrame:
     Reasons are corrupt, missing:<column>, type:<column> and length:<column>. Other columns of
     the input (message position, payload) are kept.
     """
-    reasons: list[Column] = []
-
-    def rule(broken: Column, reason: str) -> None:
-        reasons.append(F.when(broken, F.lit(reason)))
+    names = set(contract.names)
+    kept = [c for c in text_rows.columns if c not in names and c != CORRUPT]
+    corrupt = F.col(CORRUPT).isNotNull() if CORRUPT in text_rows.columns else F.lit(False)
+    # Typed next to its text, so that each value is converted once for the rules and the result.
+    both = text_rows.select(
+        *kept,
+        corrupt.alias("is_corrupt"),
+        *[F.col(f.name).alias(f"{f.name}__text") for f in contract.fields],
+        *[typed(F.col(f.name), f).alias(f.name) for f in contract.fields],
+    )
 
-    corrupt = F.lit(False)
-    if CORRUPT in text_rows.columns:
-        corrupt = F.col(CORRUPT).isNotNull()
-        rule(corrupt, "corrupt")
+    reasons = [F.when(F.col("is_corrupt"), F.lit("corrupt"))]
     for field in contract.fields:
-        raw = F.col(field.name)
+        text, value = F.col(f"{field.name}__text"), F.col(field.name)
         if not field.nullable:
-            rule(~corrupt & raw.isNull(), f"missing:{field.name}")
+            missing = ~F.col("is_corrupt") & text.isNull()
+            reasons.append(F.when(missing, F.lit(f"missing:{field.name}")))
         if not isinstance(field.dataType, T.StringType):
-            absent = raw.isNull() | (raw == "NaN")
-            rule(~absent & typed(raw, field).isNull(), f"type:{field.name}")
+            unreadable = value.isNull() & text.isNotNull() & (text != "NaN")
+            reasons.append(F.when(unreadable, F.lit(f"type:{field.name}")))
         if "max_length" in field.metadata:
-            rule(F.length(raw) > field.metadata["max_length"], f"length:{field.name}")
+            too_long = F.length(text) > field.metadata["max_length"]
+            reasons.append(F.when(too_long, F.lit(f"length:{field.name}")))
 
-    names = set(contract.names)
-    kept = [c for c in text_rows.columns if c not in names and c != CORRUPT]
-    return text_rows.select(
+    return both.select(
         *kept,
-        *[typed(F.col(f.name), f).alias(f.name) for f in contract.fields],
+        *contract.names,
         F.array_compact(F.array(*reasons)).alias("reasons"),
     )
 
@@ -160,12 +163,14 @@ def mad_profile(rows: DataFrame, key: str, value: str) -> DataFrame:
     data_type = rows.schema[value].dataType
     bits = slice_bits(data_type)
     counts = histogram(rows, [key], value, scale_of(data_type))
+    never_null = F.lit(0)  # see ``histogram``: keeps both readings of the deviations equal
     medians = neighbours(counts, [key], [0.5], bits).select(
-        key, (F.col("low_0") + F.col("high_0")).alias("median_2")
+        key, F.coalesce(F.col("low_0") + F.col("high_0"), never_null).alias("median_2")
     )
+    distance = F.abs(2 * F.col("units") - F.col("median_2"))
     deviations = (
         counts.join(medians, key)
-        .groupBy(key, "median_2", F.abs(2 * F.col("units") - F.col("median_2")).alias("units"))
+        .groupBy(key, "median_2", F.coalesce(distance, never_null).alias("units"))
         .agg(F.sum("n").alias("n"))
     )
     return neighbours(deviations, [key, "median_2"], [0.5], bits + 1).select(

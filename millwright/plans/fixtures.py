@@ -14,7 +14,7 @@ from millwright.session import use_utc
 _LOGISTICS = """
     cast(conv(substring(md5(concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)), 1, 15),
         16, 10) as bigint) as event_id,
-    l_shipdate + make_dt_interval(0,0,0,(l_orderkey*7919 + l_linenumber*3607) % 86400)
+    l_shipdate + interval '1' second * ((l_orderkey*7919 + l_linenumber*3607) % 86400)
         as event_timestamp,
     concat('ASSET-', cast(l_suppkey as string)) as asset_id,
     cast(cast(l_suppkey*37 % 18000 as double)/100 - 90 as decimal(9,4)) as latitude,
@@ -95,7 +95,7 @@ _WIRE = """
     traffic_status,
     case when event_id % 73 = 0 then 'soon' else cast(waiting_time_min as string) end
         as waiting_time_min,
-    concat(cast(user_transaction_amount as string), '.5') as user_transaction_amount,
+    cast(user_transaction_amount as string) || '.5' as user_transaction_amount,
     cast(user_purchase_frequency as string) as user_purchase_frequency,
     logistics_delay_reason,
     cast(asset_utilization_pct as string) as asset_utilization_pct,
@@ -186,7 +186,6 @@ def _duck(columns: str) -> str:
     return (
         columns.replace("conv(substring(", "concat('0x', substring(")
         .replace("1, 15),\n        16, 10)", "1, 15))")
-        .replace("make_dt_interval(0,0,0,", "to_seconds(")
         .replace("make_ym_interval(0,", "to_months(")
         .replace("get_json_object(props,'$.k')", "json_extract_string(props,'$.k')")
         .replace("DAYTEXT", "strftime(ts, '%Y-%m-%d %H:%M:%S')")
