@@ -21,20 +21,28 @@ def row_power(axes=AXES) -> Column:
     return total
 
 
-def logistics_features(events: DataFrame) -> DataFrame:
-    """Per (quarter, asset). An event whose delay flag is unknown still counts as an event."""
+def _logistics_measures() -> dict[str, Column]:
+    return {
+        "event_count": F.count("*"),
+        "delay_rate": share_of_rows(F.col("logistics_delay")),
+        "avg_waiting_time_min": mean(F.col("waiting_time_min"), 8, 2),
+        "avg_inventory_level": mean(F.col("inventory_level"), 10, 2),
+        "avg_asset_utilization_pct": mean(F.col("asset_utilization_pct"), 5, 2, scale=2),
+        "avg_temperature_c": mean(F.col("temperature_c"), 6, 2, scale=2),
+        "avg_humidity_pct": mean(F.col("humidity_pct"), 6, 2, scale=2),
+        "total_transaction_amount": F.sum("user_transaction_amount"),
+    }
+
+
+def logistics_features(events: DataFrame, only: tuple[str, ...] = ()) -> DataFrame:
+    """Per (quarter, asset). An event whose delay flag is unknown still counts as an event.
+
+    ``only`` names the features to compute; ``events`` then needs no other columns.
+    """
+    measures = _logistics_measures()
     return events.groupBy(
         quarter_start(F.col("event_timestamp")).alias("quarter_start"), "asset_id"
-    ).agg(
-        F.count("*").alias("event_count"),
-        share_of_rows(F.col("logistics_delay")).alias("delay_rate"),
-        mean(F.col("waiting_time_min"), 8, 2).alias("avg_waiting_time_min"),
-        mean(F.col("inventory_level"), 10, 2).alias("avg_inventory_level"),
-        mean(F.col("asset_utilization_pct"), 5, 2, scale=2).alias("avg_asset_utilization_pct"),
-        mean(F.col("temperature_c"), 6, 2, scale=2).alias("avg_temperature_c"),
-        mean(F.col("humidity_pct"), 6, 2, scale=2).alias("avg_humidity_pct"),
-        F.sum("user_transaction_amount").alias("total_transaction_amount"),
-    )
+    ).agg(*[measures[name].alias(name) for name in only or measures])
 
 
 def hrss_features(readings: DataFrame) -> DataFrame:

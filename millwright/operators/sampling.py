@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 _HASH_RANGE = 2**32
 
@@ -57,6 +57,8 @@ def stratified_sample(
     class shows which slices are taken whole; only the one slice per class where the quota ends is
     ranked. ``classes`` are boolean flags, so the slice table is bounded (4 classes x 65,536).
     """
+    if any(not isinstance(rows.schema[c].dataType, T.BooleanType) for c in classes):
+        raise ValueError("classes must be boolean flags")
     hashed = rows.withColumn("digest", digest(row_id, seed)).withColumn(
         "slice", _leading_hex(F.col("digest"), 4)
     )

@@ -116,25 +116,39 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def logistics_from(spark: SparkSession, lineitem: DataFrame, part: DataFrame) -> DataFrame:
-    """``part`` is joined without a hint: its size decides the strategy."""
-    joined = lineitem.join(part.select("p_partkey", "p_size", "p_retailprice"),
-                           F.col("l_partkey") == F.col("p_partkey"))
-    view = _select(spark, _LOGISTICS, joined, "source")
-    return view.withColumn("event_timestamp", F.col("event_timestamp").cast("timestamp"))
-
-
 def logistics_events(
-    spark: SparkSession, sf_dir: str, start: str | None = None, end: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    columns: list[str] | None = None,
+    start: str | None = None,
+    end: str | None = None,
 ) -> DataFrame:
-    """``start`` and ``end`` (dates) bound the scan where the caller filters on event time: an
-    event falls on its ship date, so the bounds reach the file's statistics."""
+    """All columns, or those named. An event exists whether or not its part is known, so where no
+    column comes from ``part`` the outer join on its key could change nothing and is left out.
+
+    ``start`` and ``end`` (dates) bound the scan where the caller filters on event time: an event
+    falls on its ship date, so the bounds reach the file's statistics.
+    """
     lineitem = _table(spark, sf_dir, "lineitem")
     if start:
         lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
     if end:
         lineitem = lineitem.where(F.col("l_shipdate") <= F.lit(end).cast("timestamp_ntz"))
-    return logistics_from(spark, lineitem, _table(spark, sf_dir, "part"))
+    if columns is None or _FROM_PART & set(columns):
+        part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+        # No hint: the size of ``part`` decides the strategy.
+        source = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    else:
+        source = lineitem.withColumns({
+            "p_size": F.lit(None).cast("int"), "p_retailprice": F.lit(None).cast("double"),
+        })
+    view = _select(spark, _LOGISTICS, source, "source").withColumn(
+        "event_timestamp", F.col("event_timestamp").cast("timestamp")
+    )
+    return view.select(*columns) if columns else view
+
+
+_FROM_PART = {"inventory_level", "demand_forecast"}
 
 
 def hrss_from(spark: SparkSession, events: DataFrame) -> DataFrame:
@@ -195,7 +209,7 @@ def _duck(columns: str) -> str:
 
 def check_views() -> dict[str, str]:
     """The same views as named subqueries for the check SQL."""
-    logistics = f"select {_duck(_LOGISTICS)} from lineitem join part on l_partkey = p_partkey"
+    logistics = f"select {_duck(_LOGISTICS)} from lineitem left join part on l_partkey = p_partkey"
     return {
         "logistics_events": logistics,
         "hrss_telemetry": f"select {_duck(_HRSS)} from events",

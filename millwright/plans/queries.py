@@ -50,6 +50,9 @@ LOGISTICS_COLUMNS = [
 HRSS_COLUMNS = [
     f.name for f in c.HRSS_TELEMETRY.fields if f.name not in ("reading_id", "ingested_at")
 ]
+ROLLING_COLUMNS = ["event_id", "asset_id", "event_timestamp", "waiting_time_min", "logistics_delay"]
+KEY_COLUMNS = ["asset_id", "event_timestamp", "logistics_delay"]
+AMOUNT_COLUMNS = ["event_id", "asset_id", "user_transaction_amount"]
 QUANTILE_COLUMNS = ["cycle_elapsed_sec", "label"] + [f"{axis}_power_w" for axis in c.AXES]
 
 _REGISTRY: dict[str, Query] = {}
@@ -109,18 +112,21 @@ def class_rollup(spark, sf_dir):
 
 @query
 def rolling_asset_stats(spark, sf_dir):
-    return rolling.rolling_asset_stats(fx.logistics_events(spark, sf_dir))
+    return rolling.rolling_asset_stats(fx.logistics_events(spark, sf_dir, ROLLING_COLUMNS))
 
 
 @query
 def rolling_daily_stats(spark, sf_dir):
-    return rolling.rolling_daily_stats(fx.logistics_events(spark, sf_dir))
+    return rolling.rolling_daily_stats(fx.logistics_events(spark, sf_dir, ROLLING_COLUMNS))
 
 
 @query
 def quarter_over_quarter(spark, sf_dir):
     return features.quarter_over_quarter(
-        features.logistics_features(fx.logistics_events(spark, sf_dir))
+        features.logistics_features(
+            fx.logistics_events(spark, sf_dir, ROLLING_COLUMNS),
+            only=("event_count", "delay_rate", "avg_waiting_time_min"),
+        )
     )
 
 
@@ -149,7 +155,7 @@ def typed_events(spark, sf_dir):
 @query
 def iso_timestamps(spark, sf_dir):
     text = iso_text(F.col("event_timestamp"))
-    return fx.logistics_events(spark, sf_dir).select(
+    return fx.logistics_events(spark, sf_dir, ["event_id", "event_timestamp"]).select(
         "event_id", text.alias("iso"), iso_parse(text).alias("parsed")
     )
 
@@ -191,6 +197,7 @@ def rint_values(spark, sf_dir):
 
 @query
 def to_json_rows(spark, sf_dir):
+    # Without the decimals, which the check engine writes with another number of digits.
     whole = T.StructType([
         f for f in c.LOGISTICS_EVENTS.fields if not isinstance(f.dataType, T.DecimalType)
     ])
@@ -226,7 +233,9 @@ def profile_kinds(spark, sf_dir):
 
 @query
 def profile_categories(spark, sf_dir):
-    return profile.category_frequencies(fx.logistics_events(spark, sf_dir), CATEGORICAL)
+    return profile.category_frequencies(
+        fx.logistics_events(spark, sf_dir, CATEGORICAL), CATEGORICAL
+    )
 
 
 @query
@@ -242,19 +251,23 @@ def profile_quantiles(spark, sf_dir):
 @query
 def median_by_group(spark, sf_dir):
     return profile.median_by_group(
-        fx.logistics_events(spark, sf_dir), "asset_id", "user_transaction_amount"
+        fx.logistics_events(spark, sf_dir, AMOUNT_COLUMNS), "asset_id", "user_transaction_amount"
     )
 
 
 @query
 def hour_profile(spark, sf_dir):
-    return profile.hour_profile(fx.logistics_events(spark, sf_dir), "event_timestamp")
+    return profile.hour_profile(
+        fx.logistics_events(spark, sf_dir, ["event_timestamp"]), "event_timestamp"
+    )
 
 
 @query
 def arrival_rate(spark, sf_dir):
     return profile.arrival_rate(
-        fx.logistics_events(spark, sf_dir), c.TOPIC_LOGISTICS, "event_timestamp"
+        fx.logistics_events(spark, sf_dir, ["event_timestamp"]),
+        c.TOPIC_LOGISTICS,
+        "event_timestamp",
     ).unionByName(
         profile.arrival_rate(fx.hrss_telemetry(spark, sf_dir), c.TOPIC_HRSS, "reading_timestamp")
     )
@@ -263,13 +276,15 @@ def arrival_rate(spark, sf_dir):
 @query
 def top_delay_reasons(spark, sf_dir):
     return profile.top_categories(
-        fx.logistics_events(spark, sf_dir), "logistics_delay_reason", TOP_K
+        fx.logistics_events(spark, sf_dir, ["logistics_delay_reason"]),
+        "logistics_delay_reason",
+        TOP_K,
     )
 
 
 @query
 def sort_events(spark, sf_dir):
-    events = fx.logistics_events(spark, sf_dir).select("event_id", "event_timestamp")
+    events = fx.logistics_events(spark, sf_dir, ["event_id", "event_timestamp"])
     return ordering.with_position(events, "event_timestamp", "event_id")
 
 
@@ -292,7 +307,8 @@ def range_violations(spark, sf_dir):
 @query
 def outliers_mad(spark, sf_dir):
     return quality.outliers_mad(
-        fx.logistics_events(spark, sf_dir), "event_id", "asset_id", "user_transaction_amount", MAD_K
+        fx.logistics_events(spark, sf_dir, AMOUNT_COLUMNS),
+        "event_id", "asset_id", "user_transaction_amount", MAD_K,
     )
 
 
@@ -304,9 +320,9 @@ def missing_by_quarter(spark, sf_dir):
 
 @query
 def key_uniqueness(spark, sf_dir):
-    logistics = features.logistics_features(fx.logistics_events(spark, sf_dir))
+    events = fx.logistics_events(spark, sf_dir, KEY_COLUMNS)
+    logistics = features.logistics_features(events, only=("event_count",))
     hrss = features.hrss_features(fx.hrss_telemetry(spark, sf_dir))
-    events = fx.logistics_events(spark, sf_dir)
     return (
         quality.key_uniqueness(logistics, "logistics_features_quarterly", c.LOGISTICS_KEY)
         .unionByName(quality.key_uniqueness(hrss, "hrss_features_quarterly", c.HRSS_KEY))
@@ -332,18 +348,20 @@ def dedup_events(spark, sf_dir):
 
 @query
 def lineage_semi(spark, sf_dir):
-    events = fx.logistics_events(spark, sf_dir).select(
-        "event_id", "event_timestamp", "asset_id", "logistics_delay"
-    )
-    late = features.logistics_features(fx.logistics_events(spark, sf_dir)).where("delay_rate > 0.4")
+    events = fx.logistics_events(spark, sf_dir, ["event_id", *KEY_COLUMNS])
+    late = features.logistics_features(
+        fx.logistics_events(spark, sf_dir, KEY_COLUMNS), only=("delay_rate",)
+    ).where("delay_rate > 0.4")
     return lineage.trace(events, late)
 
 
 @query
 def reconcile_anti(spark, sf_dir):
     """Feature rows from the events whose delay flag is known, against all raw events."""
-    events = fx.logistics_events(spark, sf_dir)
-    published = features.logistics_features(events.where("logistics_delay is not null"))
+    events = fx.logistics_events(spark, sf_dir, KEY_COLUMNS)
+    published = features.logistics_features(
+        events.where("logistics_delay is not null"), only=("event_count",)
+    )
     return lineage.reconcile(events, published)
 
 
@@ -379,7 +397,7 @@ def tumbling_counts(spark, sf_dir):
 @query
 def tumbling_counts_by_asset(spark, sf_dir):
     return tumbling.tumbling_counts(
-        fx.logistics_events(spark, sf_dir), "event_timestamp", "asset_id", "1 day"
+        fx.logistics_events(spark, sf_dir, KEY_COLUMNS), "event_timestamp", "asset_id", "1 day"
     )
 
 
