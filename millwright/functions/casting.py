@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F, types as T
 
+# How a missing float arrives as text: as a string, and as Spark renders a bare NaN read as text.
+NAN_TEXTS = ("NaN", '"NaN"')
+
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -16,13 +19,14 @@ def typed(raw: Column, field: T.StructField) -> Column:
     raw = raw.cast("string")
     if isinstance(field.dataType, T.StringType):
         return raw
+    number = F.when(~raw.isin(*NAN_TEXTS), raw)
     if isinstance(field.dataType, T.LongType):  # a double holds no more than 53 bits
-        exact = F.nullif(raw, F.lit("NaN")).try_cast("decimal(38,18)")
+        exact = number.try_cast("decimal(38,18)")
         return F.bround(exact, 0).try_cast("bigint")
     if isinstance(field.dataType, T.IntegralType):
-        return F.rint(F.nullif(raw, F.lit("NaN")).try_cast("double")).try_cast(field.dataType)
+        return F.rint(number.try_cast("double")).try_cast(field.dataType)
     if isinstance(field.dataType, T.DecimalType):
-        return F.nullif(raw, F.lit("NaN")).try_cast(field.dataType)
+        return number.try_cast(field.dataType)
     return raw.try_cast(field.dataType)
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 from millwright.contracts import VALUE_RANGES
-from millwright.functions.casting import typed
+from millwright.functions.casting import NAN_TEXTS, typed
 from millwright.functions.measures import divide, fixed, quarter_start, scale_of, units
 from millwright.functions.quantiles import histogram, neighbours, slice_bits
 
@@ -54,7 +54,7 @@ def validate(text_rows: DataFrame, contract: T.StructType) -> DataFrame:
             missing = ~F.col("is_corrupt") & text.isNull()
             reasons.append(F.when(missing, F.lit(f"missing:{field.name}")))
         if not isinstance(field.dataType, T.StringType):
-            unreadable = value.isNull() & text.isNotNull() & (text != "NaN")
+            unreadable = value.isNull() & text.isNotNull() & ~text.isin(*NAN_TEXTS)
             reasons.append(F.when(unreadable, F.lit(f"type:{field.name}")))
         if "max_length" in field.metadata:
             too_long = F.length(text) > field.metadata["max_length"]

@@ -4,6 +4,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -35,6 +36,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 WINDOW_END = "2001-06-30"
 WINDOW_DAYS = 18 * 30
 QUARTER = "1998-04-01"
+QUARTER_LAST_DAY = "1998-06-30"
 MAD_K = 1.5
 TOP_K = 2
 SAMPLE_PERCENT = 10
@@ -164,13 +166,14 @@ def iso_timestamps(spark, sf_dir):
 def window_filter(spark, sf_dir):
     end = F.lit(WINDOW_END).cast("timestamp")
     start = end - F.make_dt_interval(F.lit(WINDOW_DAYS))
-    events = fx.logistics_events(spark, sf_dir, end=WINDOW_END)
+    first_day = (date.fromisoformat(WINDOW_END) - timedelta(days=WINDOW_DAYS)).isoformat()
+    events = fx.logistics_events(spark, sf_dir, start=first_day, end=WINDOW_END)
     return project.time_window(events, "event_timestamp", start, end)
 
 
 @query
 def quarter_filter(spark, sf_dir):
-    events = fx.logistics_events(spark, sf_dir, start=QUARTER)
+    events = fx.logistics_events(spark, sf_dir, start=QUARTER, end=QUARTER_LAST_DAY)
     return project.in_quarter(events, "event_timestamp", QUARTER)
 
 
