@@ -43,18 +43,28 @@ def rolling_points(events: DataFrame, days: int = 7) -> DataFrame:
     )
     placed = points.select("*", F.inline(F.array(own, carry)))
 
+    # Points are unique per position, so a row frame is exact once a carry that leaves at a position
+    # comes before the point there. The running sums go first: their sort serves both windows.
     whole_tile = W.partitionBy("asset_id", "tile")
-    so_far = whole_tile.orderBy("position").rangeBetween(W.unboundedPreceding, W.currentRow)
-
-    def rolled(name: str):
-        value = F.col(name)
-        signed = F.when(F.col("carried"), -value).otherwise(value)
-        entering = F.sum(F.when(F.col("carried"), value).otherwise(0)).over(whole_tile)
-        return (entering + F.sum(signed).over(so_far)).alias(name)
-
+    so_far = whole_tile.orderBy("position", F.desc("carried")).rowsBetween(
+        W.unboundedPreceding, W.currentRow
+    )
+    running = placed.select(
+        "asset_id", "event_timestamp", "tile", "carried", *_MEASURES,
+        *[
+            F.sum(F.when(F.col("carried"), -F.col(name)).otherwise(F.col(name)))
+            .over(so_far).alias(f"{name}_so_far")
+            for name in _MEASURES
+        ],
+    )
+    entering = {
+        name: F.sum(F.when(F.col("carried"), F.col(name)).otherwise(0)).over(whole_tile)
+        for name in _MEASURES
+    }
     return (
-        placed.select(
-            "asset_id", "event_timestamp", "carried", *[rolled(name) for name in _MEASURES]
+        running.select(
+            "asset_id", "event_timestamp", "carried",
+            *[(entering[n] + F.col(f"{n}_so_far")).alias(n) for n in _MEASURES],
         )
         .where(~F.col("carried"))
         .drop("carried")
