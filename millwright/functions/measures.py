@@ -10,7 +10,7 @@ from pyspark.sql import Column, functions as F, types as T
 
 
 def quarter_start(ts: Column) -> Column:
-    return F.date_trunc("quarter", ts).cast("date")
+    return F.trunc(F.to_date(ts), "quarter")
 
 
 def scale_of(data_type: T.DataType) -> int:

@@ -7,14 +7,14 @@ one SELECT list, shared with the check SQL; only a few function names differ bet
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from millwright.session import use_utc
 
 _LOGISTICS = """
     cast(conv(substring(md5(concat_ws('-', l_orderkey, l_partkey, l_suppkey, l_linenumber)), 1, 15),
         16, 10) as bigint) as event_id,
-    l_shipdate + interval '1' second * ((l_orderkey*7919 + l_linenumber*3607) % 86400)
+    timestamp_micros(unix_micros(l_shipdate) + (l_orderkey*7919 + l_linenumber*3607) % 86400 * 1000000)
         as event_timestamp,
     concat('ASSET-', cast(l_suppkey as string)) as asset_id,
     cast(cast(l_suppkey*37 % 18000 as double)/100 - 90 as decimal(9,4)) as latitude,
@@ -111,9 +111,20 @@ def _select(spark: SparkSession, columns: str, source: DataFrame, name: str) ->
     return spark.sql("select " + literal + " from {" + name + "}", **{name: source})
 
 
+def _utc(schema: T.StructType) -> T.StructType:
+    """The tables' timestamps carry no zone. Read as instants they keep their number, which is
+    UTC wall time, and need no conversion per row."""
+    return T.StructType([
+        T.StructField(f.name, T.TimestampType())
+        if isinstance(f.dataType, T.TimestampNTZType) else f
+        for f in schema.fields
+    ])
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     use_utc(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_utc(spark.read.parquet(path).schema)).parquet(path)
 
 
 def logistics_events(
@@ -131,9 +142,9 @@ def logistics_events(
     """
     lineitem = _table(spark, sf_dir, "lineitem")
     if start:
-        lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp_ntz"))
+        lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp"))
     if end:
-        lineitem = lineitem.where(F.col("l_shipdate") <= F.lit(end).cast("timestamp_ntz"))
+        lineitem = lineitem.where(F.col("l_shipdate") <= F.lit(end).cast("timestamp"))
     if columns is None or _FROM_PART & set(columns):
         part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
         # No hint: the size of ``part`` decides the strategy.
@@ -142,9 +153,7 @@ def logistics_events(
         source = lineitem.withColumns({
             "p_size": F.lit(None).cast("int"), "p_retailprice": F.lit(None).cast("double"),
         })
-    view = _select(spark, _LOGISTICS, source, "source").withColumn(
-        "event_timestamp", F.col("event_timestamp").cast("timestamp")
-    )
+    view = _select(spark, _LOGISTICS, source, "source")
     return view.select(*columns) if columns else view
 
 
@@ -152,8 +161,7 @@ _FROM_PART = {"inventory_level", "demand_forecast"}
 
 
 def hrss_from(spark: SparkSession, events: DataFrame) -> DataFrame:
-    view = _select(spark, _HRSS, events, "source")
-    return view.withColumn("reading_timestamp", F.col("reading_timestamp").cast("timestamp"))
+    return _select(spark, _HRSS, events, "source")
 
 
 def hrss_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -163,7 +171,7 @@ def hrss_telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The ``events`` table as a stream of its files."""
     use_utc(spark)
-    schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema
+    schema = _utc(spark.read.parquet(f"{sf_dir}/events.parquet").schema)
     # A glob, because a stream takes a plain path for a folder and the table may be one file.
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
@@ -200,6 +208,7 @@ def _duck(columns: str) -> str:
     return (
         columns.replace("conv(substring(", "concat('0x', substring(")
         .replace("1, 15),\n        16, 10)", "1, 15))")
+        .replace("timestamp_micros(unix_micros(", "make_timestamp(epoch_us(")
         .replace("make_ym_interval(0,", "to_months(")
         .replace("get_json_object(props,'$.k')", "json_extract_string(props,'$.k')")
         .replace("DAYTEXT", "strftime(ts, '%Y-%m-%d %H:%M:%S')")
