@@ -5,6 +5,7 @@ from __future__ import annotations
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from millwright import contracts as c
 from millwright.operators.features import hrss_features, logistics_features, stamp
@@ -13,7 +14,7 @@ from millwright.operators.project import in_quarter
 from millwright.operators.quality import raw_readiness
 from millwright.session import use_utc
 from millwright.sources.messages import stream_files, stream_kafka
-from millwright.sources.tables import overwrite_quarters, read_raw
+from millwright.sources.tables import overwrite_quarters, read_features, read_raw, register
 from millwright.streaming.ingest import ingest, without_redeliveries
 
 CONTRACTS = {
@@ -24,8 +25,10 @@ CONTRACTS = {
 }
 
 FEATURES = {
-    c.TOPIC_LOGISTICS: (logistics_features, c.LOGISTICS_KEY, c.LOGISTICS_FEATURES),
-    c.TOPIC_HRSS: (hrss_features, c.HRSS_KEY, c.HRSS_FEATURES),
+    c.TOPIC_LOGISTICS: (
+        "logistics_features_quarterly", logistics_features, c.LOGISTICS_KEY, c.LOGISTICS_FEATURES
+    ),
+    c.TOPIC_HRSS: ("hrss_features_quarterly", hrss_features, c.HRSS_KEY, c.HRSS_FEATURES),
 }
 
 
@@ -39,12 +42,15 @@ def flush_topic(
     base: str,
     servers: str | None = None,
     landing: str | None = None,
-    max_rows: int | None = None,
+    max_rows: int = 100_000_000,
+    max_files: int = 1_000,
     repeats_within: str | None = None,
-):
+) -> StreamingQuery:
     """One hourly flush of a topic, from Kafka or from a landing folder of message files.
 
-    ``repeats_within`` also drops payloads a producer sent twice within that time.
+    A backlog is taken in micro-batches of ``max_rows`` messages or ``max_files`` files, which
+    bounds what a batch caches and what a failure repeats; all of it is taken. ``repeats_within``
+    also drops payloads a producer sent twice within that time.
     """
     use_utc(spark)
     contract, ts, sort_by = CONTRACTS[topic]
@@ -53,7 +59,7 @@ def flush_topic(
             spark, servers=servers, topic=topic, max_rows_per_trigger=max_rows
         )
     else:
-        messages = stream_files(spark, landing, topic)
+        messages = stream_files(spark, landing, topic, max_files_per_trigger=max_files)
     if repeats_within:
         messages = without_redeliveries(messages, repeats_within)
     return ingest(
@@ -77,7 +83,7 @@ def quarterly(
     """
     use_utc(spark)
     written = {}
-    for topic, (compute, key, output) in FEATURES.items():
+    for topic, (table, compute, key, output) in FEATURES.items():
         contract, ts, _ = CONTRACTS[topic]
         rows = in_quarter(read_raw(spark, f"{base}/raw/{topic}", contract), ts, quarter)
         if min_rows:
@@ -85,12 +91,23 @@ def quarterly(
             if state is None or not state["is_ready"]:
                 raise NotReady(f"{topic} {quarter}: {state}")
         features = stamp(compute(rows), key, F.lit(computed_at).cast("timestamp"))
-        path = f"{base}/analytics/{topic}_features_quarterly"
+        path = f"{base}/analytics/{table}"
         overwrite_quarters(features.select(*output.names), path, [quarter])
         written[topic] = path
     return written
 
 
+def serve(spark: SparkSession, base: str) -> list[str]:
+    """Make the raw and the feature tables below ``base`` available to SQL under their names."""
+    tables = {}
+    for topic, (contract, _, _) in CONTRACTS.items():
+        name, _, _, output = FEATURES[topic]
+        tables[topic] = read_raw(spark, f"{base}/raw/{topic}", contract)
+        tables[name] = read_features(spark, f"{base}/analytics/{name}", output)
+    register(spark, tables)
+    return sorted(tables)
+
+
 def profile(rows: DataFrame, categorical: list[str], numeric: list[str]) -> dict[str, DataFrame]:
     """The profile of a source: columns, category frequencies and quantiles."""
     return {

@@ -110,6 +110,12 @@ def test_quarterly_job_is_repeatable_and_leaves_other_quarters_alone(spark, tmp_
     assert len(both) == 8 and set(first) < set(both)
     hrss = tables.read_features(spark, paths["hrss_telemetry"], c.HRSS_FEATURES)
     assert hrss.count() == 4 and hrss.agg(F.sum("reading_count")).head()[0] == 8
+    assert len(jobs.serve(spark, base)) == 4
+    joined = spark.sql("""
+        select count(*) from logistics_features_quarterly f join logistics_events e
+        on e.asset_id = f.asset_id and cast(date_trunc('quarter', e.event_timestamp) as date)
+           = f.quarter_start""")
+    assert joined.head()[0] == 8
 
 
 def test_a_quarter_that_became_empty_is_emptied(spark, readings, tmp_path):
@@ -167,3 +173,23 @@ def test_defaults_are_stable_ids(spark):
     ids = {project.with_defaults(rows, "event_id", ["topic", "partition", "offset"],
                                  F.current_timestamp()).head()["event_id"] for _ in range(2)}
     assert len(ids) == 1
+
+
+def test_command_line_flushes_and_rebuilds(spark, tmp_path):
+    from millwright.plans import run
+    landing = tmp_path / "landing"
+    landing.mkdir()
+    record = {"event_timestamp": "2025-02-01T10:00:00Z", "asset_id": "A", "waiting_time_min": 4}
+    (landing / "a.json").write_text(json.dumps(record) + "\n")
+    (landing / "b.json").write_text(json.dumps({**record, "asset_id": "B"}) + "\n")
+    base = str(tmp_path)
+    run.main(["flush", "--topic", "logistics_events", "--base", base, "--landing", str(landing)])
+    tables.append_raw(spark.createDataFrame([reading()], c.HRSS_TELEMETRY),
+                      f"{base}/raw/hrss_telemetry", "reading_timestamp", "0", [])
+    run.main(["quarterly", "--quarter", "2025-01-01", "--base", base, "--min-rows", "1",
+              "--computed-at", "2025-07-01T00:00:00+00:00"])
+    stored = tables.read_features(
+        spark, f"{base}/analytics/logistics_features_quarterly", c.LOGISTICS_FEATURES)
+    assert {(r["asset_id"], r["event_count"], r["computed_at"].isoformat())
+            for r in stored.collect()} == {("A", 1, "2025-07-01T00:00:00"),
+                                           ("B", 1, "2025-07-01T00:00:00")}
