@@ -142,3 +142,10 @@ VALUE_RANGES = {
 def wire(contract: T.StructType) -> T.StructType:
     """The part of a raw contract that travels in a message: ids and arrival time are added later."""
     return T.StructType([f for f in contract.fields if f.name not in _ID_AND_ARRIVAL])
+
+
+def source_schema(contract: T.StructType, names: dict[str, str]) -> T.StructType:
+    """The source's columns, under their own names, in the types of the contract."""
+    return T.StructType([
+        T.StructField(old, contract[new].dataType) for old, new in names.items()
+    ])

@@ -325,6 +325,16 @@ def oracle() -> dict[str, str]:
         f"select {', '.join(untagged)} from hrss_telemetry", "hrss_telemetry"
     )
 
+    sql["tagged_files"] = _with(
+        "select " + ", ".join(n for n in q.HRSS_COLUMNS if n != "reading_timestamp")
+        + " from hrss_telemetry", "hrss_telemetry",
+    )
+    sql["served_sql"] = _with(
+        """select quarter_start, cast(sum(reading_count) as bigint) as readings,
+        max(avg_hl_power_w) as peak_hl_power_w from features where not is_anomalous group by 1""",
+        "hrss_telemetry", also={"features": HRSS_FEATURES},
+    )
+
     sql["profile_nulls"] = _with(
         _profile("logistics_events", q.LOGISTICS_COLUMNS, logistics_booleans), "logistics_events"
     )

@@ -24,7 +24,7 @@ from millwright.operators import (
 )
 from millwright.plans import fixtures as fx
 from millwright.session import shared_dir
-from millwright.sources import files
+from millwright.sources import files, tables
 from millwright.sources.messages import as_messages, publish_files, stream_files
 from millwright.sources.tables import overwrite_quarters, read_raw
 from millwright.streaming.ingest import ingest
@@ -218,6 +218,35 @@ def tagged_union(spark, sf_dir):
     })
 
 
+@query
+def tagged_files(spark, sf_dir):
+    """The readings as four CSV sources, one per class, read back with the class flags."""
+    base = shared_dir(spark, "csv")
+    back = {new: old for old, new in c.HRSS_SOURCE_NAMES.items()}
+    flags = ["is_anomalous", "is_optimised"]
+    source = fx.hrss_telemetry(spark, sf_dir).withColumnsRenamed(back)
+    source.select(*c.HRSS_SOURCE_NAMES, *flags).write.partitionBy(*flags).csv(base, header=True)
+    cells = {
+        (anomalous, optimised): base
+        + f"/is_anomalous={anomalous}/is_optimised={optimised}".lower()
+        for anomalous in (False, True)
+        for optimised in (False, True)
+    }
+    schema = c.source_schema(c.HRSS_TELEMETRY, c.HRSS_SOURCE_NAMES)
+    return project.project_hrss(files.read_tagged(spark, cells, schema))
+
+
+@query
+def served_sql(spark, sf_dir):
+    """SQL over the feature tables, as a consumer would write it."""
+    tables.register(spark, {
+        "served_features": features.hrss_features(fx.hrss_telemetry(spark, sf_dir))
+    })
+    return spark.sql("""
+        select quarter_start, sum(reading_count) as readings, max(avg_hl_power_w) as peak_hl_power_w
+        from served_features where not is_anomalous group by quarter_start""")
+
+
 # --- profiles ------------------------------------------------------------------------------------
 
 @query

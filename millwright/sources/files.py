@@ -13,10 +13,10 @@ def read_csv(
     schema: T.StructType | None = None,
     null_texts: tuple[str, ...] = NULL_TEXTS,
 ) -> DataFrame:
-    """CSV with a header. With ``schema`` the file is read once; without, types are inferred in a
-    pass of their own. Cells equal to one of ``null_texts`` are NULL: leave out "None" to keep a
+    """CSV with a header. With ``schema``, whose names must be the header's, the file is read once;
+    without, types are inferred in a pass of their own. Cells equal to one of ``null_texts`` are NULL: leave out "None" to keep a
     category of that name."""
-    reader = spark.read.option("header", True).option("nullValue", "")
+    reader = spark.read.options(header=True, nullValue="", enforceSchema=False)
     rows = (
         reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
     )
