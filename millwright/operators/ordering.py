@@ -21,7 +21,7 @@ def with_position(rows: DataFrame, ts: str, row_id: str) -> DataFrame:
     """
     spark = rows.sparkSession
     if not spark.sparkContext.getCheckpointDir():
-        shared_dir(spark, "sort")
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "sort"))
     fixed_order = sorted_by_time(rows, ts, row_id).checkpoint()
     placed = fixed_order.withColumn("place", F.monotonically_increasing_id()).withColumns({
         "part": F.shiftright("place", 33),

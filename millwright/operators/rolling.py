@@ -11,7 +11,8 @@ sliding frame re-reads the frame for every row. Instead:
 
 A task's largest group is therefore two tiles of one asset at one row per distinct event time. The
 wire format has whole seconds, so that is at most 1.2 million narrow rows for 7 days, however many
-events the asset has.
+events the asset has. Finer times stay exact but raise that bound; ``rolling_daily_stats`` is bounded
+by the calendar alone.
 """
 
 from __future__ import annotations

@@ -94,3 +94,30 @@ def test_stamp_is_the_same_on_every_run(events):
     key = ["feature_id", "quarter_start", "asset_id"]
     assert sorted(first.select(key).collect()) == sorted(second.select(key).collect())
     assert first.select("computed_at").distinct().count() == 1
+
+
+def test_rates_stay_between_zero_and_one(spark):
+    from millwright.plans import fixtures as fx
+    from tests.conftest import SMALL
+    rows = features.logistics_features(fx.logistics_events(spark, SMALL))
+    assert rows.where("delay_rate < 0 or delay_rate > 1 or delay_rate is null").count() == 0
+    total = fx.logistics_events(spark, SMALL).count()
+    assert rows.agg(F.sum("event_count")).head()[0] == total
+
+
+def test_named_features_need_only_their_columns(events):
+    rows = events([{"logistics_delay": True}, {}]).select(
+        "event_timestamp", "asset_id", "logistics_delay")
+    row = features.logistics_features(rows, only=("delay_rate",)).head()
+    assert row.asDict() == {"quarter_start": date(2025, 1, 1), "asset_id": "A",
+                            "delay_rate": Decimal("0.5000")}
+
+
+def test_change_against_the_previous_quarter(events):
+    rows = events([{"event_timestamp": utc(f"2025-0{m}-01T00:00:00"), "waiting_time_min": m}
+                   for m in (1, 4, 5)])
+    changes = features.quarter_over_quarter(features.logistics_features(rows))
+    first, second = changes.orderBy("quarter_start").collect()
+    assert first["previous_quarter"] is None and first["event_count_change"] is None
+    assert second["previous_quarter"] == date(2025, 1, 1)
+    assert (second["event_count_change"], second["avg_waiting_time_change"]) == (1, Decimal("3.50"))

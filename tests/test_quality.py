@@ -2,11 +2,12 @@ import json
 from datetime import timedelta
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from millwright import contracts as c
 from millwright.functions.casting import clip, nan_to_null
-from millwright.operators import lineage, logs, project, quality
+from millwright.operators import lineage, logs, project, quality, sampling
 from millwright.operators.features import logistics_features
 from tests.conftest import utc
 
@@ -143,3 +144,39 @@ def test_log_layouts(spark):
         (None, None, "{not json", "unparsed"),
     ]
     assert rows[0]["log_time"].microsecond == 123000
+
+
+def flags(spark, n):
+    return spark.range(n).select(
+        F.col("id").alias("reading_id"), (F.col("id") % 3 != 0).alias("is_anomalous"),
+        (F.col("id") % 50 == 0).alias("is_optimised"))
+
+
+def test_samples_do_not_depend_on_partitioning(spark):
+    rows, classes = flags(spark, 5000), ["is_anomalous", "is_optimised"]
+    for draw in (
+        lambda r: sampling.stratified_sample(r, classes, "reading_id", 7, 1),
+        lambda r: sampling.bootstrap_sample(r, "reading_id", 1.5, 1),
+    ):
+        one, many = draw(rows.coalesce(1)), draw(rows.repartition(13))
+        assert one.exceptAll(many).count() == 0 and many.exceptAll(one).count() == 0
+
+
+def test_stratified_sample_fills_every_quota(spark):
+    rows, classes = flags(spark, 5000), ["is_anomalous", "is_optimised"]
+    drawn = sampling.stratified_sample(rows, classes, "reading_id", 7, 1)
+    sizes = {tuple(r[:2]): r[2] for r in rows.groupBy(*classes).count().collect()}
+    got = {tuple(r[:2]): r[2] for r in drawn.groupBy(*classes).count().collect()}
+    assert got == {k: -(-n * 7 // 100) for k, n in sizes.items()}
+    assert drawn.count() == drawn.select("reading_id").distinct().count()
+
+
+def test_classes_of_a_stratified_sample_are_flags(spark):
+    with pytest.raises(ValueError, match="boolean"):
+        sampling.stratified_sample(spark.range(5), ["id"], "id", 10, 1)
+
+
+def test_bootstrap_repeats_rows_at_the_given_rate(spark):
+    drawn = sampling.bootstrap_sample(flags(spark, 20_000), "reading_id", 1.0, 3)
+    assert abs(drawn.count() / 20_000 - 1.0) < 0.03
+    assert drawn.agg(F.max("copy")).head()[0] >= 4
