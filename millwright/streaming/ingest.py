@@ -63,10 +63,10 @@ def ingest(
     columns = [f.name for f in contract.fields]
 
     def flush(batch: DataFrame, number: int) -> None:
-        # These settings reach the stream's own session only. Adaptive execution starts off there,
-        # but the writes are ordinary batch plans and need it to split a crowded date. Merging
-        # small partitions would not save a file, a date being in one partition either way; it
-        # would only leave all dates of a small batch to one task.
+        # These settings reach the stream's own session only. Adaptive execution is off there for a
+        # stateful stream, but the writes are ordinary batch plans and need it to split a crowded
+        # date. Merging small partitions would not save a file, a date being in one partition
+        # either way; it would only leave all dates of a small batch to one task.
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         batch.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         name = f"{number:012d}"

@@ -43,6 +43,8 @@ def test_flush_takes_interleaved_runs_whole(spark, tmp_path):
     query = flush(spark, tmp_path)
     assert sorted(r["waiting_time_min"] for r in stored(spark, tmp_path).collect()) == list(range(300))
     assert sum(p["rows"] for p in throughput(query)) == 300
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    assert spark.conf.get(setting) == "true", "the stream's settings stay in its own session"
 
 
 def test_second_flush_takes_only_what_is_new(spark, tmp_path):
