@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 
 #: The bounded sample per language: so many distinct texts, so many characters from each.
 TEXTS, CHARACTERS = 128, 1000
-CHUNK_BYTES = 4096
-LEVEL = 3
+CHUNK_BYTES = 8192
+LEVEL = 5
 #: The winner is smaller than the next language by this share at least, or the text is rejected.
-MARGIN = 0.005
+MARGIN = 0.002
 UNKNOWN = "und"
 #: All dictionaries together, which every task holds.
 MOST_BYTES = 64 << 20
@@ -59,7 +59,7 @@ def learn(labelled: DataFrame) -> list[tuple[str, bytes]]:
     rows = best.collect()  # at most TEXTS * CHARACTERS characters per language
     if sum(len(r["content"]) for r in rows) * 4 > MOST_BYTES:
         raise ValueError(f"{len(rows)} languages need more than {MOST_BYTES} bytes of dictionaries")
-    return sorted((r["lang"], r["content"].encode("utf-8", "surrogatepass")) for r in rows)
+    return sorted((r["lang"], plain(r["content"])) for r in rows)
 
 
 @lru_cache(maxsize=4)
@@ -74,8 +74,17 @@ def _compressors(dictionaries: tuple) -> list:
     return found
 
 
+#: ASCII other than small letters becomes a space; what languages write beyond ASCII stays.
+_LETTERS = bytes(c if 97 <= c <= 122 or c >= 128 else 32 for c in range(256))
+
+
+def plain(text: str) -> bytes:
+    """A text as the compressor sees it: small letters and spaces."""
+    return text.lower().encode("utf-8", "surrogatepass").translate(_LETTERS)
+
+
 def sizes(text: str, compressors: list) -> list[tuple[int, str]]:
-    data = text.encode("utf-8", "surrogatepass")
+    data = plain(text)
     chunks = [data[k: k + CHUNK_BYTES] for k in range(0, len(data), CHUNK_BYTES)]
     return sorted((sum(len(c.compress(x)) for x in chunks), lang) for lang, c in compressors)
 

@@ -56,6 +56,10 @@ def op7_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _of_kind(k: int):
+    return lambda s: s["kind"] == k
+
+
 def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find(read(spark, sf_dir, "documents").select("doc_id", "text"))
     names = F.array(*[F.lit(k) for k in secrets.KINDS])
@@ -69,7 +73,7 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id",
         *[
-            F.size(F.filter("secrets", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{name}")
+            F.size(F.filter("secrets", _of_kind(k))).cast("long").alias(f"n_{name}")
             for k, name in enumerate(secrets.KINDS[:3])
         ],
         F.sha2(listed(base), 256).alias("base_sha256"), listed(F.col("secrets")).alias("spans"),
