@@ -132,40 +132,60 @@ def _segment_rows(documents: DataFrame, window: int, anchor: int) -> DataFrame:
 def _window_rows(texts: DataFrame, window: int, anchor: int) -> DataFrame:
     """(key_1, key_2, start, anchor, window, times) of the windows in the segments (start, n, anchor, times)."""
 
+    def rank(held: list[tuple]) -> pd.DataFrame:
+        key_1, key_2, start, n, low, times, parts = zip(*held)
+        n = np.array(n)
+        _, whole = _ranks(np.frombuffer(b"".join(parts), np.uint8), window, anchor)
+        which = np.repeat(np.arange(len(n)), n)
+        inside = np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n)
+        return pd.DataFrame({
+            "key_1": np.array(key_1)[which], "key_2": np.array(key_2)[which],
+            "start": (np.array(start)[which] + inside).astype(np.int32), "anchor": np.array(low)[which],
+            # the parts lie end to end, each with a window's rest after its last window
+            "window": whole[which * (window - 1) + np.arange(len(which))].view(np.int64),
+            "times": np.array(times, np.int32)[which],
+        })
+
     def run(batches):
         for pdf in batches:
+            held, size = [], 0
             for key_1, key_2, text, segments in zip(pdf["key_1"], pdf["key_2"], pdf["text"], pdf["segments"]):
-                data = np.frombuffer(_bytes(text), np.uint8)
-                parts = []
+                data = _bytes(text)
                 for s in segments:
-                    _, whole = _ranks(data[s["start"]: s["start"] + s["n"] + window - 1], window, anchor)
-                    parts.append(pd.DataFrame({
-                        "key_1": key_1, "key_2": key_2, "start": np.arange(s["start"], s["start"] + s["n"], dtype=np.int32),
-                        "anchor": s["anchor"], "window": whole.view(np.int64), "times": np.int32(s["times"]),
-                    }))
-                yield pd.concat(parts)
+                    part = data[s["start"]: s["start"] + s["n"] + window - 1]
+                    held.append((key_1, key_2, s["start"], s["n"], s["anchor"], s["times"], part))
+                    size += len(part)
+                    if size >= BATCH_BYTES:
+                        yield rank(held)
+                        held, size = [], 0
+            if held:
+                yield rank(held)
 
     return texts.mapInPandas(
         run, "key_1 long, key_2 long, start int, anchor long, window long, times int"
     )
 
 
-def _with_text(documents: DataFrame, parts: DataFrame, name: str) -> DataFrame:
-    """`parts` (key_1, key_2, ...) collected per text as `name`, with the text. Texts without parts are sorted out by a
-    bit table of bounded size before the exchange (a full table only sorts out less)."""
-    per_text = saved(
-        parts.groupBy("key_1", "key_2").agg(F.collect_list(F.struct(
+def _per_text(parts: DataFrame, name: str) -> DataFrame:
+    """`parts` (key_1, key_2, ...) gathered per text as `name`, each once."""
+    return saved(
+        parts.groupBy("key_1", "key_2").agg(F.collect_set(F.struct(
             *[c for c in parts.columns if c not in ("key_1", "key_2")]
         )).alias(name)), name,
     )
+
+
+def _with_text(documents: DataFrame, per_text: DataFrame) -> DataFrame:
+    """The documents whose text has a row in `per_text`, with that row. The others are sorted out by a bit table of
+    bounded size before the exchange (a full table only sorts out less)."""
     table = BitTable(per_text.select(F.col("key_1").alias("hash")), per_text.count())
     keyed = documents.select(*text_key(F.col("text")), *documents.columns)
     return keyed.where(table.may_hold(F.col("key_1"))).join(per_text, ["key_1", "key_2"])
 
 
 def repeated(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(key_1, key_2, start, n): runs of window starts, in bytes of the text with that key, whose window also starts
-    elsewhere in the documents. A text that occurs in several rows has its runs once."""
+    """(key_1, key_2, runs): per text with such, the runs (start, n) of window starts, in bytes, whose window also starts
+    elsewhere in the documents."""
     own = documents.select("text")
     segments = saved(_segment_rows(own, window, anchor), "segments")
     again = segments.groupBy("anchor").count().where("count > 1").select("anchor")
@@ -181,13 +201,13 @@ def repeated(documents: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -
         "one.*", "anchor", F.least("times", F.lit(2)).cast("int").alias("times")
     )
     # of equal texts one is taken apart: its segments' counts stand for all
-    texts = _with_text(own, apart, "segments").dropDuplicates(["key_1", "key_2"])
+    texts = _with_text(own, _per_text(apart, "segments")).dropDuplicates(["key_1", "key_2"])
     windows = saved(_window_rows(texts, window, anchor), "windows")
     twice = windows.groupBy("anchor", "window").agg(F.sum("times").alias("times")).where("times > 1")
     single = windows.where("times = 1").drop("times").join(twice.select("anchor", "window"), ["anchor", "window"])
-    return settled.unionByName(
+    return _per_text(settled.unionByName(
         single.select("key_1", "key_2", "start", F.lit(1).alias("n"))
-    ).distinct()
+    ), "runs")
 
 
 def _merge(runs, window: int) -> list[tuple[int, int]]:
@@ -212,7 +232,7 @@ def remove_repeats(
     """
     runs = repeated(documents, window, anchor)
     text = F.coalesce(F.col("text"), F.lit(""))
-    hit = _with_text(documents.select("doc_id", "text"), runs, "runs")
+    hit = _with_text(documents.select("doc_id", "text"), runs)
 
     def cut(batches):
         for pdf in batches:
@@ -235,7 +255,7 @@ def remove_repeats(
     names = "n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<struct<start:int,end:int>>, kept binary"
     kind = documents.schema["doc_id"].dataType.simpleString()
     changed = hit.mapInPandas(cut, f"doc_id {kind}, {names}")
-    keys = runs.select("key_1", "key_2").distinct()
+    keys = runs.select("key_1", "key_2")
     same = (
         documents.select("doc_id", *text_key(F.col("text")), F.octet_length(text).cast("long").alias("n_bytes"),
                          F.sha2(text, 256).alias("kept_sha256"), text.cast("binary").alias("kept"))
