@@ -8,6 +8,7 @@ their rank within their length.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import defaultdict
 from functools import lru_cache
@@ -22,41 +23,94 @@ from millwright.llm.tables import saved
 
 SEQUENCE = 4096
 END = 2
-#: Distinct strings whose ids a Python worker keeps.
-KEPT = 200_000
+#: Distinct space-free strings, and pieces of them, whose ids a Python worker keeps.
+KEPT_STRINGS, KEPT_PIECES = 450_000, 600_000
 LONGEST_KEPT = 200
 #: Documents tokenized at once; bounds a worker's memory.
 BATCH_CHARACTERS = 1 << 22
 
 
-@lru_cache(maxsize=2)
-def _tokenizer(name: str):
-    import public_tokenizers
-    from tokenizers import Tokenizer
+class Tokens:
+    """Ids as little-endian 32-bit numbers, with a memory of what was tokenized before.
 
-    return Tokenizer.from_file(public_tokenizers.path(name)), {}
+    The tokenizer never joins across spaces and line ends, so a text's ids are those of its space-free strings in a row,
+    and most strings recur. A string of ASCII and Latin letters is cut as the tokenizer's own pattern cuts it, and its
+    pieces recur even more often. All ids come from the tokenizer; strings of other characters go to it whole.
+    """
+
+    PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+")
+    #: The pattern of the tokenizer's pre-tokenizer (fixed values), for plain strings in lower case.
+    CUT = re.compile(
+        "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+"
+    )
+
+    def __init__(self, name: str):
+        import public_tokenizers
+        from tokenizers import Tokenizer
+
+        self.tokenizer = Tokenizer.from_file(public_tokenizers.path(name))
+        self.known_layout = name == "word_bpe_49k.json"  # the cut above is this tokenizer's
+        ends = [t.endswith("</w>") for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])]
+        self.ends = np.array(ends)
+        self.strings: dict[str, bytes] = {"": b""}
+        self.pieces: dict[str, bytes] = {}
+
+    def _learn_pieces(self, new: list[str]) -> None:
+        for k in range(0, len(new), 512):
+            part = new[k: k + 512]
+            # a piece's ids end with the first one that ends a word
+            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
+            at = np.nonzero(self.ends[ids])[0] + 1
+            if len(at) != len(part):
+                raise ValueError("the tokenizer cuts words in another way than expected")
+            for w, x in zip(part, np.split(ids, at)):
+                self.pieces[w] = x.tobytes()
+
+    def _learn(self, new: list[str]) -> None:
+        plain, other = {}, []
+        for w in new:
+            if self.known_layout and self.PLAIN.fullmatch(w) and "<|" not in w:
+                plain[w] = self.CUT.findall(w.lower())
+            else:
+                other.append(w)
+        wanted = {p for cut_ in plain.values() for p in cut_}
+        missing = list(wanted.difference(self.pieces))
+        if len(self.pieces) + len(missing) > KEPT_PIECES:
+            self.pieces.clear()
+            missing = list(wanted)
+        self._learn_pieces(missing)
+        pieces = self.pieces
+        for w, cut_ in plain.items():
+            self.strings[w] = b"".join([pieces[p] for p in cut_])
+        for k in range(0, len(other), 1024):
+            part = other[k: k + 1024]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.strings[w] = np.array(e.ids, "<u4").tobytes()
+        for p in missing:
+            if len(p) > LONGEST_KEPT:
+                del pieces[p]
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        split = [x.replace("\n", " ").split(" ") for x in texts]
+        words = {w for s in split for w in s}
+        new = list(words.difference(self.strings))
+        if len(self.strings) + len(new) > KEPT_STRINGS:
+            self.strings = {"": b""}
+            new = list(words - {""})
+        self._learn(new)
+        strings = self.strings
+        out = [b"".join([strings[w] for w in s]) for s in split]
+        for w in new:
+            if len(w) > LONGEST_KEPT:
+                del strings[w]
+        return out
+
+
+_tokens = lru_cache(maxsize=2)(Tokens)
 
 
 def token_ids(texts: list[str], name: str) -> list[bytes]:
-    """Ids as little-endian 32-bit numbers. The tokenizer never joins across spaces and line ends, so a text's
-    ids are those of its space-free strings in a row, and most strings recur."""
-    tokenizer, kept = _tokenizer(name)
-    split = [x.replace("\n", " ").split(" ") for x in texts]
-    kept[""] = b""
-    new = list({w for s in split for w in s}.difference(kept))
-    if len(kept) + len(new) > KEPT:
-        kept.clear()
-        kept[""] = b""
-        new = list({w for s in split for w in s}.difference(kept))
-    for k in range(0, len(new), 4096):
-        part = new[k: k + 4096]
-        for w, e in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-            kept[w] = np.array(e.ids, "<u4").tobytes()
-    out = [b"".join([kept[w] for w in s]) for s in split]
-    for w in new:
-        if len(w) > LONGEST_KEPT:
-            del kept[w]
-    return out
+    return _tokens(name).ids(texts)
 
 
 PIECES = "array<struct<start:long,length:int,ids_crc32:long>>"
