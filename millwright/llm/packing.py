@@ -24,7 +24,9 @@ from millwright.llm.tables import saved
 SEQUENCE = 4096
 END = 2
 #: Distinct space-free strings, and pieces of them, whose ids a Python worker keeps.
-KEPT_STRINGS, KEPT_PIECES = 450_000, 600_000
+KEPT_STRINGS, KEPT_PIECES = 200_000, 300_000
+#: When a memory is full, strings up to this length stay, if they fill no more than half of it: they recur most.
+SHORT = 6
 LONGEST_KEPT = 200
 #: Documents tokenized at once; bounds a worker's memory.
 BATCH_CHARACTERS = 1 << 22
@@ -76,8 +78,8 @@ class Tokens:
         wanted = {p for cut_ in plain.values() for p in cut_}
         missing = list(wanted.difference(self.pieces))
         if len(self.pieces) + len(missing) > KEPT_PIECES:
-            self.pieces.clear()
-            missing = list(wanted)
+            self.pieces = _shortest(self.pieces, KEPT_PIECES)
+            missing = list(wanted.difference(self.pieces))
         self._learn_pieces(missing)
         pieces = self.pieces
         for w, cut_ in plain.items():
@@ -95,8 +97,8 @@ class Tokens:
         words = {w for s in split for w in s}
         new = list(words.difference(self.strings))
         if len(self.strings) + len(new) > KEPT_STRINGS:
-            self.strings = {"": b""}
-            new = list(words - {""})
+            self.strings = _shortest(self.strings, KEPT_STRINGS) | {"": b""}
+            new = list(words.difference(self.strings))
         self._learn(new)
         strings = self.strings
         out = [b"".join([strings[w] for w in s]) for s in split]
@@ -106,6 +108,11 @@ class Tokens:
         return out
 
 
+def _shortest(memory: dict[str, bytes], most: int) -> dict[str, bytes]:
+    short = {w: i for w, i in memory.items() if len(w) <= SHORT}
+    return short if len(short) <= most // 2 else {}
+
+
 _tokens = lru_cache(maxsize=2)(Tokens)
 
 
