@@ -24,7 +24,7 @@ from millwright.llm.tables import saved
 SEQUENCE = 4096
 END = 2
 #: Distinct space-free strings, and pieces of them, whose ids a Python worker keeps.
-KEPT_STRINGS, KEPT_PIECES = 200_000, 300_000
+KEPT = (450_000, 600_000)
 #: When a memory is full, strings up to this length stay, if they fill no more than half of it: they recur most.
 SHORT = 6
 LONGEST_KEPT = 200
@@ -46,7 +46,7 @@ class Tokens:
         "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+"
     )
 
-    def __init__(self, name: str):
+    def __init__(self, name: str, kept: tuple[int, int]):
         import public_tokenizers
         from tokenizers import Tokenizer
 
@@ -54,6 +54,7 @@ class Tokens:
         self.known_layout = name == "word_bpe_49k.json"  # the cut above is this tokenizer's
         ends = [t.endswith("</w>") for t, _ in sorted(self.tokenizer.get_vocab().items(), key=lambda x: x[1])]
         self.ends = np.array(ends)
+        self.most_strings, self.most_pieces = kept
         self.strings: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
@@ -77,8 +78,8 @@ class Tokens:
                 other.append(w)
         wanted = {p for cut_ in plain.values() for p in cut_}
         missing = list(wanted.difference(self.pieces))
-        if len(self.pieces) + len(missing) > KEPT_PIECES:
-            self.pieces = _shortest(self.pieces, KEPT_PIECES)
+        if len(self.pieces) + len(missing) > self.most_pieces:
+            self.pieces = _shortest(self.pieces, self.most_pieces)
             missing = list(wanted.difference(self.pieces))
         self._learn_pieces(missing)
         pieces = self.pieces
@@ -96,8 +97,8 @@ class Tokens:
         split = [x.replace("\n", " ").split(" ") for x in texts]
         words = {w for s in split for w in s}
         new = list(words.difference(self.strings))
-        if len(self.strings) + len(new) > KEPT_STRINGS:
-            self.strings = _shortest(self.strings, KEPT_STRINGS) | {"": b""}
+        if len(self.strings) + len(new) > self.most_strings:
+            self.strings = _shortest(self.strings, self.most_strings) | {"": b""}
             new = list(words.difference(self.strings))
         self._learn(new)
         strings = self.strings
@@ -116,8 +117,8 @@ def _shortest(memory: dict[str, bytes], most: int) -> dict[str, bytes]:
 _tokens = lru_cache(maxsize=2)(Tokens)
 
 
-def token_ids(texts: list[str], name: str) -> list[bytes]:
-    return _tokens(name).ids(texts)
+def token_ids(texts: list[str], name: str, kept: tuple[int, int] = KEPT) -> list[bytes]:
+    return _tokens(name, kept).ids(texts)
 
 
 PIECES = "array<struct<start:long,length:int,ids_crc32:long>>"
@@ -131,7 +132,7 @@ def _pieces(ids: bytes, sequence: int) -> list[dict]:
     ]
 
 
-def cut(text: Column, tokenizer: str, sequence: int, end: int) -> Column:
+def cut(text: Column, tokenizer: str, sequence: int, end: int, kept: tuple[int, int] = KEPT) -> Column:
     """The pieces of every text: full sequences and a rest. Null is empty: one piece, the end mark alone."""
     mark = np.array([end], "<u4").tobytes()
 
@@ -142,9 +143,9 @@ def cut(text: Column, tokenizer: str, sequence: int, end: int) -> Column:
             batch.append(x or "")
             held += len(batch[-1])
             if held >= BATCH_CHARACTERS:
-                out += [_pieces(i + mark, sequence) for i in token_ids(batch, tokenizer)]
+                out += [_pieces(i + mark, sequence) for i in token_ids(batch, tokenizer, kept)]
                 batch, held = [], 0
-        out += [_pieces(i + mark, sequence) for i in token_ids(batch, tokenizer)]
+        out += [_pieces(i + mark, sequence) for i in token_ids(batch, tokenizer, kept)]
         return pd.Series(out, dtype=object)
 
     return run(text)
@@ -197,16 +198,17 @@ def _slots(patterns) -> dict[int, tuple[np.ndarray, ...]]:
 
 
 def pack(
-    documents: DataFrame, tokenizer: str = "word_bpe_49k.json", sequence: int = SEQUENCE, end: int = END
+    documents: DataFrame, tokenizer: str = "word_bpe_49k.json", sequence: int = SEQUENCE, end: int = END,
+    kept: tuple[int, int] = KEPT,
 ) -> DataFrame:
     """Per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every id of every document lies in one piece; no sequence exceeds `sequence` ids and its offsets have no
     gaps. A null or empty text is the end mark alone. Repeated rows are packed each; an empty table gives no
-    piece. Other columns are ignored.
+    piece. Other columns are ignored. `kept` bounds the strings and pieces that a worker remembers.
     """
     cut_up = documents.select(
-        "doc_id", F.monotonically_increasing_id().alias("row"), cut(F.col("text"), tokenizer, sequence, end).alias("pieces")
+        "doc_id", F.monotonically_increasing_id().alias("row"), cut(F.col("text"), tokenizer, sequence, end, kept).alias("pieces")
     )
     # one written copy: all ranks and counts below refer to it
     pieces = saved(
