@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 # The line layout "time level logger: message" with comma milliseconds.
 LINE = r"^(\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}),(\d{3}) ([A-Z]+) ([^ :]+): (.*)$"
 
-HEALTH_CHECK = r"(?i)\bGET /(health|healthz|ready)\b"
+# The path ends there: `/health-records` is an ordinary request.
+HEALTH_CHECK = r"(?i)\bGET /(health|healthz|ready)(?=[\s?/]|$)"
 
 _JSON_LINE = "time string, level string, logger string, message string"
 

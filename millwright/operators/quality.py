@@ -51,10 +51,14 @@ def validate(text_rows: DataFrame, contract: T.StructType) -> DataFrame:
     for field in contract.fields:
         text, value = F.col(f"{field.name}__text"), F.col(field.name)
         if not field.nullable:
-            missing = ~F.col("is_corrupt") & text.isNull()
+            # NaN is how a missing number arrives
+            missing = ~F.col("is_corrupt") & (text.isNull() | text.isin(*NAN_TEXTS))
             reasons.append(F.when(missing, F.lit(f"missing:{field.name}")))
         if not isinstance(field.dataType, T.StringType):
-            unreadable = value.isNull() & text.isNotNull() & ~text.isin(*NAN_TEXTS)
+            excused = isinstance(field.dataType, T.NumericType) or not field.nullable
+            unreadable = value.isNull() & text.isNotNull()
+            if excused:
+                unreadable = unreadable & ~text.isin(*NAN_TEXTS)
             reasons.append(F.when(unreadable, F.lit(f"type:{field.name}")))
         if "max_length" in field.metadata:
             too_long = F.length(text) > field.metadata["max_length"]

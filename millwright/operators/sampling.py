@@ -10,9 +10,11 @@ import math
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
 _HASH_RANGE = 2**32
+#: Rates beyond this are drawn in parts: exp(-rate) must stay well above the hash's resolution.
+PART_RATE = 8.0
 
 
-def digest(row_id: str, seed: int) -> Column:
+def digest(row_id: str, seed: int | str) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(row_id).cast("string")))
 
 
@@ -26,7 +28,7 @@ def poisson_thresholds(rate: float) -> list[int]:
     while True:
         cumulative += term
         point = math.floor(cumulative * _HASH_RANGE)
-        if point >= _HASH_RANGE - 1 or k > 64:
+        if point >= _HASH_RANGE - 1 or (k > rate and term < 1e-12):
             return thresholds
         thresholds.append(point)
         k += 1
@@ -36,10 +38,18 @@ def poisson_thresholds(rate: float) -> list[int]:
 def bootstrap_sample(rows: DataFrame, row_id: str, rate: float, seed: int) -> DataFrame:
     """Sampling with replacement: each row is repeated a Poisson(rate) number of times, the
     distributed form of the bootstrap. Whole rows are drawn, so columns keep their relations."""
-    point = _leading_hex(digest(row_id, seed), 8)
-    copies = F.lit(0)
-    for threshold in poisson_thresholds(rate):
-        copies = copies + F.when(point >= threshold, 1).otherwise(0)
+    # a large rate is a sum of independent draws of a small one, each with a hash of its own
+    parts = max(1, math.ceil(rate / PART_RATE))
+    points = ", ".join(f"{t}L" for t in poisson_thresholds(rate / parts))
+    if parts == 1:
+        hashes = F.array(_leading_hex(digest(row_id, seed), 8))
+    else:
+        hashes = F.expr(
+            f"transform(sequence(1, {parts}), p -> "
+            f"cast(conv(substring(md5(concat('{seed}/', p, ':', cast(`{row_id}` as string))), 1, 8), 16, 10) as bigint))"
+        )
+    draws = F.transform(hashes, lambda h: F.size(F.filter(F.expr(f"array({points})"), lambda t: h >= t)))
+    copies = F.aggregate(draws, F.lit(0), lambda total, n: total + n)
     return (
         rows.withColumn("copies", copies)
         .where(F.col("copies") > 0)
@@ -80,7 +90,10 @@ def stratified_sample(
         .select(*classes, "slice", "n", (F.col("quota") - F.col("before")).alias("room"))
         .where(F.col("room") > 0)
     )
-    joined = hashed.join(F.broadcast(slices), [*classes, "slice"])
+    # null-safe: rows whose flag is NULL are a class of their own
+    bounds = F.broadcast(slices.select(*[F.col(c).alias(f"_{c}") for c in slices.columns]))
+    same = [hashed[c].eqNullSafe(bounds[f"_{c}"]) for c in [*classes, "slice"]]
+    joined = hashed.join(bounds, same).withColumns({"n": F.col("_n"), "room": F.col("_room")})
     whole = joined.where(F.col("n") <= F.col("room"))
     rank = F.row_number().over(W.partitionBy(*classes, "slice").orderBy("digest", row_id))
     edge = (

@@ -195,10 +195,7 @@ def _rolling_frame(unit: str) -> str:
 def oracle() -> dict[str, str]:
     logistics_booleans = ["logistics_delay"]
     untagged = [f.name for f in HRSS_TELEMETRY.fields if f.name not in ("ingested_at",)]
-    wire_hrss = [
-        f"date_trunc('second', {n}) as {n}" if n == "reading_timestamp" else n
-        for n in q.HRSS_COLUMNS
-    ]
+    wire_hrss = list(q.HRSS_COLUMNS)
     event_frame = _rolling_frame("event_timestamp").format(span="interval 7 days")
     day_frame = _rolling_frame("event_date").format(span="interval 6 days")
     quarter_end = f"date '{q.QUARTER}' + interval 3 months"

@@ -29,10 +29,12 @@ def use_utc(spark: SparkSession) -> None:
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A new folder below the cluster's checkpoint folder.
 
-    Only where the session names none (tests on one machine) is a temporary folder used.
+    Only a local session that names none (tests on one machine) gets a temporary folder; a cluster must name one.
     """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="millwright-")
         spark.sparkContext.setCheckpointDir(root)
     return os.path.join(root, f"{purpose}-{uuid.uuid4().hex}")

@@ -77,9 +77,16 @@ def _from_files(lines: DataFrame, topic: str) -> DataFrame:
 
 
 def as_messages(rows: DataFrame, contract: T.StructType) -> DataFrame:
-    """Contract rows as JSON text in ``value``: ISO times in UTC with a Z, NULLs written out."""
+    """Contract rows as JSON text in ``value``: ISO times in UTC with a Z, NULLs written out.
+
+    A time's fraction of a second is written as far as it has one.
+    """
     fields = [
-        F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss'Z'").alias(f.name)
+        F.concat(
+            F.date_format(f.name, "yyyy-MM-dd'T'HH:mm:ss"),
+            F.regexp_replace(F.date_format(f.name, ".SSSSSS"), "[.]?0*$", ""),
+            F.lit("Z"),
+        ).alias(f.name)
         if isinstance(f.dataType, T.TimestampType)
         else F.col(f.name)
         for f in contract.fields

@@ -4,13 +4,13 @@ import re
 
 import pytest
 
-import __spark_entry__ as driver
+from millwright.plans.queries import registry
 from millwright import contracts as c
 from millwright.operators.project import in_quarter
 from millwright.sources import tables
 from tests.conftest import SMALL, utc
 
-QUERIES = driver.queries()
+QUERIES = registry()
 WRITERS = {"tagged_files", "ingest_stream", "live_features", "overwritten_quarters", "sort_events"}
 # One row per class cell, per hour or per column meets in one task; nothing else may.
 SMALL_SINGLES = {"class_weights", "hour_profile"}

@@ -3,10 +3,12 @@
 import pytest
 
 import __spark_entry__ as driver
+from millwright.plans.check_sql import oracle
+from millwright.plans.queries import registry
 from tests.compare import connect, differences
 from tests.conftest import SMALL
 
-QUERIES, CHECKS = driver.queries(), driver.oracle_sql()
+QUERIES, CHECKS = registry(), oracle()
 
 
 @pytest.fixture(scope="module")
@@ -16,6 +18,7 @@ def check_engine():
 
 def test_every_query_has_a_check():
     assert set(QUERIES) == set(CHECKS)
+    assert set(QUERIES) <= set(driver.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
