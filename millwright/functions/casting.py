@@ -7,6 +7,10 @@ from pyspark.sql import Column, functions as F, types as T
 # How a missing float arrives as text: as a string, and as Spark renders a bare NaN read as text.
 NAN_TEXTS = ("NaN", '"NaN"')
 
+# Times as they travel: date, T, seconds, then a fraction and an offset if there are any. Spark alone would also take
+# "2025" or "T12:30" (today's).
+WIRE_TIME = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?$"
+
 ISO_FORMAT = "yyyy-MM-dd'T'HH:mm:ss'Z'"
 
 
@@ -27,6 +31,8 @@ def typed(raw: Column, field: T.StructField) -> Column:
         return F.rint(number.try_cast("double")).try_cast(field.dataType)
     if isinstance(field.dataType, T.DecimalType):
         return number.try_cast(field.dataType)
+    if isinstance(field.dataType, T.TimestampType):
+        return F.when(raw.rlike(WIRE_TIME), raw).try_cast(field.dataType)
     return raw.try_cast(field.dataType)
 
 

@@ -20,7 +20,11 @@ def slice_bits(data_type: T.DataType) -> int:
     """Half the bits a value of this type can need."""
     if isinstance(data_type, T.DecimalType):
         return math.ceil(data_type.precision * math.log2(10) / 2)
-    return {"smallint": 8, "int": 16, "bigint": 32}[data_type.simpleString()]
+    bits = {"tinyint": 4, "smallint": 8, "int": 16, "bigint": 32}
+    name = data_type.simpleString()
+    if name not in bits:
+        raise TypeError(f"exact percentiles need whole numbers or decimals, not {name}: cast the column to DECIMAL")
+    return bits[name]
 
 
 def histogram(rows: DataFrame, keys: list[str], value: str, scale: int = 0) -> DataFrame:

@@ -63,8 +63,13 @@ def category_frequencies(rows: DataFrame, columns: list[str]) -> DataFrame:
     """Per column and category: count and share of the column's non-NULL rows.
 
     The totals are aggregated from the category counts and joined back (one row per column), not
-    taken over a window, which would bring all categories of a column into one task.
+    taken over a window, which would bring all categories of a column into one task. Without columns
+    the result is empty.
     """
+    if not columns:
+        return rows.sparkSession.createDataFrame(
+            [], "column string, category string, category_count bigint, frequency decimal(7,6)"
+        )
     counts = (
         rows.select(
             F.inline(F.array(*[

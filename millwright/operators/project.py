@@ -47,9 +47,9 @@ def nan_columns_to_null(rows: DataFrame) -> DataFrame:
     })
 
 
-def with_defaults(rows: DataFrame, id_name: str, key: list[str], arrived_at: Column) -> DataFrame:
-    """Row id and arrival time. The id is a hash of what identifies the message, so a replayed
-    message gets the same id. A 64-bit hash is an identifier here, not the deduplication key."""
+def with_defaults(rows: DataFrame, id_name: str, key: list, arrived_at: Column) -> DataFrame:
+    """Row id and arrival time. The id is a hash of what identifies the message: its position and,
+    for lines that share one, the place in the batch. A 64-bit hash is an identifier here, not the deduplication key."""
     return rows.withColumns({id_name: F.xxhash64(*key), "ingested_at": arrived_at})
 
 

@@ -176,7 +176,7 @@ def _json_fields() -> str:
     parts = []
     for f in LOGISTICS_EVENTS.fields:
         kind = f.dataType.simpleString()
-        if f.name == "ingested_at" or kind.startswith("decimal"):
+        if f.name == "ingested_at":
             continue
         if kind == "timestamp":
             text = f"""'"' || strftime({f.name}, '%Y-%m-%dT%H:%M:%SZ') || '"'"""
@@ -318,6 +318,37 @@ def oracle() -> dict[str, str]:
         f"select '{{' || {_json_fields()} || '}}' as value from logistics_events",
         "logistics_events",
     )
+    kinds = {  # written out, not taken from the library
+        "event_timestamp": "timestamp", "asset_id": "categorical", "latitude": "numeric", "longitude": "numeric",
+        "inventory_level": "integer", "shipment_status": "categorical", "temperature_c": "numeric",
+        "humidity_pct": "numeric", "traffic_status": "categorical", "waiting_time_min": "integer",
+        "user_transaction_amount": "integer", "user_purchase_frequency": "integer",
+        "logistics_delay_reason": "categorical", "asset_utilization_pct": "numeric", "demand_forecast": "integer",
+        "logistics_delay": "boolean",
+    }
+    listed = ", ".join(f"('{n}', '{k}')" for n, k in kinds.items())
+    sql["profile_csv"] = _with(
+        """select p."column", k.kind, row_count, non_null_count, null_rate, true_rate
+        from (""" + _profile("logistics_events", list(kinds), logistics_booleans) + f""") p
+        join (values {listed}) as k("column", kind) on p."column" = k."column" """,
+        "logistics_events",
+    )
+    sql["pseudonymised_assets"] = _with(
+        f"""select event_id, sha256('{q.SALT}' || asset_id) as asset_id, event_timestamp, waiting_time_min,
+        logistics_delay from logistics_events""",
+        "logistics_events",
+    )
+    kept_readings = ", ".join(f.name for f in HRSS_TELEMETRY.fields if f.name != "ingested_at")
+    sql["retained_readings"] = _with(
+        f"select {kept_readings} from hrss_telemetry where reading_timestamp >= date '{q.OLDEST_DAY}'",
+        "hrss_telemetry",
+    )
+    kept_events = ", ".join(f.name for f in LOGISTICS_EVENTS.fields if f.name != "ingested_at")
+    sql["erased_assets"] = _with(
+        f"""select {kept_events} from logistics_events
+        where cast(split_part(asset_id, '-', 2) as int) % {q.ERASED_SHARE} <> 0""",
+        "logistics_events",
+    )
     sql["tagged_union"] = _with(
         f"select {', '.join(untagged)} from hrss_telemetry", "hrss_telemetry"
     )

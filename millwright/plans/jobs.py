@@ -64,7 +64,7 @@ def flush_topic(
         messages = without_redeliveries(messages, repeats_within)
     return ingest(
         messages, contract, ts, f"{base}/raw/{topic}", f"{base}/quarantine/{topic}",
-        f"{base}/checkpoints/{topic}", sort_by, drop_repeats=servers is None,
+        f"{base}/checkpoints/{topic}", sort_by,
     )
 
 

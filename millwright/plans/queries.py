@@ -15,6 +15,7 @@ from millwright.operators import (
     lineage,
     logs,
     ordering,
+    privacy,
     profile,
     project,
     quality,
@@ -39,6 +40,9 @@ QUARTER = "1998-04-01"
 QUARTER_LAST_DAY = "1998-06-30"
 MAD_K = 1.5
 TOP_K = 2
+SALT = "plant-7"
+OLDEST_DAY = "2023-07-01"
+ERASED_SHARE = 10  # one asset in ten asks for erasure
 SAMPLE_PERCENT = 10
 SAMPLE_SEED = 42
 BOOTSTRAP_RATE = 0.5
@@ -200,11 +204,7 @@ def rint_values(spark, sf_dir):
 
 @query
 def to_json_rows(spark, sf_dir):
-    # Without the decimals, which the check engine writes with another number of digits.
-    whole = T.StructType([
-        f for f in c.LOGISTICS_EVENTS.fields if not isinstance(f.dataType, T.DecimalType)
-    ])
-    return as_messages(fx.logistics_events(spark, sf_dir), whole)
+    return as_messages(fx.logistics_events(spark, sf_dir), c.LOGISTICS_EVENTS)
 
 
 @query
@@ -320,6 +320,57 @@ def sort_events(spark, sf_dir):
     return ordering.with_position(events, "event_timestamp", "event_id")
 
 
+@query
+def profile_csv(spark, sf_dir):
+    """The events as a CSV whose NULL cells are null words, read without a schema and profiled."""
+    path = shared_dir(spark, "csv-profile")
+    words = F.array(*[F.lit(w) for w in ("NA", "None", "nan", "NULL")])
+    events = fx.logistics_events(spark, sf_dir, LOGISTICS_COLUMNS)
+    events.select(*[
+        F.coalesce(
+            F.col(n).cast("string"), F.element_at(words, (F.hash("asset_id") % 2 + 3).cast("int"))
+        ).alias(n)
+        for n in LOGISTICS_COLUMNS
+    ]).write.csv(path, header=True)
+    found = files.read_csv(spark, path)
+    return profile.profile_columns(found, found.columns)
+
+
+# --- privacy: pseudonyms, retention, erasure -----------------------------------------------------
+
+@query
+def pseudonymised_assets(spark, sf_dir):
+    events = fx.logistics_events(spark, sf_dir, ROLLING_COLUMNS)
+    return privacy.pseudonymised(events, ["asset_id"], SALT)
+
+
+@query
+def retained_readings(spark, sf_dir):
+    """The readings as a raw table, its dates before the cutoff dropped, read back."""
+    path = shared_dir(spark, "retained")
+    readings = fx.hrss_telemetry(spark, sf_dir)
+    tables.append_raw(readings, path, "reading_timestamp", "0", ["is_anomalous", "is_optimised"])
+    privacy.retain(spark, path, OLDEST_DAY)
+    return read_raw(spark, path, c.HRSS_TELEMETRY).select(
+        *[f.name for f in c.HRSS_TELEMETRY.fields if f.name != "ingested_at"]
+    )
+
+
+@query
+def erased_assets(spark, sf_dir):
+    """The events as a raw table, one asset in ten erased from it, read back."""
+    path = shared_dir(spark, "erased")
+    events = fx.logistics_events(spark, sf_dir)
+    tables.append_raw(events, path, "event_timestamp", "0", ["asset_id"])
+    asks = events.select("asset_id").distinct().where(
+        F.substring_index("asset_id", "-", -1).cast("int") % ERASED_SHARE == 0
+    )
+    privacy.erase(spark, path, c.LOGISTICS_EVENTS, "asset_id", asks)
+    return read_raw(spark, path, c.LOGISTICS_EVENTS).select(
+        *[f.name for f in c.LOGISTICS_EVENTS.fields if f.name != "ingested_at"]
+    )
+
+
 # --- data quality, lineage -----------------------------------------------------------------------
 
 @query
@@ -469,8 +520,7 @@ def live_features(spark, sf_dir):
     base = shared_dir(spark, "live")
     source = fx.events_stream(spark, sf_dir)
     live_aggregate(
-        fx.hrss_from(spark, source), features.hrss_features, "reading_timestamp", "600 days",
-        f"{base}/updates", f"{base}/checkpoint",
+        fx.hrss_from(spark, source), features.hrss_features, f"{base}/updates", f"{base}/checkpoint",
     ).awaitTermination()
     return latest(spark.read.parquet(f"{base}/updates"), list(c.HRSS_KEY))
 

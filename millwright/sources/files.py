@@ -4,7 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-NULL_TEXTS = ("", "None")
+# --- fixed values: cells that mean NULL in the producers' files -----------------------------------
+NULL_TEXTS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
+    "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+# --- end of fixed values -------------------------------------------------------------------------
 
 
 def read_csv(
@@ -13,18 +18,76 @@ def read_csv(
     schema: T.StructType | None = None,
     null_texts: tuple[str, ...] = NULL_TEXTS,
 ) -> DataFrame:
-    """CSV with a header. With ``schema``, whose names must be the header's, the file is read once;
-    without, types are inferred in a pass of their own. Cells equal to one of ``null_texts`` are NULL: leave out "None" to keep a
-    category of that name."""
+    """CSV with a header. Cells equal to one of ``null_texts`` are NULL, in columns of any type: leave out "None" to keep
+    a category of that name. With ``schema``, whose names must be the header's, the file is read once; without, types
+    come from one more pass over the cells (``inferred``)."""
     reader = spark.read.options(header=True, nullValue="", enforceSchema=False)
-    rows = (
-        reader.schema(schema).csv(path) if schema else reader.option("inferSchema", True).csv(path)
-    )
-    texts = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    if schema:
+        return _without(reader.schema(schema).csv(path), null_texts)
+    cells = _without(reader.option("inferSchema", False).csv(path), null_texts)
+    return cells.select(*[_as_type(f).alias(f.name) for f in inferred(cells).fields])
+
+
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _without(rows: DataFrame, null_texts: tuple[str, ...]) -> DataFrame:
     wanted = [t for t in null_texts if t]
-    return rows.withColumns({
-        c: F.when(~F.col(c).isin(*wanted), F.col(c)) for c in texts
-    }) if wanted else rows
+    return rows.select(*[
+        F.when(~cell.isin(*wanted), cell).alias(f.name)
+        if wanted and isinstance(f.dataType, T.StringType) else cell
+        for f in rows.schema.fields
+        for cell in [F.col(_quoted(f.name))]
+    ])
+
+
+_WHOLE, _DECIMAL = r"^[+-]?\d{1,18}$", r"^[+-]?\d+\.\d+$"
+_TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?$"
+
+
+def inferred(cells: DataFrame) -> T.StructType:
+    """The narrowest type that holds every non-NULL cell of each text column: BOOLEAN, BIGINT, DECIMAL of up to 18 digits,
+    DOUBLE, TIMESTAMP, else STRING (also where all cells are NULL). One aggregation, one row."""
+    wide = cells.agg(*[
+        aggregate
+        for i, name in enumerate(cells.columns)
+        for cell in [F.col(_quoted(name))]
+        for digits in [F.regexp_replace(cell, "^[+-]", "")]
+        for plain in [cell.rlike(_WHOLE) | cell.rlike(_DECIMAL)]
+        for aggregate in (
+            F.count(cell).alias(f"{i}_filled"),
+            F.count_if(F.lower(cell).isin("true", "false")).alias(f"{i}_boolean"),
+            F.count_if(cell.rlike(_WHOLE)).alias(f"{i}_whole"),
+            F.count_if(plain).alias(f"{i}_plain"),
+            F.count(cell.try_cast("double")).alias(f"{i}_double"),
+            F.count(F.when(cell.rlike(_TIME), cell).try_cast("timestamp")).alias(f"{i}_time"),
+            F.max(F.when(plain, F.length(F.substring_index(digits, ".", 1)))).alias(f"{i}_left"),
+            F.max(F.when(cell.rlike(_DECIMAL), F.length(F.substring_index(digits, ".", -1)))).alias(f"{i}_right"),
+        )
+    ]).first()
+
+    def type_of(i: int) -> T.DataType:
+        filled = wide[f"{i}_filled"]
+        if not filled:
+            return T.StringType()
+        left, right = wide[f"{i}_left"] or 0, wide[f"{i}_right"] or 0
+        if wide[f"{i}_boolean"] == filled:
+            return T.BooleanType()
+        if wide[f"{i}_whole"] == filled:
+            return T.LongType()
+        if wide[f"{i}_plain"] == filled and left + right <= 18:
+            return T.DecimalType(left + right, right)
+        if wide[f"{i}_double"] == filled:
+            return T.DoubleType()
+        return T.TimestampType() if wide[f"{i}_time"] == filled else T.StringType()
+
+    return T.StructType([T.StructField(n, type_of(i)) for i, n in enumerate(cells.columns)])
+
+
+def _as_type(field: T.StructField):
+    cell = F.col(_quoted(field.name))
+    return cell if isinstance(field.dataType, T.StringType) else cell.try_cast(field.dataType)
 
 
 def read_tagged(

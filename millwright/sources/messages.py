@@ -66,7 +66,7 @@ def batch_files(spark: SparkSession, path: str, topic: str) -> DataFrame:
 
 
 def _from_files(lines: DataFrame, topic: str) -> DataFrame:
-    """A text line has no offset, so the message is identified by its content."""
+    """A text line has no offset; a digest of it stands in, which equal lines share."""
     return lines.select(
         "value",
         F.lit(topic).alias("topic"),

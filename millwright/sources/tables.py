@@ -38,6 +38,37 @@ def read_raw(spark: SparkSession, path: str, contract: T.StructType) -> DataFram
     return spark.read.schema(schema).parquet(path)
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system that holds ``path``, local or remote, and the path as it names it."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place, jvm
+
+
+def partitions(spark: SparkSession, path: str) -> list[dict[str, str | None]]:
+    """Names of a raw table's partitions, from the folders alone; a date that is absent is None."""
+    system, place, jvm = _files(spark, path)
+    found = []
+    for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(place, "event_date=*/batch=*")):
+        date, batch = str(status.getPath()).split("/")[-2:]
+        value = date.split("=", 1)[1]
+        found.append({
+            "event_date": None if value.startswith("__") else value, "batch": batch.split("=", 1)[1],
+        })
+    return found
+
+
+def drop_partitions(spark: SparkSession, path: str, names: list[dict[str, str]]) -> list[str]:
+    """Delete the folders of the named partitions; one that is gone already is no error."""
+    system, place, jvm = _files(spark, path)
+    dropped = []
+    for name in names:
+        folder = f"event_date={name['event_date']}/batch={name['batch']}"
+        if system.delete(jvm.org.apache.hadoop.fs.Path(place, folder), True):
+            dropped.append(folder)
+    return dropped
+
+
 def overwrite_quarters(features: DataFrame, path: str, quarters: Iterable[str]) -> None:
     """Replace the listed quarters, including one that now has no rows.
 

@@ -13,7 +13,6 @@ from millwright.contracts import wire
 from millwright.operators.project import with_defaults
 from millwright.operators.quality import (
     accepted,
-    first_delivery,
     parse_messages,
     quarantined,
     validate,
@@ -47,7 +46,6 @@ def ingest(
     quarantine_path: str,
     checkpoint: str,
     sort_by: list[str],
-    drop_repeats: bool = False,
     available_now: bool = True,
     every: str = "1 hour",
 ) -> StreamingQuery:
@@ -55,9 +53,9 @@ def ingest(
     hourly form; otherwise it runs on and flushes at the given interval.
 
     Spark replays a batch that failed half-way with the same rows and the same number. Both sinks
-    write a batch under its number and replace it, so a replay changes nothing. ``drop_repeats``
-    also removes repeats inside a batch, for sources that can deliver a message twice; a Kafka
-    offset is read once and needs no such shuffle.
+    write a batch under its number and replace it, so a replay changes nothing. Equal messages are
+    all kept: two equal readings are two readings. ``without_redeliveries`` is the one rule that
+    removes repeats, the same for every source and every size of batch.
     """
     row_id = contract.fields[0].name
     columns = [f.name for f in contract.fields]
@@ -70,12 +68,12 @@ def ingest(
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         batch.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         name = f"{number:012d}"
-        if drop_repeats:
-            # The payload is part of the key: a position derived from content may collide.
-            batch = first_delivery(batch, [*POSITION, "value"], ["timestamp"])
         rows = checked(batch, contract).persist()
         try:
-            good = with_defaults(accepted(rows), row_id, POSITION, F.current_timestamp())
+            good = with_defaults(
+                accepted(rows.withColumn("place", F.monotonically_increasing_id())), row_id,
+                [*POSITION, F.lit(number), "place"], F.current_timestamp(),
+            )
             append_raw(good.select(*columns), raw_path, ts, name, sort_by)
             (
                 quarantined(rows)

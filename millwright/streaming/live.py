@@ -1,7 +1,4 @@
-"""Live aggregates: the batch operators on a stream.
-
-The watermark belongs to live data only; see ``ingest`` for why a backfill must not have one.
-"""
+"""Live aggregates: the batch operators on a stream."""
 
 from __future__ import annotations
 
@@ -14,14 +11,18 @@ from pyspark.sql.streaming import StreamingQuery
 def live_aggregate(
     stream: DataFrame,
     aggregate: Callable[[DataFrame], DataFrame],
-    ts: str,
-    late_by: str,
     path: str,
     checkpoint: str,
     available_now: bool = True,
+    ts: str | None = None,
+    late_by: str | None = None,
 ) -> StreamingQuery:
     """Run ``aggregate`` in update mode. Every batch writes the groups it changed under its own
-    number; ``latest`` reads the current value of each."""
+    number; ``latest`` reads the current value of each.
+
+    Quarters, classes and assets bound the state, so no row is ever too late. Only an aggregate over event-time windows
+    needs ``ts`` and ``late_by``, which drop later rows and free the state; ``throughput`` counts what was dropped.
+    """
 
     def keep(changed: DataFrame, number: int) -> None:
         (
@@ -32,8 +33,9 @@ def live_aggregate(
             .parquet(path)
         )
 
+    watched = stream.withWatermark(ts, late_by) if late_by else stream
     writer = (
-        aggregate(stream.withWatermark(ts, late_by))
+        aggregate(watched)
         .writeStream.outputMode("update")
         .foreachBatch(keep)
         .option("checkpointLocation", checkpoint)
@@ -54,6 +56,7 @@ def throughput(query: StreamingQuery) -> list[dict]:
             "batch": p["batchId"],
             "rows": p["numInputRows"],
             "rows_per_second": p["processedRowsPerSecond"],
+            "late_rows_dropped": sum(s["numRowsDroppedByWatermark"] for s in p["stateOperators"]),
         }
         for p in query.recentProgress
     ]
