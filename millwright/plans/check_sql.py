@@ -343,11 +343,8 @@ def oracle() -> dict[str, str]:
         f"select {kept_readings} from hrss_telemetry where reading_timestamp >= date '{q.OLDEST_DAY}'",
         "hrss_telemetry",
     )
-    kept_events = ", ".join(f.name for f in LOGISTICS_EVENTS.fields if f.name != "ingested_at")
-    sql["erased_assets"] = _with(
-        f"""select {kept_events} from logistics_events
-        where cast(split_part(asset_id, '-', 2) as int) % {q.ERASED_SHARE} <> 0""",
-        "logistics_events",
+    sql["erased_readings"] = _with(
+        f"select {kept_readings} from hrss_telemetry where reading_id % {q.ERASED_EVERY} <> 0", "hrss_telemetry",
     )
     sql["tagged_union"] = _with(
         f"select {', '.join(untagged)} from hrss_telemetry", "hrss_telemetry"

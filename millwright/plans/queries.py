@@ -42,7 +42,7 @@ MAD_K = 1.5
 TOP_K = 2
 SALT = "plant-7"
 OLDEST_DAY = "2023-07-01"
-ERASED_SHARE = 10  # one asset in ten asks for erasure
+ERASED_EVERY = 1000  # ids that erasure requests name
 SAMPLE_PERCENT = 10
 SAMPLE_SEED = 42
 BOOTSTRAP_RATE = 0.5
@@ -357,17 +357,15 @@ def retained_readings(spark, sf_dir):
 
 
 @query
-def erased_assets(spark, sf_dir):
-    """The events as a raw table, one asset in ten erased from it, read back."""
+def erased_readings(spark, sf_dir):
+    """The readings as a raw table, those that erasure requests name removed from it, read back."""
     path = shared_dir(spark, "erased")
-    events = fx.logistics_events(spark, sf_dir)
-    tables.append_raw(events, path, "event_timestamp", "0", ["asset_id"])
-    asks = events.select("asset_id").distinct().where(
-        F.substring_index("asset_id", "-", -1).cast("int") % ERASED_SHARE == 0
-    )
-    privacy.erase(spark, path, c.LOGISTICS_EVENTS, "asset_id", asks)
-    return read_raw(spark, path, c.LOGISTICS_EVENTS).select(
-        *[f.name for f in c.LOGISTICS_EVENTS.fields if f.name != "ingested_at"]
+    readings = fx.hrss_telemetry(spark, sf_dir)
+    tables.append_raw(readings, path, "reading_timestamp", "0", ["is_anomalous", "is_optimised"])
+    requests = readings.select("reading_id").where(F.col("reading_id") % ERASED_EVERY == 0)
+    privacy.erase(spark, path, c.HRSS_TELEMETRY, "reading_id", requests)
+    return read_raw(spark, path, c.HRSS_TELEMETRY).select(
+        *[f.name for f in c.HRSS_TELEMETRY.fields if f.name != "ingested_at"]
     )
 
 

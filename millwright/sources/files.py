@@ -43,46 +43,46 @@ def _without(rows: DataFrame, null_texts: tuple[str, ...]) -> DataFrame:
 
 
 _WHOLE, _DECIMAL = r"^[+-]?\d{1,18}$", r"^[+-]?\d+\.\d+$"
+_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 _TIME = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}(\.\d{1,9})?(Z|[+-]\d{2}:\d{2})?$"
 
 
 def inferred(cells: DataFrame) -> T.StructType:
     """The narrowest type that holds every non-NULL cell of each text column: BOOLEAN, BIGINT, DECIMAL of up to 18 digits,
-    DOUBLE, TIMESTAMP, else STRING (also where all cells are NULL). One aggregation, one row."""
-    wide = cells.agg(*[
-        aggregate
-        for i, name in enumerate(cells.columns)
-        for cell in [F.col(_quoted(name))]
-        for digits in [F.regexp_replace(cell, "^[+-]", "")]
-        for plain in [cell.rlike(_WHOLE) | cell.rlike(_DECIMAL)]
-        for aggregate in (
-            F.count(cell).alias(f"{i}_filled"),
-            F.count_if(F.lower(cell).isin("true", "false")).alias(f"{i}_boolean"),
-            F.count_if(cell.rlike(_WHOLE)).alias(f"{i}_whole"),
-            F.count_if(plain).alias(f"{i}_plain"),
-            F.count(cell.try_cast("double")).alias(f"{i}_double"),
-            F.count(F.when(cell.rlike(_TIME), cell).try_cast("timestamp")).alias(f"{i}_time"),
-            F.max(F.when(plain, F.length(F.substring_index(digits, ".", 1)))).alias(f"{i}_left"),
-            F.max(F.when(cell.rlike(_DECIMAL), F.length(F.substring_index(digits, ".", -1)))).alias(f"{i}_right"),
-        )
-    ]).first()
-
-    def type_of(i: int) -> T.DataType:
-        filled = wide[f"{i}_filled"]
-        if not filled:
-            return T.StringType()
-        left, right = wide[f"{i}_left"] or 0, wide[f"{i}_right"] or 0
-        if wide[f"{i}_boolean"] == filled:
+    DOUBLE, TIMESTAMP, else STRING (also where all cells are NULL). Each cell is looked at once; one row per column and
+    kind of cell is counted."""
+    cell = F.col("cell")
+    digits = F.regexp_replace(cell, "^[+-]", "")
+    long = cells.select(F.posexplode(F.array(*[F.col(_quoted(n)) for n in cells.columns])).alias("i", "cell"))
+    kind = (
+        F.when(F.lower(cell).isin("true", "false"), "boolean")
+        .when(cell.rlike(_WHOLE), "whole")
+        .when(cell.rlike(_DECIMAL), "decimal")
+        .when(cell.rlike(_NUMBER), "number")
+        .when(cell.rlike(_TIME), F.when(cell.try_cast("timestamp").isNotNull(), "time").otherwise("text"))
+        .otherwise("text")
+    )
+    seen = long.where(cell.isNotNull()).select(
+        "i", kind.alias("kind"), F.length(F.substring_index(digits, ".", 1)).alias("left"),
+        F.length(F.substring_index(digits, ".", -1)).alias("right"),
+    ).groupBy("i", "kind").agg(F.max("left").alias("left"), F.max("right").alias("right"))
+    found: dict[int, dict[str, tuple[int, int]]] = {}
+    for row in seen.collect():  # at most six kinds per column
+        found.setdefault(row["i"], {})[row["kind"]] = (row["left"], row["right"])
+
+    def type_of(kinds: dict[str, tuple[int, int]]) -> T.DataType:
+        if kinds.keys() == {"boolean"}:
             return T.BooleanType()
-        if wide[f"{i}_whole"] == filled:
+        if kinds.keys() == {"whole"}:
             return T.LongType()
-        if wide[f"{i}_plain"] == filled and left + right <= 18:
-            return T.DecimalType(left + right, right)
-        if wide[f"{i}_double"] == filled:
-            return T.DoubleType()
-        return T.TimestampType() if wide[f"{i}_time"] == filled else T.StringType()
-
-    return T.StructType([T.StructField(n, type_of(i)) for i, n in enumerate(cells.columns)])
+        if kinds.keys() == {"time"}:
+            return T.TimestampType()
+        if kinds.keys() and kinds.keys() <= {"whole", "decimal"}:
+            left, right = max(k[0] for k in kinds.values()), kinds["decimal"][1]
+            return T.DecimalType(left + right, right) if left + right <= 18 else T.DoubleType()
+        return T.DoubleType() if kinds and kinds.keys() <= {"whole", "decimal", "number"} else T.StringType()
+
+    return T.StructType([T.StructField(n, type_of(found.get(i, {}))) for i, n in enumerate(cells.columns)])
 
 
 def _as_type(field: T.StructField):
