@@ -40,11 +40,14 @@ class Tokens:
     pieces recur even more often. All ids come from the tokenizer; strings of other characters go to it whole.
     """
 
-    PLAIN = re.compile("[!-~\u00c0-\u012f\u0131-\u017f]+")
-    #: The pattern of the tokenizer's pre-tokenizer (fixed values), for plain strings in lower case.
+    #: In strings joined by spaces: those with another character than ASCII and Latin letters.
+    OTHER = re.compile("(?<![^ ])[!-~\u00c0-\u012f\u0131-\u017f]*+[^ ]+")
+    #: The pattern of the tokenizer's pre-tokenizer (fixed values), for plain strings in lower case, and the space between.
     CUT = re.compile(
-        "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f]+"
+        "'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00df-\u00f6\u00f8-\u017f]+|[0-9]|[^a-z0-9\u00df-\u00f6\u00f8-\u017f ]+| "
     )
+    #: Stands for that space among ids, all of which are smaller: an id's last byte is never 255.
+    GAP = b"\xff" * 4
 
     def __init__(self, name: str, kept: tuple[int, int]):
         import public_tokenizers
@@ -59,53 +62,61 @@ class Tokens:
         self.pieces: dict[str, bytes] = {}
 
     def _learn_pieces(self, new: list[str]) -> None:
-        for k in range(0, len(new), 512):
-            part = new[k: k + 512]
+        parts = [new[k: k + 512] for k in range(0, len(new), 512)]
+        encoded = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
+        for part, e in zip(parts, encoded):
             # a piece's ids end with the first one that ends a word
-            ids = np.array(self.tokenizer.encode(" ".join(part), add_special_tokens=False).ids, "<u4")
-            at = np.nonzero(self.ends[ids])[0] + 1
+            ids = np.array(e.ids, "<u4")
+            at = ((np.nonzero(self.ends[ids])[0] + 1) * 4).tolist()
             if len(at) != len(part):
                 raise ValueError("the tokenizer cuts words in another way than expected")
-            for w, x in zip(part, np.split(ids, at)):
-                self.pieces[w] = x.tobytes()
+            held = ids.tobytes()
+            self.pieces.update(zip(part, [held[i:j] for i, j in zip([0, *at], at)]))
 
     def _learn(self, new: list[str]) -> None:
-        plain, other = {}, []
-        for w in new:
-            if self.known_layout and self.PLAIN.fullmatch(w) and "<|" not in w:
-                plain[w] = self.CUT.findall(w.lower())
-            else:
-                other.append(w)
-        wanted = {p for cut_ in plain.values() for p in cut_}
+        other = new
+        if self.known_layout:
+            joined = " ".join(new)
+            special = {w for w in new if "<|" in w} if "<|" in joined else set()
+            other = list(special.union(self.OTHER.findall(joined)))
+        plain = list(set(new).difference(other))
+        if plain:
+            self._learn_plain(plain)
+        for k in range(0, len(other), 1024):
+            part = other[k: k + 1024]
+            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
+                self.strings[w] = np.array(e.ids, "<u4").tobytes()
+
+    def _learn_plain(self, plain: list[str]) -> None:
+        """All strings are cut, looked up and divided again at once."""
+        cuts = self.CUT.findall(" ".join(plain).lower())
+        wanted = set(cuts)
+        wanted.discard(" ")
         missing = list(wanted.difference(self.pieces))
         if len(self.pieces) + len(missing) > self.most_pieces:
             self.pieces = _shortest(self.pieces, self.most_pieces)
             missing = list(wanted.difference(self.pieces))
         self._learn_pieces(missing)
-        pieces = self.pieces
-        for w, cut_ in plain.items():
-            self.strings[w] = b"".join([pieces[p] for p in cut_])
-        for k in range(0, len(other), 1024):
-            part = other[k: k + 1024]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self.strings[w] = np.array(e.ids, "<u4").tobytes()
+        self.pieces[" "] = self.GAP
+        held = b"".join(map(self.pieces.__getitem__, cuts)).split(self.GAP)
+        self.strings.update(zip(plain, held, strict=True))
         for p in missing:
             if len(p) > LONGEST_KEPT:
-                del pieces[p]
+                del self.pieces[p]
 
     def ids(self, texts: list[str]) -> list[bytes]:
         split = [x.replace("\n", " ").split(" ") for x in texts]
-        words = {w for s in split for w in s}
+        words = set().union(*split)
         new = list(words.difference(self.strings))
         if len(self.strings) + len(new) > self.most_strings:
             self.strings = _shortest(self.strings, self.most_strings) | {"": b""}
             new = list(words.difference(self.strings))
         self._learn(new)
-        strings = self.strings
-        out = [b"".join([strings[w] for w in s]) for s in split]
+        look_up = self.strings.__getitem__
+        out = [b"".join(map(look_up, s)) for s in split]
         for w in new:
             if len(w) > LONGEST_KEPT:
-                del strings[w]
+                del self.strings[w]
         return out
 
 
