@@ -63,8 +63,8 @@ class Tokens:
 
     def _learn_pieces(self, new: list[str]) -> None:
         parts = [new[k: k + 512] for k in range(0, len(new), 512)]
-        encoded = self.tokenizer.encode_batch_fast([" ".join(p) for p in parts], add_special_tokens=False)
-        for part, e in zip(parts, encoded):
+        for part in parts:
+            [e] = self.tokenizer.encode_batch_fast([" ".join(part)], add_special_tokens=False)
             # a piece's ids end with the first one that ends a word
             ids = np.array(e.ids, "<u4")
             at = ((np.nonzero(self.ends[ids])[0] + 1) * 4).tolist()
