@@ -6,6 +6,8 @@ partitioned. Only the final division is done in doubles.
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column, functions as F, types as T
 
 
@@ -42,6 +44,16 @@ def mean(column: Column, precision: int, places: int, scale: int = 0) -> Column:
     return fixed(divide(F.sum(summed), F.count(column)), precision, places)
 
 
+def exact_ratio(numerator: Column, denominator: Column, places: int) -> Column:
+    """The ratio of whole numbers as DECIMAL(18, places), halves away from zero. All of it is whole-number arithmetic, so
+    a tie is a tie in any engine. NULL when there is nothing to divide by."""
+    size = F.abs(numerator.cast("decimal(20,0)")) * F.lit(Decimal(2 * 10**places))
+    below = F.nullif(denominator, F.lit(0)).cast("decimal(28,0)")
+    steps = F.call_function("div", size + below, below * F.lit(Decimal(2)))
+    signed = F.when(numerator < 0, -steps).otherwise(steps).cast("decimal(18,0)")
+    return (signed * F.lit(Decimal(1).scaleb(-places))).cast(T.DecimalType(18, places))
+
+
 def share_of_rows(condition: Column, places: int = 4) -> Column:
     """Rows meeting the condition over all rows: a NULL condition counts as not met."""
     return fixed(divide(F.count_if(condition), F.count("*")), places + 1, places)

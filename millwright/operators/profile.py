@@ -5,10 +5,13 @@ One wide aggregation covers all columns and only its single row is unpivoted.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window as W, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
-from millwright.functions.measures import divide, fixed, scale_of, units
-from millwright.functions.quantiles import histogram, interpolated, neighbours, slice_bits
+from millwright.functions.casting import nan_to_null
+from millwright.functions.measures import divide, exact_ratio, fixed, units
+from millwright.functions.quantiles import (
+    DOUBLE_CODE, histogram, interpolated, level_bits, level_count, neighbours, scale_code, whole,
+)
 
 
 def kind_of(field: T.StructField, forced_categorical: tuple[str, ...] = ()) -> str:
@@ -117,36 +120,41 @@ def class_weights(readings: DataFrame) -> DataFrame:
 def quantile_profile(
     rows: DataFrame, columns: list[str], probabilities: tuple[float, ...] = (0.25, 0.5, 0.75)
 ) -> DataFrame:
-    """Per numeric column: count, min, exact percentiles, max, mean and sample deviation."""
+    """Per numeric column: count, min, exact percentiles, max, mean and sample deviation. NaN is NULL.
+
+    A result beyond DECIMAL(18,4), as doubles can have, is NULL. The mean of a DOUBLE column is a sum of doubles; all
+    other means are exact.
+    """
     types = {c: rows.schema[c].dataType for c in columns}
+    levels = level_count(list(types.values()))
     long = rows.select(
         F.inline(F.array(*[
             F.struct(
                 F.lit(c).alias("column"),
-                units(F.col(c), scale_of(types[c])).alias("value"),
-                F.lit(slice_bits(types[c])).alias("bits"),
-                F.lit(scale_of(types[c])).alias("scale"),
+                whole(F.col(c), types[c]).alias("value"),
+                F.lit(level_bits(types[c], levels)).alias("bits"),
+                F.lit(scale_code(types[c])).alias("scale"),
             )
             for c in columns
         ]))
     )
-    located = neighbours(
-        histogram(long, ["column", "bits", "scale"], "value"),
-        ["column", "bits", "scale"],
-        list(probabilities),
-        "bits",
-    )
+    keys = ["column", "bits", "scale"]
+    located = neighbours(histogram(long, keys, "value"), keys, list(probabilities), "bits", levels)
+
+    def mean_of(c: str) -> Column:
+        scale = scale_code(types[c])
+        if scale == DOUBLE_CODE:
+            return _narrowed(F.avg(nan_to_null(F.col(c).cast("double"))))
+        return exact_ratio(F.sum(units(F.col(c), scale)), F.count(c) * F.lit(10**scale), 4)
+
     wide = rows.agg(*[
         aggregate
         for c in columns
-        for value in [F.col(c).cast("double")]
+        for value in [nan_to_null(F.col(c).cast("double"))]
         for aggregate in (
             F.min(value).alias(f"{c}__min"),
             F.max(value).alias(f"{c}__max"),
-            (
-                F.sum(units(F.col(c), scale_of(types[c]))).cast("double") / 10 ** scale_of(types[c])
-                / F.nullif(F.count(c), F.lit(0))
-            ).alias(f"{c}__mean"),
+            mean_of(c).alias(f"{c}__mean"),
             F.stddev_samp(value).alias(f"{c}__deviation"),
         )
     ])
@@ -165,27 +173,32 @@ def quantile_profile(
     return located.join(F.broadcast(moments), "column").select(  # one row per profiled column
         "column",
         F.col("total").alias("non_null_count"),
-        fixed(F.col("min"), 18, 4).alias("min_value"),
+        _narrowed(F.col("min")).alias("min_value"),
         *[
-            fixed(interpolated(i, F.col("scale")), 18, 4).alias(f"p{round(p * 100)}")
+            _narrowed(interpolated(i, F.col("scale"))).alias(f"p{round(p * 100)}")
             for i, p in enumerate(probabilities)
         ],
-        fixed(F.col("max"), 18, 4).alias("max_value"),
-        fixed(F.col("mean"), 18, 4).alias("mean_value"),
-        fixed(F.col("deviation"), 18, 4).alias("stddev_value"),
+        _narrowed(F.col("max")).alias("max_value"),
+        F.col("mean").alias("mean_value"),
+        _narrowed(F.col("deviation")).alias("stddev_value"),
     )
 
 
+def _narrowed(value: Column) -> Column:
+    """A double with four decimals; NULL where it does not fit."""
+    return F.round(value, 4).try_cast(T.DecimalType(18, 4))
+
+
 def median_by_group(rows: DataFrame, key: str, value: str) -> DataFrame:
     data_type = rows.schema[value].dataType
-    scale = scale_of(data_type)
+    levels = level_count([data_type])
     located = neighbours(
-        histogram(rows, [key], value, scale), [key], [0.5], slice_bits(data_type)
+        histogram(rows, [key], value), [key], [0.5], level_bits(data_type, levels), levels
     )
     return located.select(
         key,
         F.col("total").alias("non_null_count"),
-        fixed(interpolated(0, F.lit(scale)), 18, 4).alias("median_value"),
+        _narrowed(interpolated(0, F.lit(scale_code(data_type)))).alias("median_value"),
     )
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from millwright.contracts import VALUE_RANGES
 from millwright.functions.casting import NAN_TEXTS, typed
 from millwright.functions.measures import divide, fixed, quarter_start, scale_of, units
-from millwright.functions.quantiles import histogram, neighbours, slice_bits
+from millwright.functions.quantiles import histogram, level_bits, level_count, neighbours
 
 CORRUPT = "_corrupt_record"
 
@@ -165,10 +165,12 @@ def mad_profile(rows: DataFrame, key: str, value: str) -> DataFrame:
     Deviations are taken on the histogram, so the rows are read and shuffled once.
     """
     data_type = rows.schema[value].dataType
-    bits = slice_bits(data_type)
-    counts = histogram(rows, [key], value, scale_of(data_type))
+    if isinstance(data_type, (T.FloatType, T.DoubleType)):
+        raise TypeError("deviations are compared in whole numbers: cast the column to DECIMAL")
+    levels = level_count([data_type])
+    counts = histogram(rows, [key], value)
     never_null = F.lit(0)  # see ``histogram``: keeps both readings of the deviations equal
-    medians = neighbours(counts, [key], [0.5], bits).select(
+    medians = neighbours(counts, [key], [0.5], level_bits(data_type, levels), levels).select(
         key, F.coalesce(F.col("low_0") + F.col("high_0"), never_null).alias("median_2")
     )
     distance = F.abs(2 * F.col("units") - F.col("median_2"))
@@ -177,7 +179,10 @@ def mad_profile(rows: DataFrame, key: str, value: str) -> DataFrame:
         .groupBy(key, "median_2", F.coalesce(distance, never_null).alias("units"))
         .agg(F.sum("n").alias("n"))
     )
-    return neighbours(deviations, [key, "median_2"], [0.5], bits + 1).select(
+    wide = level_count([data_type], extra=2)  # twice a difference
+    return neighbours(
+        deviations, [key, "median_2"], [0.5], level_bits(data_type, wide, extra=2), wide
+    ).select(
         key, "median_2", (F.col("low_0") + F.col("high_0")).alias("mad_4")
     )
 

@@ -126,14 +126,21 @@ def _profile(table: str, columns: list[str], booleans: list[str]) -> str:
     )
 
 
+def _exact_mean(c: str) -> str:
+    """Whole-number division: halves go away from zero in any engine."""
+    one = 10 ** getattr(HRSS_TELEMETRY[c].dataType, "scale", 0)
+    total, below = f"sum(cast({c} * {one} as hugeint))", f"nullif(count({c}) * cast({one} as hugeint), 0)"
+    return f"""cast(cast(sign({total}) as decimal(18,0))
+        * cast((abs({total}) * 20000 + {below}) // (2 * {below}) as decimal(18,0)) * 0.0001 as decimal(18,4))"""
+
+
 def _quantiles() -> str:
     return " union all ".join(
         f"""select '{c}' as "column", count({c}) as non_null_count,
             cast(round(min(cast({c} as double)), 4) as decimal(18,4)) as min_value,
             {', '.join(f"cast(round(quantile_cont(cast({c} as double), {p}), 4) as decimal(18,4)) as p{round(p * 100)}" for p in (0.25, 0.5, 0.75))},
             cast(round(max(cast({c} as double)), 4) as decimal(18,4)) as max_value,
-            cast(round(cast(sum({c}) as double)/nullif(count({c}),0), 4) as decimal(18,4))
-                as mean_value,
+            {_exact_mean(c)} as mean_value,
             cast(round(stddev_samp(cast({c} as double)), 4) as decimal(18,4)) as stddev_value
             from hrss_telemetry"""
         for c in q.QUANTILE_COLUMNS

@@ -1,12 +1,14 @@
 import random
+import struct
 from datetime import timedelta
 from decimal import Decimal
 
 import numpy as np
 import pytest
-from pyspark.sql import types as T
+from pyspark.sql import functions as F, types as T
 
-from millwright.functions.quantiles import slice_bits
+from millwright.functions.measures import exact_ratio
+from millwright.functions.quantiles import LEVEL_BITS, from_order_code, level_bits, level_count, order_code
 from millwright.operators import ordering, profile, quality, rolling
 from tests.conftest import utc
 
@@ -85,10 +87,53 @@ def test_percentiles_of_decimals_and_nulls(spark):
     assert row["max_value"] == Decimal("10000000.0000")
 
 
-def test_slices_are_half_the_type():
-    assert slice_bits(T.IntegerType()) == 16
-    assert slice_bits(T.ShortType()) == 8
-    assert slice_bits(T.DecimalType(14, 7)) == 24
+@pytest.mark.parametrize("data_type, levels", [
+    (T.IntegerType(), 2), (T.DecimalType(12, 2), 2), (T.DecimalType(14, 7), 3), (T.LongType(), 3), (T.DoubleType(), 3),
+])
+def test_a_level_is_bounded(data_type, levels):
+    assert level_count([data_type]) == levels
+    assert level_bits(data_type, levels) <= LEVEL_BITS
+
+
+def test_order_codes_are_bit_patterns(spark):
+    rng = random.Random(7)
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.0**-1022, 1.7976931348623157e308, float("inf"), float("-inf"), 1.0, 0.1]
+    values += [struct.unpack("<d", rng.randbytes(8))[0] for _ in range(3000)]
+    values += [s * np.nextafter(2.0**e, t) for e in range(-1070, 1024, 3) for t in (0, 1e308) for s in (1, -1)]
+    rows = spark.createDataFrame([(float(v),) for v in values], "v double")
+    code = order_code(F.col("v"))
+    for r in rows.select("v", code.alias("code"), from_order_code(code).alias("back")).collect():
+        if np.isnan(r["v"]):
+            assert r["code"] is None
+            continue
+        bits = struct.unpack("<q", struct.pack("<d", abs(r["v"])))[0]
+        assert (r["code"], r["back"]) == (-bits if r["v"] < 0 else bits, r["v"])
+
+
+def test_percentiles_of_doubles(spark):
+    rng = random.Random(2)
+    values = [rng.gauss(0, 1000) for _ in range(400)] + [0.0, -0.0, 1e-9]
+    rows = spark.createDataFrame([("g", v) for v in values + [float("nan"), None]], "g string, v double")
+    row = profile.quantile_profile(rows, ["v"]).head()
+    assert row["non_null_count"] == len(values)
+    for p in (0.25, 0.5, 0.75):
+        assert float(row[f"p{round(p * 100)}"]) == pytest.approx(np.quantile(values, p), abs=1e-4)
+    assert float(row["mean_value"]) == pytest.approx(np.mean(values), abs=1e-4)
+    assert float(profile.median_by_group(rows, "g", "v").head()["median_value"]) == pytest.approx(
+        np.median(values), abs=1e-4)
+
+
+def test_percentiles_of_whole_64_bits(spark):
+    values = [-(2**62), 2**40 + 1, 2**40 + 2, 2**40 + 3, 7]
+    rows = spark.createDataFrame([(v,) for v in values], "v bigint")
+    row = profile.quantile_profile(rows, ["v"], (0.5, 0.75)).head()
+    assert (int(row["p50"]), int(row["p75"])) == (2**40 + 1, 2**40 + 2)
+
+
+def test_means_round_halves_away_from_zero(spark):
+    rows = spark.createDataFrame([(19845, 100000), (-19845, 100000), (5, 0), (None, 3), (1, 3)], "n bigint, d bigint")
+    got = [r[0] for r in rows.select(exact_ratio(F.col("n"), F.col("d"), 4)).collect()]
+    assert [None if v is None else str(v) for v in got] == ["0.1985", "-0.1985", None, None, "0.3333"]
 
 
 def test_outliers_match_brute_force(spark):
