@@ -232,6 +232,18 @@ def oracle() -> dict[str, str]:
     sql["energy_efficiency_by_axis"] = _with(
         _by_axis(_efficiency("'AXIS' as axis,", "coalesce(AXIS_power_w,0)")), "hrss_telemetry"
     )
+    sql["quarterly_tables"] = _with(
+        f"""select e.quarter_start, e.axis, e.power_ratio, a.anomalous_power_share, r.anomaly_rate, r.reading_count
+        from ({_by_axis(_efficiency("'AXIS' as axis,", "coalesce(AXIS_power_w,0)"))}) e
+        join ({_by_axis(f"""select {_quarter('reading_timestamp')} as quarter_start, 'AXIS' as axis,
+            cast(round(cast(sum(case when is_anomalous then AXIS_power_w else 0 end) as double)
+                /nullif(sum(AXIS_power_w),0), 4) as decimal(5,4)) as anomalous_power_share
+            from hrss_telemetry group by 1""")}) a using (quarter_start, axis)
+        join (select {_quarter('reading_timestamp')} as quarter_start, count(*) as reading_count,
+            {_rate('is_anomalous')} as anomaly_rate from hrss_telemetry group by 1) r using (quarter_start)
+        where e.quarter_start = date '{q.REBUILT_QUARTER}'""",
+        "hrss_telemetry",
+    )
     sql["class_rollup"] = _with(
         f"""select is_anomalous, is_optimised,
         cast(grouping(is_anomalous)*2 + grouping(is_optimised) as int) as level,

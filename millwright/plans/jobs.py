@@ -2,19 +2,31 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright import contracts as c
-from millwright.operators.features import hrss_features, logistics_features, stamp
+from millwright.operators.features import (
+    anomaly_rate,
+    anomaly_rate_by_axis,
+    energy_efficiency,
+    energy_efficiency_by_axis,
+    hrss_features,
+    logistics_features,
+    stamp,
+)
 from millwright.operators.profile import category_frequencies, profile_columns, quantile_profile
 from millwright.operators.project import in_quarter
-from millwright.operators.quality import raw_readiness
+from millwright.operators.quality import key_uniqueness, raw_readiness
+from millwright.operators.rolling import rolling_asset_stats
 from millwright.session import use_utc
 from millwright.sources.messages import stream_files, stream_kafka
-from millwright.sources.tables import overwrite_quarters, read_features, read_raw, register
+from millwright.sources.tables import (
+    overwrite_quarter, overwrite_quarters, read_features, read_raw, register,
+)
 from millwright.streaming.ingest import ingest, without_redeliveries
 
 CONTRACTS = {
@@ -31,6 +43,21 @@ FEATURES = {
     c.TOPIC_HRSS: ("hrss_features_quarterly", hrss_features, c.HRSS_KEY, c.HRSS_FEATURES),
 }
 
+ROLLING_DAYS = 7
+
+#: Per topic the further tables of a quarter: name, computation, days of raw data before the quarter it needs.
+REPORTS: dict[str, list[tuple[str, Callable[[DataFrame], DataFrame], int]]] = {
+    c.TOPIC_LOGISTICS: [
+        ("rolling_asset_stats", lambda rows: rolling_asset_stats(rows, ROLLING_DAYS), ROLLING_DAYS),
+    ],
+    c.TOPIC_HRSS: [
+        ("anomaly_rate", anomaly_rate, 0),
+        ("anomaly_rate_by_axis", anomaly_rate_by_axis, 0),
+        ("energy_efficiency", energy_efficiency, 0),
+        ("energy_efficiency_by_axis", energy_efficiency_by_axis, 0),
+    ],
+}
+
 
 class NotReady(Exception):
     """The quarter's raw data is not there yet."""
@@ -73,37 +100,57 @@ def quarterly(
     quarter: str,
     base: str,
     computed_at: datetime,
-    min_rows: int = 0,
-    max_gap_days: int = 92,
+    min_rows: int = 1,
+    max_gap_days: int = 7,
+    topics: tuple[str, ...] = tuple(FEATURES),
 ) -> dict[str, str]:
-    """Rebuild one quarter of both feature tables; running it again gives the same tables.
+    """Rebuild one quarter of the feature tables and reports; running it again gives the same tables.
 
-    With ``min_rows`` the job refuses a quarter whose raw data has not arrived. The check reads
-    one aggregated row per table.
+    The job refuses a quarter whose raw data has not arrived: fewer than ``min_rows`` rows, or none in the last
+    ``max_gap_days`` days (0 rows and 92 days refuse nothing). The check reads one aggregated row per table. Keys are
+    checked before the feature table is replaced.
     """
     use_utc(spark)
     written = {}
-    for topic, (table, compute, key, output) in FEATURES.items():
+    for topic in topics:
+        table, compute, key, output = FEATURES[topic]
         contract, ts, _ = CONTRACTS[topic]
-        rows = in_quarter(read_raw(spark, f"{base}/raw/{topic}", contract), ts, quarter)
+        raw = read_raw(spark, f"{base}/raw/{topic}", contract)
+        rows = in_quarter(raw, ts, quarter)
         if min_rows:
             state = raw_readiness(rows, ts, min_rows, max_gap_days).head()
             if state is None or not state["is_ready"]:
                 raise NotReady(f"{topic} {quarter}: {state}")
-        features = stamp(compute(rows), key, F.lit(computed_at).cast("timestamp"))
-        path = f"{base}/analytics/{table}"
-        overwrite_quarters(features.select(*output.names), path, [quarter])
+        features = stamp(compute(rows), key, F.lit(computed_at).cast("timestamp")).select(*output.names)
+        features.persist()  # aggregated rows, read by the check and the write
+        try:
+            state = key_uniqueness(features, table, key).head()
+            if state["duplicated_keys"]:
+                raise ValueError(f"keys that are not unique: {state}")
+            path = f"{base}/analytics/{table}"
+            overwrite_quarters(features, path, [quarter])
+        finally:
+            features.unpersist()
         written[topic] = path
+        for name, report, lead_days in REPORTS[topic]:
+            found = report(in_quarter(raw, ts, quarter, lead_days))
+            if lead_days:  # what went before only fills the frames
+                found = in_quarter(found, ts, quarter)
+            written[name] = f"{base}/analytics/{name}"
+            overwrite_quarter(found, written[name], quarter)
     return written
 
 
-def serve(spark: SparkSession, base: str) -> list[str]:
-    """Make the raw and the feature tables below ``base`` available to SQL under their names."""
+def serve(spark: SparkSession, base: str, topics: tuple[str, ...] = tuple(CONTRACTS)) -> list[str]:
+    """Make the raw tables, feature tables and reports below ``base`` available to SQL under their names."""
     tables = {}
-    for topic, (contract, _, _) in CONTRACTS.items():
+    for topic in topics:
+        contract = CONTRACTS[topic][0]
         name, _, _, output = FEATURES[topic]
         tables[topic] = read_raw(spark, f"{base}/raw/{topic}", contract)
         tables[name] = read_features(spark, f"{base}/analytics/{name}", output)
+        for report, _, _ in REPORTS[topic]:
+            tables[report] = spark.read.parquet(f"{base}/analytics/{report}")
     register(spark, tables)
     return sorted(tables)
 

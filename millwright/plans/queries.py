@@ -4,7 +4,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -23,7 +23,7 @@ from millwright.operators import (
     sampling,
     tumbling,
 )
-from millwright.plans import fixtures as fx
+from millwright.plans import fixtures as fx, jobs
 from millwright.session import shared_dir
 from millwright.sources import files, tables
 from millwright.sources.messages import as_messages, publish_files, stream_files
@@ -46,6 +46,7 @@ ERASED_EVERY = 1000  # ids that erasure requests name
 SAMPLE_PERCENT = 10
 SAMPLE_SEED = 42
 BOOTSTRAP_RATE = 0.5
+REBUILT_QUARTER = "2023-04-01"
 READY_ROWS = 100
 READY_GAP_DAYS = 7
 
@@ -535,3 +536,23 @@ def overwritten_quarters(spark, sf_dir):
     for _ in range(2):
         overwrite_quarters(computed, f"{base}/hrss", quarters)
     return spark.read.parquet(f"{base}/hrss")
+
+
+@query
+def quarterly_tables(spark, sf_dir):
+    """The quarterly job over the stored readings, its reports read back by SQL."""
+    base = shared_dir(spark, "quarterly")
+    topic = (c.TOPIC_HRSS,)
+    tables.append_raw(
+        fx.hrss_telemetry(spark, sf_dir), f"{base}/raw/{c.TOPIC_HRSS}", "reading_timestamp", "0",
+        ["is_anomalous", "is_optimised"],
+    )
+    moment = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    jobs.quarterly(spark, REBUILT_QUARTER, base, moment, topics=topic)
+    jobs.serve(spark, base, topic)
+    return spark.sql("""
+        select e.quarter_start, e.axis, e.power_ratio, a.anomalous_power_share, r.anomaly_rate, f.reading_count
+        from energy_efficiency_by_axis e join anomaly_rate_by_axis a using (quarter_start, axis)
+        join anomaly_rate r using (quarter_start)
+        join (select quarter_start, sum(reading_count) as reading_count
+            from hrss_features_quarterly group by quarter_start) f using (quarter_start)""")

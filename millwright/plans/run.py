@@ -34,7 +34,8 @@ def arguments(given: list[str] | None = None) -> argparse.Namespace:
     rebuild.add_argument("--quarter", required=True, help="its first day, yyyy-mm-dd")
     rebuild.add_argument("--base", required=True)
     rebuild.add_argument("--computed-at", help="ISO time stored with the rows; default now")
-    rebuild.add_argument("--min-rows", type=int, default=0)
+    rebuild.add_argument("--min-rows", type=int, default=1, help="0: take the quarter as it is")
+    rebuild.add_argument("--max-gap-days", type=int, default=7)
     return parser.parse_args(given)
 
 
@@ -51,7 +52,9 @@ def main(given: list[str] | None = None) -> None:
             datetime.fromisoformat(args.computed_at) if args.computed_at
             else datetime.now(timezone.utc)
         )
-        quarterly(spark, args.quarter, args.base, computed_at, min_rows=args.min_rows)
+        quarterly(
+            spark, args.quarter, args.base, computed_at, min_rows=args.min_rows, max_gap_days=args.max_gap_days,
+        )
 
 
 if __name__ == "__main__":

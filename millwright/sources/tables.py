@@ -100,6 +100,13 @@ def overwrite_quarters(features: DataFrame, path: str, quarters: Iterable[str])
         kept.unpersist()
 
 
+def overwrite_quarter(rows: DataFrame, path: str, quarter: str) -> None:
+    """Replace one quarter's folder by ``rows``, which all belong to it; without rows it becomes empty. Nothing is cached,
+    so the rows may be as many as the raw ones."""
+    kept = rows.drop("quarter_start") if "quarter_start" in rows.columns else rows
+    kept.write.mode("overwrite").parquet(f"{path}/quarter_start={quarter}")
+
+
 _SORT_KEYS = ("quarter_start", "asset_id", "is_anomalous", "is_optimised")
 
 
@@ -113,14 +120,17 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
         rows.createOrReplaceTempView(name)
 
 
-def write_logs(parsed: DataFrame, path: str) -> None:
-    """One folder per day and service; lines without a readable time go to the null-date folder."""
+def write_logs(parsed: DataFrame, path: str, batch: str) -> None:
+    """Add one batch of lines, in folders of day and batch; lines without a readable time go to the null-date folder.
+    A batch that is written again replaces itself. A day's rows are sorted by service and time."""
     (
         parsed.withColumn("log_date", F.to_date("log_time"))
+        .withColumn("batch", F.lit(batch))
         .hint("rebalance", "log_date")
         .sortWithinPartitions("log_date", "service", "log_time")
-        .write.mode("append")
-        .partitionBy("log_date")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("log_date", "batch")
         .parquet(path)
     )
 

@@ -11,7 +11,7 @@ from millwright.sources import tables
 from tests.conftest import SMALL, utc
 
 QUERIES = registry()
-WRITERS = {"tagged_files", "ingest_stream", "live_features", "overwritten_quarters", "sort_events",
+WRITERS = {"quarterly_tables", "tagged_files", "ingest_stream", "live_features", "overwritten_quarters", "sort_events",
            "profile_csv", "retained_readings", "erased_readings"}
 # One row per class cell, per hour or per column meets in one task; nothing else may.
 SMALL_SINGLES = {"class_weights", "hour_profile"}
