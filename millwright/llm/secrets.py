@@ -1,11 +1,11 @@
 """Secret scans: known forms, and strings that a battery of randomness tests can't tell from random ones.
 
-A candidate is a run of letters and digits (with the signs that encodings use) whose encoding is inferred
-from the characters in it. Under the hypothesis that it is random over the encoding's alphabet, three tests
+A candidate is a run of letters and digits (with the signs that encodings use, cut where it mixes the signs of
+two encodings) whose encoding is inferred from the characters in it. Under the hypothesis that it is random over the encoding's alphabet, three tests
 give p-values: chi-squared uniformity of the alphabet, the number of runs above and below its middle, and
 serial correlation at lag one. The least of them, times three, is the candidate's p-value. Candidates that
 are rejected as not random are ordinary text. The rejection level is set per length class over the whole
-corpus by Benjamini and Hochberg's rule, so that the share of real secrets among what is dismissed stays
+corpus, each distinct string once, by Benjamini and Hochberg's rule, so that the share of real secrets among what is dismissed stays
 below a bound for short and long strings alike; p-values are counted in fixed bins for that, never collected.
 """
 
@@ -16,6 +16,7 @@ import re
 from bisect import bisect_right
 
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,9 +37,19 @@ ENCODINGS = [
     ("base62", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"),
     ("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
     ("base64url", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"),
+    ("hex-upper", "0123456789ABCDEF"),
+    ("base36", "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("base36-upper", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
 ]
+#: The smallest alphabets first; an encoding is the first that holds a token.
+BY_SIZE = sorted(ENCODINGS, key=lambda e: len(e[1]))
 #: Least length by encoding: below it the tests have too little power to dismiss ordinary text.
-SHORTEST = {"hex": 32, "base32": 32, "base62": 24, "base64": 24, "base64url": 24}
+SHORTEST = {
+    "hex": 32, "base32": 32, "base62": 24, "base64": 24, "base64url": 24, "hex-upper": 32, "base36": 28,
+    "base36-upper": 28,
+}
+#: Signs of base64 and of base64url. A run that holds both kinds is cut at either kind in turn.
+SIGNS = [re.compile(r"[^/+]+"), re.compile(r"[^_-]+")]
 #: Length classes: up to 31, 47, 63, 127, 255 characters, and more.
 CLASSES = [32, 48, 64, 128, 256]
 #: Share of random strings among those dismissed, at most.
@@ -65,7 +76,7 @@ def encoding(token: str) -> tuple[str, list[int]] | None:
     if not any(c.isdigit() for c in token) or not any(c.isalpha() for c in token):
         return None
     held = set(token)
-    for name, alphabet in ENCODINGS:
+    for name, alphabet in BY_SIZE:
         if held <= set(alphabet):
             if len(token) < SHORTEST[name]:
                 return None
@@ -108,6 +119,10 @@ def _length_class(n: int) -> int:
     return bisect_right(CLASSES, n)
 
 
+def _name(token: str) -> int:
+    return xxhash.xxh64_intdigest(token.encode()) - (1 << 63)
+
+
 def _bin(p: float) -> int:
     return min(BINS - 1, int(-10 * math.log10(p))) if p > 0 else BINS - 1
 
@@ -127,25 +142,44 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 def candidates(text: str) -> list[tuple[int, int, int, float]]:
     """(start, end, length class, p) of the strings that have an encoding."""
     found = []
-    for m in CANDIDATE.finditer(text):
-        token = m[0].rstrip("=")
+    for start, end in _pieces(text):
+        token = text[start:end].rstrip("=")
         if (e := encoding(token)) is not None:
             size = next(len(a) for name, a in ENCODINGS if name == e[0])
-            found.append((m.start(), m.end(), _length_class(len(token)), battery(e[1], size)))
+            found.append((start, end, _length_class(len(token)), battery(e[1], size)))
+    return found
+
+
+def _pieces(text: str) -> list[tuple[int, int]]:
+    """Candidate runs. One that mixes the signs of two encodings belongs to neither: its pieces between the signs
+    of one kind, and those between the signs of the other, are candidates; they may overlap."""
+    found = []
+    for m in CANDIDATE.finditer(text):
+        if not any(kind.fullmatch(m[0]) for kind in SIGNS):
+            found += sorted({
+                (m.start() + x.start(), m.start() + x.end()) for kind in SIGNS for x in kind.finditer(m[0])
+            })
+        else:
+            found.append(m.span())
     return found
 
 
 def levels(documents: DataFrame, share: float = FALSE_SHARE) -> list[int]:
-    """Per length class the bin from which on a p-value is a rejection of randomness."""
-    @F.pandas_udf("array<struct<length:int,bin:int>>")
+    """Per length class the bin from which on a p-value is a rejection of randomness. A string counts once, however
+    often it stands in the corpus."""
+    @F.pandas_udf("array<struct<name:long,length:int,bin:int>>")
     def p_values(texts: pd.Series) -> pd.Series:
         return pd.Series([
-            [{"length": c, "bin": _bin(p)} for _, _, c, p in candidates(x or "")] for x in texts
+            [
+                {"name": _name(x[start:end].rstrip("=")), "length": c, "bin": _bin(p)}
+                for start, end, c, p in candidates(x or "")
+            ]
+            for x in texts
         ], dtype=object)
 
     counted = (
-        documents.select(F.explode(p_values(F.col("text"))).alias("c"))
-        .groupBy("c.length", "c.bin").count().collect()  # at most 6 * BINS rows
+        documents.select(F.explode(p_values(F.col("text"))).alias("c")).select("c.*").distinct()
+        .groupBy("length", "bin").count().collect()  # at most 6 * BINS rows
     )
     found = []
     for k in range(len(CLASSES) + 1):

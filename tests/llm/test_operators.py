@@ -213,6 +213,32 @@ def test_randomness_battery():
     assert secrets.encoding("abcdefghijklmnopqrstuvwxyz") is None
 
 
+def test_keys_of_every_alphabet_are_found(spark):
+    rng = random.Random(8)
+    key = lambda alphabet, n: "".join(rng.choice(alphabet) for _ in range(n))
+    low, digits = "abcdefghijklmnopqrstuvwxyz", "0123456789"
+    want = []
+    for n in (32, 40):
+        for alphabet in (digits + "ABCDEF", low + digits, low.upper() + digits):
+            want += [("see ", key(alphabet, n), " end") for _ in range(25)]
+    want += [("http://h.org/a_b/v1/", key(low + low.upper() + digits, 20) + "-_" + key(digits + low.upper(), 18), "/x") for _ in range(25)]
+    want += [("id-7_", key(low + low.upper() + digits, 20) + "+/" + key(digits + low.upper(), 18), " ") for _ in range(25)]
+    # one ordinary string, very often: it is dismissed, and doesn't dismiss the keys with it
+    rows = [(k, a + b + c) for k, (a, b, c) in enumerate(want)] + [(-k, "name " + "ab12" * 10) for k in range(1, 300)]
+    found = {r.doc_id: [(s.start, s.end) for s in r.secrets if s.kind == 3] for r in secrets.find(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    hit = [any(s <= len(a) and e >= len(a + b) for s, e in found[k]) for k, (a, b, _) in enumerate(want)]
+    assert all(sum(hit[k: k + 25]) >= 23 for k in range(0, len(hit), 25))
+    assert not any(found[-k] for k in range(1, 300))
+
+
+def test_levels_count_a_string_once(spark):
+    rng = random.Random(9)
+    alphabet = secrets.ENCODINGS[2][1]
+    rows = [(k, "".join(rng.choice(alphabet) for _ in range(40))) for k in range(100)] + [(200, "ab12" * 10)]
+    frame = lambda x: spark.createDataFrame(x, "doc_id long, text string")
+    assert secrets.levels(frame(rows)) == secrets.levels(frame(rows + rows[-1:] * 5000))
+
+
 def test_neighbours(spark):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(300, 16)).astype(np.float32)
