@@ -1,9 +1,9 @@
 """License scans by diagonal voting.
 
 Every run of `GRAM` words of a document is looked up among the runs of the templates. A hit at document
-word p and template word t votes for the diagonal p - t of that template; diagonals at most `DRIFT`
-apart (words put in or left out) are merged, and a merged diagonal is a match if the template's runs that
-it really holds, compared word for word, cover the needed share.
+word p and template word t votes for the diagonal p - t of that template; diagonals at most half the template's
+length apart, or `DRIFT`, (words put in or left out) are merged, and a merged diagonal is a match if the template's
+runs that it really holds, compared word for word, cover the needed share of the template's words.
 """
 
 from __future__ import annotations
@@ -15,8 +15,9 @@ from millwright.llm.ngrams import BitTable, candidates, gram_hash, grams, word_h
 from millwright.llm.tables import words
 
 GRAM = 5
+#: Least distance of diagonals that are merged whatever the template's length.
 DRIFT = 3
-#: Share of a template's runs that a match holds at least.
+#: Share of a template's words that lie in the runs of a match, at least.
 COVER = 0.8
 
 #: Phrases and their labels (fixed values).
@@ -84,19 +85,27 @@ def _template_runs(spark, templates: list[tuple[str, str]]) -> DataFrame:
     return (
         frame.select("template", "label", F.size("words").alias("n"), F.explode(grams(F.col("words"), GRAM)).alias("w"))
         .select(
-            "template", "label", F.col("w.start").alias("t"), "w.gram",
+            "template", "label", "n", F.col("w.start").alias("t"), "w.gram",
             (F.col("n") - GRAM + 1).alias("runs"),
         )
         .withColumn("hash", gram_hash(word_hashes(F.split("gram", " ")), F.lit(0), GRAM))
     )
 
 
+def _words_under(held: Column, n: Column) -> Column:
+    """How many of a template's `n` words lie in the runs that start at `held`."""
+    return F.size(F.array_distinct(F.flatten(F.transform(
+        held, lambda t: F.sequence(t, F.least(t + GRAM, n) - 1)
+    ))))
+
+
 def licenses(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES) -> DataFrame:
     """Per document: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score, matches.
 
     Base: all places of the phrases, with the smallest and largest start (null if none). `matches` lists
-    (label, start, end, cover) of the template passages found, in words, end exclusive. `labels` joins both
-    kinds of label. `score` is the best cover of a template, 1 where a phrase stands. A null text is empty.
+    (label, start, end, cover) of the template passages found, in words, end exclusive; `cover` is the share of the
+    template's words under runs held. `labels` joins both kinds of label. `score` is the best share of a
+    template's runs held, which an edit lowers by up to GRAM runs, 1 where a phrase stands. A null text is empty.
     Documents are rows: repeated rows are judged each. The templates are a parameter of bounded size, not
     data; they alone are broadcast.
     """
@@ -127,7 +136,7 @@ def licenses(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
         .groupBy("row", "template", (F.col("w.start") - F.col("t")).alias("diagonal"))
         .agg(
             F.first("doc").alias("doc"), F.first("label").alias("label"), F.first("runs").alias("runs"),
-            F.collect_set("t").alias("held"),
+            F.first("n").alias("n"), F.collect_set("t").alias("held"),
             F.min("w.start").alias("start"), F.max(F.col("w.start") + GRAM).alias("end"),
         )
     )
@@ -135,7 +144,7 @@ def licenses(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
     merged = F.expr(f"""
         aggregate(diagonals,
           cast(array() as array<struct<diagonal:int,start:int,end:int,held:array<int>>>), (done, d) ->
-          if(size(done) > 0 and d.diagonal - element_at(done, -1).diagonal <= {DRIFT},
+          if(size(done) > 0 and d.diagonal - element_at(done, -1).diagonal <= greatest({DRIFT}, n div 2),
              concat(slice(done, 1, size(done) - 1), array(struct(
                d.diagonal as diagonal,
                least(element_at(done, -1).start, d.start) as start,
@@ -145,7 +154,7 @@ def licenses(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
     per_template = (
         votes.groupBy("row", "template").agg(
             F.first("doc").alias("doc"), F.first("label").alias("label"), F.first("runs").alias("runs"),
-            F.sort_array(F.collect_list(F.when(
+            F.first("n").alias("n"), F.sort_array(F.collect_list(F.when(
                 F.col("template").isNotNull(), F.struct("diagonal", "start", "end", "held")
             ))).alias("diagonals"),
         )
@@ -153,7 +162,7 @@ def licenses(documents: DataFrame, templates: list[tuple[str, str]] = TEMPLATES)
         .withColumn("matches", F.filter(
             F.transform("merged", lambda d: F.struct(
                 F.col("label").alias("label"), d["start"].alias("start"), d["end"].alias("end"),
-                (F.size(d["held"]) / F.col("runs")).alias("cover"),
+                (_words_under(d["held"], F.col("n")) / F.col("n")).alias("cover"),
             )),
             lambda m: m["cover"] >= COVER,
         ))

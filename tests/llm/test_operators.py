@@ -166,6 +166,22 @@ def test_licenses(spark, docs, empty):
     assert licenses.licenses(empty).count() == 0
 
 
+def test_one_edit_in_the_middle_keeps_every_template(spark):
+    rows, want = [], {}
+    for label, text in licenses.TEMPLATES:
+        w = plain.words(text)
+        at = len(w) // 2
+        edits = [w[:at] + ["changed"] + w[at + 1:], w[:at] + ["put"] + w[at:], w[:at] + "four or more words".split() + w[at:]]
+        for e in edits:
+            want[len(rows)] = label
+            rows.append((len(rows), " ".join(["before", *e, "after"])))
+    # half a notice is none
+    rows += [(1000 + k, " ".join(plain.words(t)[: len(plain.words(t)) // 2])) for k, (_, t) in enumerate(licenses.TEMPLATES)]
+    found = {r.doc_id: {m.label for m in r.matches} for r in licenses.licenses(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert {k: v for k, v in found.items() if k < 1000} == {k: {v} for k, v in want.items()}
+    assert not any(v for k, v in found.items() if k >= 1000)
+
+
 def test_language(spark, docs, empty):
     rows, frame = docs
     rng = random.Random(1)
