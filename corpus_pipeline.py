@@ -19,7 +19,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays."""
+    """One document of each group of linked SimHash fingerprints stays (the operator's shingle length and bit distance)."""
     return simhash.one_of_each(docs)
 
 

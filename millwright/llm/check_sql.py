@@ -53,7 +53,8 @@ kept as (
       || case when max(last) < max(n) then hex(max(t)[max(last) + 1:max(n)]) else '' end as rest
   from cut join d using (r) group by r)
 select doc_id, n as n_bytes, cast(coalesce(n_removed, 0) as bigint) as n_removed,
-  cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(rest, hex(t)))) as kept_sha256
+  cast(coalesce(n_spans, 0) as bigint) as n_spans, sha256(unhex(coalesce(rest, hex(t)))) as kept_sha256,
+  n - cast(coalesce(n_removed, 0) as bigint) as n_kept
 from d left join kept using (r)"""
 
 

@@ -37,7 +37,7 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(read(spark, sf_dir, "documents"), with_kept=False).select(
-        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", (F.col("n_bytes") - F.col("n_removed")).alias("n_kept")
     )
 
 

@@ -20,7 +20,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from millwright.llm import resemblance
 from millwright.llm.components import components
 from millwright.llm.tables import saved, text_key
 
@@ -226,21 +225,17 @@ def near_duplicates(documents: DataFrame) -> DataFrame:
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """One document of every group, all its columns unchanged: the one with the least doc_id.
-
-    A group joins texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more (see
-    resemblance); op1's fingerprints play no part. Texts without words are one group.
+    """One document of every group of linked fingerprints, all its columns unchanged: the one with the least doc_id.
 
     Of several rows with that doc_id, the one whose text has the least hash stays; of rows equal in both, one. A
     group whose ids are all null keeps one row the same way.
     """
     key = ["doc_id", "key_1", "key_2"]
     marked = saved(
-        documents.select("doc_id", *text_key(F.col("text")), resemblance.features(F.col("text")).alias("of"))
-        .select(*key, "of.*"),
-        "document-shingles",
+        documents.select("doc_id", *text_key(F.col("text")), fingerprint(F.col("text")).alias("fp")),
+        "document-fingerprints",
     )
-    group = resemblance.groups(marked, documents.select(*text_key(F.col("text")), "text"), ["key_1", "key_2"])
+    group = _groups(marked)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("last"), *key))
     of_fp = marked.groupBy("fp").agg(first.alias("first"))
     chosen = (
