@@ -122,5 +122,27 @@ select page_id, host, path, {_RULE} as rule,
 from judged left join told using (node)"""
 
 
+RANKING = f"""
+with d as (select row_number() over () as r, doc_id, {_WORDS} as w from documents),
+b as (select row_number() over () as q, item_id, {_WORDS} as w from benchmark),
+asked as (select q, unnest(w) as term from b),
+total as (select count(*) as docs, cast(sum(len(w)) as bigint) as terms from d where len(w) > 0),
+found as (
+  select r, term, count(*) as tf from (select r, unnest(w) as term from d)
+  where term in (select term from asked) group by r, term),
+weights as (
+  select term, cast(floor(1000 * ln((2 * max(docs) + 2) / (2 * count(*) + 1))) as bigint) as weight
+  from found, total group by term),
+parts as (
+  select r, term, weight * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * len(w) * docs) // terms))) as part
+  from found join weights using (term) join d using (r), total),
+scores as (
+  select q, r, cast(sum(part) as bigint) as score from asked join parts using (term) group by q, r),
+ranked as (
+  select q, doc_id, score, row_number() over (partition by q order by score desc, doc_id) as n
+  from scores join d using (r) where score > 0)
+select item_id, cast(n as integer) as rank, doc_id, score from ranked join b using (q) where n <= 20"""
+
+
 def oracle() -> dict[str, str]:
-    return {"op3_decontaminate": DECONTAMINATE, "op4_repeats": REPEATS, "op5_urls": URLS}
+    return {"op3_decontaminate": DECONTAMINATE, "op4_repeats": REPEATS, "op5_urls": URLS, "op12_ranking": RANKING}

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm import (
-    decontaminate, language, licenses, neighbours, packing, repeats, secrets, sharding, simhash, urls,
+    decontaminate, katz, language, licenses, neighbours, packing, ranking, repeats, secrets, sharding, simhash, turns, urls,
 )
 from millwright.llm.tables import read
 
@@ -88,11 +88,53 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read(spark, sf_dir, "documents"))
 
 
+def op11_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 1, F.lit(False))
+    found = katz.score(read(spark, sf_dir, "documents"), ~held_out)
+    return found.select(
+        "doc_id", (~F.col("trained")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
+
+
+def op12_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """The conversations with planted faults: rows dropped, emptied, cut off, repeated or given to the user."""
+    or_space = lambda c: F.coalesce(F.col(c).cast("string"), F.lit(" "))
+    fate = F.crc32(F.concat(or_space("conv_id"), F.lit(":"), or_space("turn"))) % 20
+    text = F.when(fate == 1, "").when(fate == 2, F.translate(or_space("text"), ".!?", "")).otherwise(or_space("text"))
+    times = F.when(fate == 3, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    return rows.where(fate != 0).select(
+        "conv_id", "turn", F.when(fate == 4, "user").otherwise(or_space("role")).alias("role"), text.alias("text"),
+        F.explode(times).alias("copy"),
+    ).drop("copy")
+
+
+def op13_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = read(spark, sf_dir, "conversations")
+    found, rows = turns.repair(damaged(conversations))
+    known = found.withColumnRenamed("conv_id", "id")
+    digest = turns.digests(rows).withColumnRenamed("conv_id", "id_")
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    return (
+        conversations.select("conv_id").distinct()
+        .join(known, F.col("conv_id").eqNullSafe(F.col("id")), "left")
+        .join(digest, F.col("conv_id").eqNullSafe(F.col("id_")), "left")
+        .select(
+            "conv_id", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+            F.coalesce("audit", F.lit("")).alias("audit"),
+            F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+        )
+    )
+
+
 def registry() -> dict:
     from corpus_pipeline import run
 
     found = [
         op1_simhash, op2_language, op3_decontaminate, op4_repeats, op5_urls, op6_licenses, op7_sharding,
-        op8_secrets, op9_neighbours, op10_packing,
+        op8_secrets, op9_neighbours, op10_packing, op11_katz, op12_ranking, op13_conversations,
     ]
     return {f.__name__: f for f in found} | {"pipeline": run}

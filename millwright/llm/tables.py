@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from millwright.session import shared_dir
 
@@ -46,3 +49,13 @@ def text_key(text: Column) -> list[Column]:
         F.xxhash64(text, F.lit(1)).alias("key_1"),
         F.xxhash64(F.lit(2), F.length(text), text).alias("key_2"),
     ]
+
+
+def arrow_schema(schema: T.StructType) -> pa.Schema:
+    return to_arrow_schema(schema)
+
+
+def arrow_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    """Rows of a task as a batch; nulls and whole numbers stay exact, which pandas does not grant."""
+    columns = list(zip(*rows)) or [()] * len(schema)
+    return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
