@@ -9,14 +9,15 @@ turn a number into its count.
 The steps, each a Spark job over packed arrays rather than rows:
 
 1. Documents become blocks of about a million tokens with a dictionary each.
-2. Dictionaries are merged by ranges of word hashes; words get their numbers, and every block gets those of its words.
+2. Dictionaries are merged by ranges of word hashes; words get their numbers, the frequent ones small ones, and every
+   block gets those of its words.
 3. Blocks deal the grams of their tokens, each with its document, to the buckets; a bucket is sorted and stored once.
 4. Counts of counts give the Good-Turing discounts of each order.
 5. Buckets are evaluated; documents add up what they get.
 
 A word with more than HOT tokens does not get a bucket: its grams stay spread over the blocks that they come from, their
 counts are merged with Spark's own aggregations and joins, and the probabilities are joined back. Words are told apart by
-their XXH64 alone.
+63 bits of their XXH64 alone. What a step no longer needs is deleted.
 """
 
 from __future__ import annotations
@@ -33,14 +34,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.llm.tables import arrow_batch, arrow_schema, saved
+from millwright.session import shared_dir
+from millwright.sources.layout import delete
 
 ORDER = 3
 #: Counts up to this one are discounted.
 MOST_DISCOUNTED = 5
-#: Tokens of a block and of a bucket, and words of a dictionary's range, on average.
-BLOCK = 1 << 20
+#: Tokens of a block; tokens of a bucket, and words of a dictionary's range, on average.
+BLOCK, BUCKET = 1 << 21, 1 << 20
 #: Tokens of a word that still has a bucket.
 HOT = 1 << 21
+#: The most frequent words, at most so many, are numbered without gaps.
+HEAD = 1 << 16
 #: Numbers of the unknown word and of what stands before a document; known words follow.
 UNKNOWN, START, FIRST = 0, 1, 2
 #: The end of a document; no word holds a line feed.
@@ -114,38 +119,46 @@ class _Index(dict):
 
 
 def _part(keys: np.ndarray, parts: int) -> np.ndarray:
-    """The range of each unsigned hash, in ascending order like the hashes."""
-    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    """The range of each hash of 63 bits, in ascending order like the hashes."""
+    return (keys >> 31) * parts >> 32
+
+
+#: Kinds of rows that a block leaves, each in a folder of its own.
+DOCS, TOKENS, WORDS = "docs", "tokens", "words"
 
 
 def blocks(documents: DataFrame, trained: Column) -> DataFrame:
-    """Blocks of whole documents: docs (row, doc_id, trained, n), tokens, words (hashes, ascending), n_words, n_tokens,
-    known (their counts in training documents) and total (in all). Tokens are places among the words.
+    """Blocks of whole documents, three rows each, by `kind`: the documents (row, doc_id, trained); tokens, as places in the
+    block's dictionary, with the documents' rows, lengths and whether they are trained on; the dictionary's hashes in
+    ascending order, their places, and their counts in training documents and in all.
     """
     doc_id = documents.select("doc_id").schema["doc_id"].dataType
-    of_doc = T.StructType([
-        T.StructField("row", T.LongType()), T.StructField("doc_id", doc_id), T.StructField("trained", T.BooleanType()),
-        T.StructField("n", T.LongType()),
-    ])
+    of_doc = T.StructType([T.StructField("row", T.LongType()), T.StructField("doc_id", doc_id), T.StructField("trained", T.BooleanType())])
     schema = T.StructType(
-        [T.StructField("docs", T.ArrayType(of_doc))]
-        + [T.StructField(c, T.BinaryType()) for c in ("tokens", "words", "known", "total")]
-        + [T.StructField(c, T.LongType()) for c in ("n_words", "n_tokens")]
+        [T.StructField("block", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("docs", T.ArrayType(of_doc))]
+        + [T.StructField(c, T.BinaryType()) for c in ("tokens", "places", "rows", "lengths", "trained", "words", "known", "total")]
+        + [T.StructField("n", T.LongType())]
     )
     out = arrow_schema(schema)
 
-    def block(docs, places, index):
-        words = np.array([xxhash.xxh64_intdigest(w) for w in index], np.uint64)
+    def block(docs, found, index):
+        tokens = np.concatenate(found)
+        rows, lengths, is_trained = (np.array([d[k] for d in docs], np.int64) for k in (0, 3, 2))
+        # places go by frequency: small numbers pack well
+        times = np.bincount(tokens, minlength=len(index))
+        by_count = np.argsort(-times, kind="stable")
+        place = np.empty(len(index), np.int64)
+        place[by_count] = np.arange(len(index))
+        words = np.array([xxhash.xxh64_intdigest(w) >> 1 for w in index], np.int64)
+        known = np.bincount(tokens[np.repeat(is_trained, lengths) == 1], minlength=len(index))
         order = np.argsort(words)
-        number = np.empty(len(order), np.int64)
-        number[order] = np.arange(len(order))
-        tokens = number[np.concatenate(places)]
-        known = np.repeat([d[2] for d in docs], [d[3] for d in docs])
-        counts = [np.bincount(t, minlength=len(words)) for t in (tokens[known], tokens)]
-        names = ("row", "doc_id", "trained", "n")
-        return arrow_batch([(
-            [dict(zip(names, d)) for d in docs], _pack(tokens), words[order].tobytes(), *map(_pack, counts), len(words), len(tokens)
-        )], out)
+        name = docs[0][0]
+        listed = [{"row": r, "doc_id": i, "trained": t} for r, i, t, _ in docs]
+        return arrow_batch([
+            (name, DOCS, listed, *[None] * 8, len(docs)),
+            (name, TOKENS, None, _pack(place[tokens]), None, _pack_sorted(rows), _pack(lengths), _pack(is_trained), None, None, None, len(tokens)),
+            (name, WORDS, None, None, _pack(place[order]), None, None, None, _pack_sorted(words[order]), _pack(known[order]), _pack(times[order]), len(words)),
+        ], out)
 
     def run(batches):
         docs, places, index, held = [], [], _Index(), 0
@@ -165,7 +178,7 @@ def blocks(documents: DataFrame, trained: Column) -> DataFrame:
     numbered = documents.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(trained, F.lit(True)).alias("trained"), "text"
     )
-    return numbered.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
+    return numbered.mapInArrow(run, schema)
 
 
 # --- words and their numbers ---------------------------------------------------------------------
@@ -178,6 +191,9 @@ class Words:
     base: np.ndarray  # the first number of each class
     count: np.ndarray
     types: np.ndarray  # how many words it has
+    dense: np.ndarray  # whether its words are numbered without gaps; if so, all are listed here:
+    head: np.ndarray  # hashes, ascending
+    head_numbers: np.ndarray
     first_cold: int  # numbers from FIRST up to here are hot
     parts: int
 
@@ -185,6 +201,11 @@ class Words:
     def tokens(self) -> int:
         return int((self.count * self.types).sum())
 
+    def of_class(self, cold: np.ndarray, counts: np.ndarray) -> np.ndarray:
+        """The classes of words. They go by (cold, -count), which makes one ascending key."""
+        key = lambda is_cold, count: (is_cold.astype(np.int64) << 62) - count
+        return np.searchsorted(key(self.base >= self.first_cold, self.count), key(cold, counts))
+
     def counts(self, numbers: np.ndarray) -> np.ndarray:
         if not len(self.base):
             return np.zeros(len(numbers), np.int64)
@@ -228,27 +249,26 @@ def discounts(n: list[int]) -> np.ndarray:
     return kept
 
 
-def _requests(known: DataFrame, parts: int) -> DataFrame:
-    """The words of each block by range: part, block, words, known, total."""
+def _requests(known: DataFrame, parts: int, *counts: str) -> DataFrame:
+    """The words of each block by range: part, block, words and the counts named."""
     schema = T.StructType(
         [T.StructField("part", T.LongType()), T.StructField("block", T.LongType())]
-        + [T.StructField(c, T.BinaryType()) for c in ("words", "known", "total")]
+        + [T.StructField(c, T.BinaryType()) for c in ("words", *counts)]
     )
     out = arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            for block, words, known, total in _each(batch):
-                words = np.frombuffer(words, np.uint64)
-                counts = [_unpack(known), _unpack(total)]
+            for block, words, *packed in _each(batch):
+                words, *columns = _unpack_sorted(words), *map(_unpack, packed)
                 part = _part(words, parts)
-                opens = _opens(part)
-                rows = []
-                for a, b in zip(opens, np.append(opens[1:], len(part))):
-                    rows.append((int(part[a]), block, words[a:b].tobytes(), *[_pack(c[a:b]) for c in counts]))
-                yield arrow_batch(rows, out)
+                cuts = _opens(part)
+                yield arrow_batch([
+                    (int(part[a]), block, _pack_sorted(words[a:b]), *[_pack(c[a:b]) for c in columns])
+                    for a, b in zip(cuts, np.append(cuts[1:], len(part)))
+                ], out)
 
-    return known.select("block", "words", "known", "total").mapInArrow(run, schema)
+    return known.select("block", "words", *counts).mapInArrow(run, schema)
 
 
 def _vocabulary(requests: DataFrame, hot: int) -> DataFrame:
@@ -261,7 +281,7 @@ def _vocabulary(requests: DataFrame, hot: int) -> DataFrame:
     out = arrow_schema(schema)
 
     def merge(table: pa.Table) -> pa.Table:
-        words = np.concatenate([np.frombuffer(w, np.uint64) for w in table["words"].to_pylist()])
+        words = _joined(table["words"].to_pylist(), _unpack_sorted)
         order = np.argsort(words, kind="stable")
         words = words[order]
         opens = _opens(words)
@@ -270,12 +290,28 @@ def _vocabulary(requests: DataFrame, hot: int) -> DataFrame:
         words, known, is_hot = words[opens][seen], known[seen], total[seen] > hot
         classes, n = np.unique(2 * known + is_hot, return_counts=True)
         listed = [{"hot": bool(c & 1), "count": int(c >> 1), "n": int(k)} for c, k in zip(classes, n)]
-        row = (table["part"][0].as_py(), words.tobytes(), _pack(known), _pack(is_hot.astype(np.int64)), listed)
+        row = (table["part"][0].as_py(), _pack_sorted(words), _pack(known), _pack(is_hot.astype(np.int64)), listed)
         return pa.Table.from_batches([arrow_batch([row], out)])
 
     return requests.groupBy("part").applyInArrow(merge, schema)
 
 
+def _frequent(vocabulary: DataFrame, least: int) -> np.ndarray:
+    """(cold, -count, hash) of the words counted at least so often, in that order; HEAD of them at most."""
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in ("cold", "count", "word")])
+
+    def run(batches):
+        for batch in batches:
+            for words, counts, is_hot in _each(batch):
+                words, counts, is_hot = _unpack_sorted(words), _unpack(counts), _unpack(is_hot)
+                head = counts >= least
+                columns = [pa.array(c[head]) for c in (1 - is_hot, counts, words)]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    rows = vocabulary.select("words", "counts", "is_hot").mapInArrow(run, schema).collect()
+    return np.array(sorted((r["cold"], -r["count"], r["word"]) for r in rows), np.int64).reshape(-1, 3)
+
+
 def _classes(vocabulary: DataFrame, parts: int) -> Words:
     # at most twice as many rows as there are different counts, and these add up to no more than the tokens
     rows = sorted((
@@ -283,27 +319,39 @@ def _classes(vocabulary: DataFrame, parts: int) -> Words:
         for r in vocabulary.select(F.explode("classes").alias("c")).groupBy("c.hot", "c.count")
         .agg(F.max("c.n").alias("most"), F.sum("c.n").alias("n")).collect()
     ))
+    least = 1 + sum(-r[1] * r[3] for r in rows) // HEAD
     base, at, first_cold = [], FIRST, FIRST
-    for cold, _, most, _ in rows:
+    for cold, count, most, n in rows:
         base.append(at)
-        at += most * parts
+        at += n if -count >= least else most * parts
         if not cold:
             first_cold = at
     as_array = lambda values: np.array(list(values), np.int64)
-    return Words(as_array(base), as_array(-r[1] for r in rows), as_array(r[3] for r in rows), first_cold, parts)
-
-
-def _numbers(part: int, counts: np.ndarray, is_hot: np.ndarray, words: Words) -> np.ndarray:
-    """The numbers of a range's words. Ranges take turns in a class, so that they need not know of each other."""
-    cold = words.base >= words.first_cold
-    # classes go by (cold, -count); both sides get one ascending key
-    key = lambda cold, count: (cold.astype(np.int64) << 62) - count
-    of = np.searchsorted(key(cold, words.count), key(~is_hot, counts))
+    words = Words(
+        as_array(base), as_array(-r[1] for r in rows), as_array(r[3] for r in rows), np.array([-r[1] >= least for r in rows], bool),
+        np.zeros(0, np.int64), np.zeros(0, np.int64), first_cold, parts,
+    )
+    found = _frequent(vocabulary, least)
+    of = words.of_class(found[:, 0] == 1, -found[:, 1])
+    opens = _opens(of)
+    numbers = words.base[of] + np.arange(len(of)) - np.repeat(opens, _sizes(opens, len(of)))
+    order = np.argsort(found[:, 2])
+    words.head, words.head_numbers = found[order, 2], numbers[order]
+    return words
+
+
+def _numbers(part: int, keys: np.ndarray, counts: np.ndarray, is_hot: np.ndarray, words: Words) -> np.ndarray:
+    """The numbers of a range's words. Ranges take turns in a class, so that they need not know of each other; only the
+    frequent words are numbered in one row."""
+    of = words.of_class(~is_hot, counts)
     order = np.argsort(of, kind="stable")
     opens = _opens(of[order])
     place = np.empty(len(of), np.int64)
     place[order] = np.arange(len(of)) - np.repeat(opens, _sizes(opens, len(of)))
-    return words.base[of] + place * words.parts + part
+    numbers = words.base[of] + place * words.parts + part
+    dense = words.dense[of]
+    numbers[dense] = words.head_numbers[np.searchsorted(words.head, keys[dense])]
+    return numbers
 
 
 def _replies(requests: DataFrame, vocabulary: DataFrame, words: Words) -> DataFrame:
@@ -312,22 +360,38 @@ def _replies(requests: DataFrame, vocabulary: DataFrame, words: Words) -> DataFr
     out = arrow_schema(schema)
 
     def look_up(asked: pa.Table, table: pa.Table) -> pa.Table:
-        rows = []
+        rows, known, numbers = [], np.zeros(0, np.int64), None
         if table.num_rows:
-            part = table["part"][0].as_py()
-            known = np.frombuffer(table["words"][0].as_py(), np.uint64)
-            numbers = _numbers(part, _unpack(table["counts"][0].as_py()), _unpack(table["is_hot"][0].as_py()) == 1, words)
+            known = _unpack_sorted(table["words"][0].as_py())
+            counts, is_hot = (_unpack(table[c][0].as_py()) for c in ("counts", "is_hot"))
+            numbers = _numbers(table["part"][0].as_py(), known, counts, is_hot == 1, words)
         for part, block, found in zip(*[asked[c].to_pylist() for c in ("part", "block", "words")]):
-            found = np.frombuffer(found, np.uint64)
+            found = _unpack_sorted(found)
             reply = np.full(len(found), UNKNOWN)
-            if table.num_rows and len(known):
+            if len(known):
                 at = np.minimum(np.searchsorted(known, found), len(known) - 1)
                 reply = np.where(known[at] == found, numbers[at], UNKNOWN)
             rows.append((block, part, _pack(reply)))
         return pa.Table.from_batches([arrow_batch(rows, out)])
 
-    ask = requests.select("part", "block", "words").groupBy("part")
-    return ask.cogroup(vocabulary.select("part", "words", "counts", "is_hot").groupBy("part")).applyInArrow(look_up, schema)
+    return requests.groupBy("part").cogroup(
+        vocabulary.select("part", "words", "counts", "is_hot").groupBy("part")
+    ).applyInArrow(look_up, schema)
+
+
+def _numbered(known: DataFrame, replies: DataFrame) -> DataFrame:
+    """block, numbers: those of a block's words by their place there."""
+    schema = T.StructType([T.StructField("block", T.LongType()), T.StructField("numbers", T.BinaryType())])
+    out = arrow_schema(schema)
+
+    def gather(left: pa.Table, right: pa.Table) -> pa.Table:
+        parts = [b for _, b in sorted(zip(right["part"].to_pylist(), right["numbers"].to_pylist()))]
+        places = _unpack(left["places"][0].as_py())
+        numbers = np.empty(len(places), np.int64)
+        numbers[places] = _joined(parts)
+        return pa.Table.from_batches([arrow_batch([(left["block"][0].as_py(), _pack(numbers))], out)])
+
+    return known.select("block", "places").groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(gather, schema)
 
 
 # --- grams ---------------------------------------------------------------------------------------
@@ -340,17 +404,18 @@ _GRAMS = T.StructType(
 )
 
 
-def _dealt(known: DataFrame, replies: DataFrame, words: Words, order: int, buckets: int, hot_pieces: int, start_is_hot: bool) -> DataFrame:
+def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buckets: int, hot_pieces: int, start_is_hot: bool) -> DataFrame:
     """The grams of all tokens by bucket, and per block the figures of its documents (unigram sums, known tokens)."""
     out = arrow_schema(_GRAMS)
     n, v_types = words.tokens, int(words.types.sum())
 
     def deal(left: pa.Table, right: pa.Table) -> pa.Table:
         block = left["block"][0].as_py()
-        numbers = _joined([b for _, b in sorted(zip(right["part"].to_pylist(), right["numbers"].to_pylist()))])
-        w = numbers[_unpack(left["tokens"][0].as_py())]
-        docs = left["docs"][0].as_py()
-        length = np.array([d["n"] for d in docs])
+        rows, length, trained, tokens = (
+            unpack(left[c][0].as_py())
+            for c, unpack in (("rows", _unpack_sorted), ("lengths", _unpack), ("trained", _unpack), ("tokens", _unpack))
+        )
+        w = _unpack(right["numbers"][0].as_py())[tokens]
         opens = np.cumsum(length) - length
         v, u = np.roll(w, 1), np.roll(w, 2)
         v[opens] = START
@@ -360,12 +425,11 @@ def _dealt(known: DataFrame, replies: DataFrame, words: Words, order: int, bucke
             u[:] = START
         counts = words.counts(w)
         base = _sums(np.log10((counts + 0.5) / (n + 0.5 * (v_types + 1))), opens)
-        rows = np.array([d["row"] for d in docs])
         out_rows = [(
-            -1 - block, FIGURES, _pack(rows), _pack(length), _pack(_sums((counts > 0).astype(np.int64), opens)), base.tobytes(), None
+            -1 - block, FIGURES, _pack_sorted(rows), _pack(length), _pack(_sums((counts > 0).astype(np.int64), opens)), base.tobytes(), None
         )]
         # the lowest bit says whether the document is trained on
-        row = np.repeat(2 * rows + np.array([d["trained"] for d in docs]), length)
+        row = np.repeat(2 * rows + trained, length)
         hot = (v >= FIRST) & (v < words.first_cold) | ((v == START) & start_is_hot)
         spread = block ^ (block >> 33)
         bucket = (v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets
@@ -380,8 +444,8 @@ def _dealt(known: DataFrame, replies: DataFrame, words: Words, order: int, bucke
             out_rows.append((int(bucket[a]), kind, _pack_sorted(v[a:b]), _pack(u[a:b]), _pack(w[a:b]), None, _pack(row[a:b])))
         return pa.Table.from_batches([arrow_batch(out_rows, out)])
 
-    mine = known.select("block", "docs", "tokens").groupBy("block")
-    return mine.cogroup(replies.groupBy("block")).applyInArrow(deal, schema=_GRAMS)
+    mine = known.select("block", "tokens", "rows", "lengths", "trained").groupBy("block")
+    return mine.cogroup(numbered.groupBy("block")).applyInArrow(deal, schema=_GRAMS)
 
 
 def _sorted_grams(table: pa.Table) -> pa.Table:
@@ -569,7 +633,7 @@ def _figures(grams: DataFrame) -> DataFrame:
     def run(batches):
         for batch in batches:
             for rows, length, known, base in _each(batch):
-                columns = [*map(_unpack, (rows, length, known)), np.frombuffer(base)]
+                columns = [_unpack_sorted(rows), _unpack(length), _unpack(known), np.frombuffer(base)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=schema.names)
 
     return grams.where(F.col("kind") == FIGURES).select("v", "u", "w", "size").mapInArrow(run, schema)
@@ -585,22 +649,28 @@ def score(documents: DataFrame, trained: Column, order: int = ORDER, hot: int =
     Documents are rows: repeated ids are scored each. Without training documents everything is unknown. Other columns are
     ignored.
     """
-    known = saved(blocks(documents, trained), "katz-blocks")
-    size = known.agg(
-        F.coalesce(F.sum("n_words"), F.lit(0)).alias("words"), F.coalesce(F.sum("n_tokens"), F.lit(0)).alias("tokens"),
-        F.coalesce(F.sum(F.size("docs")), F.lit(0)).alias("docs"),
-    ).head()
-    parts, buckets = 1 + size["words"] // BLOCK, 1 + size["tokens"] // BLOCK
-    requests = _requests(known, parts)
-    vocabulary = saved(_vocabulary(requests, hot), "katz-words")
+    spark = documents.sparkSession
+    path = shared_dir(spark, "katz-blocks")
+    cut = blocks(documents, trained)
+    cut.write.partitionBy("kind").parquet(path)
+    known = spark.read.schema(cut.schema).parquet(path)
+    of_kind = lambda kind: known.where(F.col("kind") == kind)
+    size = {r["kind"]: r["n"] for r in known.groupBy("kind").agg(F.sum("n").alias("n")).collect()}
+    parts, buckets = 1 + size.get(WORDS, 0) // BUCKET, 1 + size.get(TOKENS, 0) // BUCKET
+    start_is_hot = size.get(DOCS, 0) > hot
+
+    vocabulary = saved(_vocabulary(_requests(of_kind(WORDS), parts, "known", "total"), hot), "katz-words")
     words = _classes(vocabulary, parts)
+    replies = _replies(_requests(of_kind(WORDS), parts), vocabulary, words)
+    numbered = saved(_numbered(of_kind(WORDS), replies), "katz-numbers")
+    delete(spark, path, [f"kind={WORDS}"])
     hot_classes = words.base < words.first_cold
-    has_hot = bool(hot_classes.any()) or size["docs"] > hot
+    has_hot = bool(hot_classes.any()) or start_is_hot
     hot_tokens = int((words.count * words.types)[hot_classes].sum())
-    replies = _replies(requests, vocabulary, words)
-    dealt = _dealt(known, replies, words, order, buckets, 1 + hot_tokens // BLOCK, size["docs"] > hot)
+    dealt = _dealt(of_kind(TOKENS), numbered, words, order, buckets, 1 + hot_tokens // BUCKET, start_is_hot)
     # a bucket is a row from here on
     grams = saved(dealt.groupBy("bucket").applyInArrow(_sorted_grams, _GRAMS), "katz-grams")
+    delete(spark, path, [f"kind={TOKENS}"])
 
     times = _counted(grams)
     if has_hot:
@@ -614,7 +684,7 @@ def score(documents: DataFrame, trained: Column, order: int = ORDER, hot: int =
     if has_hot:
         logs = logs.unionByName(_hot_logs(grams, rows, whole, pairs, kept))
     sums = logs.groupBy("row").agg(F.sum("log").alias("score"))
-    docs = known.select(F.explode("docs").alias("d")).select("d.row", "d.doc_id", "d.trained")
+    docs = of_kind(DOCS).select(F.explode("docs").alias("d")).select("d.row", "d.doc_id", "d.trained")
     return (
         docs.join(_figures(grams), "row").join(sums, "row")
         .select(

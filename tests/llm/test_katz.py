@@ -113,14 +113,16 @@ def frame(spark, rows):
 @pytest.mark.parametrize("order", [2, 3])
 def test_katz(spark, monkeypatch, order):
     rows = made_up()
-    monkeypatch.setattr(katz, "BLOCK", 5_000)  # several blocks and buckets, in the driver's share of the work
+    monkeypatch.setattr(katz, "BUCKET", 5_000)  # several buckets and ranges
+    monkeypatch.setattr(katz, "HEAD", 50)  # most words are not among the frequent ones
     same(katz.score(frame(spark, rows), trained(), order), expected(rows, order))
 
 
-@pytest.mark.parametrize("order, hot", [(3, 0), (2, 0), (3, 100)])
-def test_hot_words(spark, order, hot):
+@pytest.mark.parametrize("order, hot, head", [(3, 0, 1 << 16), (2, 0, 1), (3, 100, 20)])
+def test_hot_words(spark, monkeypatch, order, hot, head):
     """With a low bound all or some words take the way of hot ones."""
     rows = made_up()
+    monkeypatch.setattr(katz, "HEAD", head)
     same(katz.score(frame(spark, rows), trained(), order, hot=hot), expected(rows, order))
 
 
@@ -147,7 +149,7 @@ def test_discounts():
 
 
 def test_words_in_ranges():
-    words = np.sort(np.random.default_rng(0).integers(0, 2**64, 1000, dtype=np.uint64))
+    words = np.sort(np.random.default_rng(0).integers(0, 2**63, 1000))
     for parts in (1, 7, 1 << 20):
         part = katz._part(words, parts)
         assert (np.diff(part) >= 0).all() and part.min() >= 0 and part.max() < parts
