@@ -60,14 +60,14 @@ def time_window(rows: DataFrame, ts: str, start: Column, end: Column) -> DataFra
 
 def in_quarter(rows: DataFrame, ts: str, quarter: str, lead_days: int = 0) -> DataFrame:
     """Half-open filter on the quarter starting at ``quarter`` (yyyy-mm-dd) and ``lead_days`` before it. A
-    raw table's ``event_date`` partitions are pruned by the same bounds."""
+    raw table's months are pruned by the same bounds."""
     start = F.date_sub(F.lit(quarter).cast("date"), lead_days) if lead_days else F.lit(quarter).cast("date")
     end = F.add_months(F.lit(quarter).cast("date"), 3)
     picked = rows.where(
         (F.col(ts) >= start.cast("timestamp")) & (F.col(ts) < end.cast("timestamp"))
     )
-    if "event_date" in rows.columns:
-        picked = picked.where((F.col("event_date") >= start) & (F.col("event_date") < end))
+    if "event_month" in rows.columns:
+        picked = picked.where((F.col("event_month") >= F.trunc(start, "month")) & (F.col("event_month") < end))
     return picked
 
 

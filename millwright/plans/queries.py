@@ -351,7 +351,7 @@ def retained_readings(spark, sf_dir):
     path = shared_dir(spark, "retained")
     readings = fx.hrss_telemetry(spark, sf_dir)
     tables.append_raw(readings, path, "reading_timestamp", "0", ["is_anomalous", "is_optimised"])
-    privacy.retain(spark, path, OLDEST_DAY)
+    privacy.retain(spark, path, c.HRSS_TELEMETRY, OLDEST_DAY)
     return read_raw(spark, path, c.HRSS_TELEMETRY).select(
         *[f.name for f in c.HRSS_TELEMETRY.fields if f.name != "ingested_at"]
     )

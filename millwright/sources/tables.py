@@ -1,7 +1,7 @@
 """Raw and feature tables as partitioned Parquet.
 
-Raw tables are append-only and partitioned by event date, so a quarter reads its own folders only.
-Feature tables are partitioned by quarter and a run replaces exactly the quarters it was asked for.
+Raw tables are append-only and partitioned by event month, so a quarter reads its own folders only; inside
+files rows are sorted by day. ``layout`` says which folders count. Feature tables are partitioned by quarter and a run replaces exactly the quarters it was asked for.
 """
 
 from __future__ import annotations
@@ -10,63 +10,35 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millwright.sources import layout
+
 
 def append_raw(rows: DataFrame, path: str, ts: str, batch: str, sort_by: list[str]) -> None:
-    """Add one batch. The batch name is a partition below the date and is written in dynamic
+    """Add one batch. The batch name is a partition below the month and is written in dynamic
     overwrite mode: a batch that is written again replaces itself and nothing else.
 
-    The rebalance hint leaves file sizes to adaptive execution: small dates share a task and a
-    crowded date is split. Sorting inside files lets row-group statistics skip on the keys.
+    The rebalance hint leaves file sizes to adaptive execution: small months share a task and a
+    crowded month is split. Sorting inside files lets row-group statistics skip on the day and keys.
     """
     (
-        rows.withColumn("event_date", F.to_date(ts))
+        rows.withColumn("event_month", F.trunc(F.to_date(ts), "month"))
         .withColumn("batch", F.lit(batch))
-        .hint("rebalance", "event_date")
-        .sortWithinPartitions("event_date", *sort_by)
+        .hint("rebalance", "event_month")
+        .sortWithinPartitions("event_month", F.to_date(ts), *sort_by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy("event_date", "batch")
+        .partitionBy("event_month", "batch")
         .parquet(path)
     )
 
 
 def read_raw(spark: SparkSession, path: str, contract: T.StructType) -> DataFrame:
-    schema = T.StructType(
-        contract.fields
-        + [T.StructField("event_date", T.DateType()), T.StructField("batch", T.StringType())]
-    )
-    return spark.read.schema(schema).parquet(path)
-
-
-def _files(spark: SparkSession, path: str):
-    """The file system that holds ``path``, local or remote, and the path as it names it."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), place, jvm
-
-
-def partitions(spark: SparkSession, path: str) -> list[dict[str, str | None]]:
-    """Names of a raw table's partitions, from the folders alone; a date that is absent is None."""
-    system, place, jvm = _files(spark, path)
-    found = []
-    for status in system.globStatus(jvm.org.apache.hadoop.fs.Path(place, "event_date=*/batch=*")):
-        date, batch = str(status.getPath()).split("/")[-2:]
-        value = date.split("=", 1)[1]
-        found.append({
-            "event_date": None if value.startswith("__") else value, "batch": batch.split("=", 1)[1],
-        })
-    return found
-
-
-def drop_partitions(spark: SparkSession, path: str, names: list[dict[str, str]]) -> list[str]:
-    """Delete the folders of the named partitions; one that is gone already is no error."""
-    system, place, jvm = _files(spark, path)
-    dropped = []
-    for name in names:
-        folder = f"event_date={name['event_date']}/batch={name['batch']}"
-        if system.delete(jvm.org.apache.hadoop.fs.Path(place, folder), True):
-            dropped.append(folder)
-    return dropped
+    """The rows that count, with their month and batch."""
+    if not layout.swaps(spark, path):
+        whole = spark.read.schema(T.StructType(contract.fields + layout.PARTITIONS)).parquet(path)
+        # a replacement that is being written, or was left behind
+        return whole.where(~F.startswith(F.col("batch"), F.lit(layout.MADE)))
+    return layout.read_units(spark, path, contract, layout.live(spark, path))
 
 
 def overwrite_quarters(features: DataFrame, path: str, quarters: Iterable[str]) -> None:

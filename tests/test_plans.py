@@ -72,7 +72,7 @@ def test_quarter_prunes_raw_partitions(spark, events, tmp_path):
                          "2025-01-01")
     plan = plan_of(quarter)
     partition_filters = re.search(r"PartitionFilters: \[(.*?)\], Pushed", plan).group(1)
-    assert "event_date" in partition_filters and "2025-01-01" in partition_filters
+    assert "event_month" in partition_filters and "2025-01-01" in partition_filters
     assert "GreaterThanOrEqual(event_timestamp" in plan
     assert quarter.count() == 1
     assert len(quarter.inputFiles()) <= 2

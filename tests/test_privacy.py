@@ -1,8 +1,9 @@
+import pytest
 from pyspark.sql import functions as F
 
 from millwright import contracts as c
 from millwright.operators import privacy, quality
-from millwright.sources import files, tables
+from millwright.sources import files, layout, tables
 from tests.conftest import utc
 
 
@@ -18,32 +19,65 @@ def test_pseudonym_of_null_is_null(spark):
     assert found[0] == found[1] and len(found[0]) == 64 and found[2] is None
 
 
-def test_retention_drops_whole_dates_only_before_the_cutoff(spark, events, tmp_path):
-    path = raw(spark, events, tmp_path, [{"event_timestamp": utc(f"2025-01-0{d}T00:00:00")} for d in (1, 2, 3)])
-    assert privacy.retain(spark, path, "2025-01-02") == ["event_date=2025-01-01/batch=0"]
-    assert privacy.retain(spark, path, "2025-01-02") == []
-    assert tables.read_raw(spark, path, c.LOGISTICS_EVENTS).count() == 2
+def test_retention_drops_earlier_months_whole_and_cuts_the_month_of_the_cutoff(spark, events, tmp_path):
+    days = ["2024-12-31", "2025-01-01", "2025-01-02", "2025-01-03", "2025-02-01"]
+    path = raw(spark, events, tmp_path, [{"event_id": k, "event_timestamp": utc(f"{d}T00:00:00")} for k, d in enumerate(days)])
 
+    def left():
+        return sorted(r["event_id"] for r in tables.read_raw(spark, path, c.LOGISTICS_EVENTS).collect())
 
-def test_erasure_leaves_untouched_partitions_alone(spark, events, tmp_path):
+    untouched = sorted((tmp_path / "raw" / "event_month=2025-02-01" / "batch=0").iterdir())
+    assert privacy.retain(spark, path, c.LOGISTICS_EVENTS, "2025-01-01") == ["event_month=2024-12-01/batch=0"]
+    assert left() == [1, 2, 3, 4]
+    assert privacy.retain(spark, path, c.LOGISTICS_EVENTS, "2025-01-02") == ["event_month=2025-01-01/batch=0"]
+    assert left() == [2, 3, 4]
+    assert privacy.retain(spark, path, c.LOGISTICS_EVENTS, "2025-01-02") == []
+    assert not (tmp_path / "raw" / "event_month=2024-12-01" / "batch=0").exists()
+    assert sorted((tmp_path / "raw" / "event_month=2025-02-01" / "batch=0").iterdir()) == untouched
+
+
+def test_erasure_leaves_untouched_folders_alone(spark, events, tmp_path):
     path = raw(spark, events, tmp_path, [
         {"event_id": 1, "asset_id": "A", "event_timestamp": utc("2025-01-01T00:00:00")},
         {"event_id": 2, "asset_id": "B", "event_timestamp": utc("2025-01-01T01:00:00")},
-        {"event_id": 3, "asset_id": "B", "event_timestamp": utc("2025-01-02T00:00:00")},
-        {"event_id": 4, "asset_id": "A", "event_timestamp": utc("2025-01-03T00:00:00")},
+        {"event_id": 3, "asset_id": "B", "event_timestamp": utc("2025-02-02T00:00:00")},
+        {"event_id": 4, "asset_id": "A", "event_timestamp": utc("2025-03-03T00:00:00")},
     ])
     def untouched():
-        return sorted((tmp_path / "raw" / "event_date=2025-01-02" / "batch=0").iterdir())
+        return sorted((tmp_path / "raw" / "event_month=2025-02-01" / "batch=0").iterdir())
 
     before = untouched()
     ids = spark.createDataFrame([("A",), ("A",), (None,), ("unknown",)], "asset_id string")
     assert privacy.erase(spark, path, c.LOGISTICS_EVENTS, "asset_id", ids) == 2
     assert sorted(r["event_id"] for r in tables.read_raw(spark, path, c.LOGISTICS_EVENTS).collect()) == [2, 3]
     assert untouched() == before
-    assert not (tmp_path / "raw" / "event_date=2025-01-03" / "batch=0").exists()
+    files = [str(f) for f in (tmp_path / "raw").rglob("*.parquet")]
+    assert len(files) == 2 and not any("2025-03" in f for f in files), "what is erased is gone from the disk"
     assert privacy.erase(spark, path, c.LOGISTICS_EVENTS, "asset_id", ids) == 0
 
 
+def test_erasure_that_dies_changes_nothing_and_can_be_repeated(spark, events, tmp_path, monkeypatch):
+    path = raw(spark, events, tmp_path, [{"event_id": k, "asset_id": "AB"[k % 2]} for k in range(6)])
+    ids = spark.createDataFrame([("A",)], "asset_id string")
+
+    def dies(*args):
+        if args[-1]:  # there is something to do
+            raise RuntimeError("driver lost")
+        return []
+
+    for name, ids_left in (("commit", [0, 1, 2, 3, 4, 5]), ("delete", [1, 3, 5])):
+        with monkeypatch.context() as m:
+            m.setattr(layout, name, dies)
+            with pytest.raises(RuntimeError, match="driver lost"):
+                privacy.erase(spark, path, c.LOGISTICS_EVENTS, "asset_id", ids)
+        found = sorted(r["event_id"] for r in tables.read_raw(spark, path, c.LOGISTICS_EVENTS).collect())
+        assert found == ids_left, name
+        if name == "commit":
+            privacy.layout.vacuum(spark, path, hours=0)
+    privacy.erase(spark, path, c.LOGISTICS_EVENTS, "asset_id", ids)
+    assert len(list((tmp_path / "raw").rglob("*.parquet"))) == 1
+
+
 def test_loose_times_are_refused(spark):
     rows = spark.createDataFrame(
         [("2025",), ("T12:30",), ("2025-01-01T00:00:00Z",), ("2025-01-01T00:00:00.25+01:00",)], "t string"

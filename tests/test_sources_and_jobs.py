@@ -81,7 +81,7 @@ def test_append_is_idempotent_per_batch(spark, readings, tmp_path):
         tables.append_raw(rows, path, "reading_timestamp", batch, ["reading_timestamp"])
     stored = tables.read_raw(spark, path, c.HRSS_TELEMETRY)
     assert sorted(r["reading_id"] for r in stored.collect()) == list(range(8))
-    assert stored.select("event_date").distinct().collect() == [(date(2025, 2, 1),)]
+    assert stored.select("event_month").distinct().collect() == [(date(2025, 2, 1),)]
 
 
 def seed(spark, base, quarters=("2025-02-01", "2025-05-01")):
