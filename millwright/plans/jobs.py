@@ -18,11 +18,13 @@ from millwright.operators.features import (
     logistics_features,
     stamp,
 )
+from millwright.operators import partials
 from millwright.operators.profile import category_frequencies, profile_columns, quantile_profile
 from millwright.operators.project import in_quarter
 from millwright.operators.quality import key_uniqueness, raw_readiness
 from millwright.operators.rolling import rolling_asset_stats
 from millwright.session import use_utc
+from millwright.sources import derived, layout
 from millwright.sources.messages import stream_files, stream_kafka
 from millwright.sources.tables import (
     overwrite_quarter, overwrite_quarters, read_features, read_raw, register,
@@ -72,12 +74,14 @@ def flush_topic(
     max_rows: int = 100_000_000,
     max_files: int = 1_000,
     repeats_within: str | None = None,
+    repeats_ever: bool = False,
 ) -> StreamingQuery:
     """One hourly flush of a topic, from Kafka or from a landing folder of message files.
 
     A backlog is taken in micro-batches of ``max_rows`` messages or ``max_files`` files, which
     bounds what a batch caches and what a failure repeats; all of it is taken. ``repeats_within``
-    also drops payloads a producer sent twice within that time.
+    also drops payloads a producer sent twice within that time, ``repeats_ever`` those that any earlier flush with
+    that option accepted.
     """
     use_utc(spark)
     contract, ts, sort_by = CONTRACTS[topic]
@@ -91,7 +95,7 @@ def flush_topic(
         messages = without_redeliveries(messages, repeats_within)
     return ingest(
         messages, contract, ts, f"{base}/raw/{topic}", f"{base}/quarantine/{topic}",
-        f"{base}/checkpoints/{topic}", sort_by,
+        f"{base}/checkpoints/{topic}", sort_by, history=f"{base}/history/{topic}" if repeats_ever else None,
     )
 
 
@@ -103,9 +107,13 @@ def quarterly(
     min_rows: int = 1,
     max_gap_days: int = 7,
     topics: tuple[str, ...] = tuple(FEATURES),
+    from_partials: bool = False,
 ) -> dict[str, str]:
     """Rebuild one quarter of the feature tables and reports; running it again gives the same tables.
 
+    With ``from_partials`` features and the check of readiness come from stored partial sums, and only raw folders that
+    were added since the last run are read for them (see ``refresh_partials``). The result is the same.
+
     The job refuses a quarter whose raw data has not arrived: fewer than ``min_rows`` rows, or none in the last
     ``max_gap_days`` days (0 rows and 92 days refuse nothing). The check reads one aggregated row per table. Keys are
     checked before the feature table is replaced.
@@ -117,11 +125,18 @@ def quarterly(
         contract, ts, _ = CONTRACTS[topic]
         raw = read_raw(spark, f"{base}/raw/{topic}", contract)
         rows = in_quarter(raw, ts, quarter)
+        sums = None
+        if from_partials:
+            sums = partial_rows(spark, base, topic).where(F.col("quarter_start") == F.lit(quarter).cast("date"))
         if min_rows:
-            state = raw_readiness(rows, ts, min_rows, max_gap_days).head()
+            state = (
+                raw_readiness(rows, ts, min_rows, max_gap_days) if sums is None
+                else partials.readiness(sums, topic, min_rows, max_gap_days)
+            ).head()
             if state is None or not state["is_ready"]:
                 raise NotReady(f"{topic} {quarter}: {state}")
-        features = stamp(compute(rows), key, F.lit(computed_at).cast("timestamp")).select(*output.names)
+        computed = compute(rows) if sums is None else partials.added_up(sums, topic)
+        features = stamp(computed, key, F.lit(computed_at).cast("timestamp")).select(*output.names)
         features.persist()  # aggregated rows, read by the check and the write
         try:
             state = key_uniqueness(features, table, key).head()
@@ -141,6 +156,39 @@ def quarterly(
     return written
 
 
+def refresh_partials(spark: SparkSession, base: str, topic: str) -> derived.State:
+    """Store the partial sums of the raw folders that have none: new batches, and folders that were written again.
+
+    Compaction needs no new sums, erasure those of the folders it rewrote.
+    """
+    use_utc(spark)
+    return derived.refresh(
+        spark, f"{base}/raw/{topic}", CONTRACTS[topic][0], f"{base}/partials/{topic}",
+        lambda rows, by: partials.partial_sums(rows, topic, by), additive=True,
+    )
+
+
+def partial_rows(spark: SparkSession, base: str, topic: str) -> DataFrame:
+    """The partial sums of all raw rows that count, brought up to date."""
+    found = refresh_partials(spark, base, topic)
+    schema = partials.schema(topic, CONTRACTS[topic][0])
+    return derived.read(spark, f"{base}/partials/{topic}", schema, found.counting)
+
+
+def compact_topic(
+    spark: SparkSession, topic: str, base: str, before: str | None = None, target: int = layout.TARGET_BYTES,
+    keep_hours: float = 24.0,
+) -> layout.Compaction:
+    """Merge the small files of a topic's raw table, and delete what was replaced long enough ago. ``before`` leaves out
+    batches from that name on: while a flush runs, the batch it writes."""
+    use_utc(spark)
+    contract, _, sort_by = CONTRACTS[topic]
+    path = f"{base}/raw/{topic}"
+    found = layout.compact(spark, path, contract, sort_by, target, before)
+    layout.vacuum(spark, path, keep_hours)
+    return found
+
+
 def serve(spark: SparkSession, base: str, topics: tuple[str, ...] = tuple(CONTRACTS)) -> list[str]:
     """Make the raw tables, feature tables and reports below ``base`` available to SQL under their names."""
     tables = {}

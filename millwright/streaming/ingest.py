@@ -18,6 +18,7 @@ from millwright.operators.quality import (
     validate,
 )
 from millwright.sources.tables import append_raw
+from millwright.streaming.history import first_deliveries, remember
 
 POSITION = ["topic", "partition", "offset"]
 
@@ -48,14 +49,16 @@ def ingest(
     sort_by: list[str],
     available_now: bool = True,
     every: str = "1 hour",
+    history: str | None = None,
 ) -> StreamingQuery:
     """Start the flush. With ``available_now`` it takes what has arrived and stops, which is the
     hourly form; otherwise it runs on and flushes at the given interval.
 
     Spark replays a batch that failed half-way with the same rows and the same number. Both sinks
     write a batch under its number and replace it, so a replay changes nothing. Equal messages are
-    all kept: two equal readings are two readings. ``without_redeliveries`` is the one rule that
-    removes repeats, the same for every source and every size of batch.
+    all kept: two equal readings are two readings. Two rules remove repeats, the same for every source and
+    every size of batch: ``without_redeliveries`` within a time, and ``history``, a folder in which the
+    digests of all accepted payloads are kept (see ``streaming.history``), without end.
     """
     row_id = contract.fields[0].name
     columns = [f.name for f in contract.fields]
@@ -68,12 +71,16 @@ def ingest(
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         batch.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         name = f"{number:012d}"
-        rows = checked(batch, contract).persist()
+        rows = checked(batch, contract).withColumn("place", F.monotonically_increasing_id()).persist()
+        kept = [rows]
         try:
-            good = with_defaults(
-                accepted(rows.withColumn("place", F.monotonically_increasing_id())), row_id,
-                [*POSITION, F.lit(number), "place"], F.current_timestamp(),
-            )
+            fresh = accepted(rows)
+            if history:
+                spark = batch.sparkSession
+                fresh = first_deliveries(spark, fresh, ts, history, name, [*POSITION, "place"]).persist()
+                kept.append(fresh)
+                remember(spark, fresh, ts, history, name)
+            good = with_defaults(fresh, row_id, [*POSITION, F.lit(number), "place"], F.current_timestamp())
             append_raw(good.select(*columns), raw_path, ts, name, sort_by)
             (
                 quarantined(rows)
@@ -85,7 +92,8 @@ def ingest(
                 .parquet(quarantine_path)
             )
         finally:
-            rows.unpersist()
+            for frame in kept:
+                frame.unpersist()
 
     writer = messages.writeStream.foreachBatch(flush).option("checkpointLocation", checkpoint)
     trigger = {"availableNow": True} if available_now else {"processingTime": every}
