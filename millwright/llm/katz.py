@@ -41,7 +41,7 @@ ORDER = 3
 #: Counts up to this one are discounted.
 MOST_DISCOUNTED = 5
 #: Tokens of a block; tokens of a bucket, and words of a dictionary's range, on average.
-BLOCK, BUCKET = 1 << 21, 1 << 20
+BLOCK, BUCKET = 1 << 21, 1 << 19
 #: Tokens of a word that still has a bucket.
 HOT = 1 << 21
 #: The most frequent words, at most so many, are numbered without gaps.
@@ -70,6 +70,11 @@ def _unpack(data: bytes) -> np.ndarray:
     return out.view("<i8").ravel()
 
 
+def _narrow(values: np.ndarray) -> np.ndarray:
+    """The same numbers in half the room, if they fit."""
+    return values.astype(np.int32) if len(values) and values.max() < 2**31 else values
+
+
 def _pack_sorted(values: np.ndarray) -> bytes:
     return _pack(np.diff(values, prepend=0))
 
@@ -99,6 +104,20 @@ def _opens(*keys: np.ndarray) -> np.ndarray:
     return np.flatnonzero(change)
 
 
+def _order(*keys: np.ndarray) -> np.ndarray:
+    """An order by the first key, then the next ones; in one sort where ranks of the first and the others fit 63 bits."""
+    if not len(keys[0]):
+        return np.zeros(0, np.int64)
+    _, rank = np.unique(keys[0], return_inverse=True)
+    widths = [int(k.max()).bit_length() for k in (rank, *keys[1:])]
+    if sum(widths) > 63:
+        return np.lexsort(keys[::-1])
+    one = rank.astype(np.int64)
+    for key, width in zip(keys[1:], widths[1:]):
+        one = (one << width) | key.astype(np.int64)
+    return np.argsort(one)
+
+
 def _sums(values: np.ndarray, opens: np.ndarray) -> np.ndarray:
     return np.add.reduceat(values, opens) if len(opens) else values[:0]
 
@@ -436,7 +455,7 @@ def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buck
         # an unknown word has no grams in training: its tokens need no company and stay spread
         bucket = np.where(v == UNKNOWN, spread % buckets, bucket)
         bucket = np.where(hot, buckets + spread % max(1, hot_pieces), bucket)
-        by = np.lexsort((v, bucket))
+        by = _order(bucket, v)
         v, u, w, row, bucket = v[by], u[by], w[by], row[by], bucket[by]
         cuts = _opens(bucket)
         for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
@@ -454,7 +473,7 @@ def _sorted_grams(table: pa.Table) -> pa.Table:
         return table
     v = _joined(table["v"].to_pylist(), _unpack_sorted)
     u, w, rows = (_joined(table[c].to_pylist()) for c in ("u", "w", "rows"))
-    order = np.lexsort((w, u, v))
+    order = _order(v, u, w)
     v, u, w = v[order], u[order], w[order]
     opens = _opens(v, u, w)
     row = (
@@ -479,11 +498,11 @@ class _Grams:
     def of(cls, v: bytes, u: bytes, w: bytes, size: bytes, rows: bytes) -> _Grams:
         size, rows = _unpack(size), _unpack(rows)
         opens = np.cumsum(size) - size
-        return cls(_unpack_sorted(v), _unpack(u), _unpack(w), _sums(rows & 1, opens), size, rows >> 1)
+        return cls(*map(_narrow, (_unpack_sorted(v), _unpack(u), _unpack(w), _sums(rows & 1, opens), size)), rows >> 1)
 
     def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """An order by (v, w), the opening places of each bigram in it, and the bigrams' counts."""
-        order = np.lexsort((self.w, self.v))
+        order = _order(self.v, self.w)
         opens = _opens(self.v[order], self.w[order])
         return order, opens, _sums(self.count[order], opens)
 
@@ -538,17 +557,21 @@ _LOGS = T.StructType([T.StructField("row", T.LongType()), T.StructField("log", T
 def _cold_logs(grams: DataFrame, words: Words, kept: list[np.ndarray]) -> DataFrame:
     """(row, log): what each bucket adds to each document."""
 
+    def evaluated(*stored: bytes) -> tuple[np.ndarray, np.ndarray]:
+        g = _Grams.of(*stored)
+        order, opens, count = g.bigrams()
+        first = order[opens]
+        p2 = backed_off(count, _opens(g.v[first]), words.unigram(g.w[first]), kept[0])
+        p = np.empty(len(g.v))
+        p[order] = np.repeat(p2, _sizes(opens, len(order)))
+        if len(kept) > 1:
+            p = backed_off(g.count, _opens(g.v, g.u), p, kept[1])
+        return g.per_row(np.log10(p))
+
     def run(batches):
         for batch in batches:
             for stored in _each(batch):
-                g = _Grams.of(*stored)
-                order, opens, count = g.bigrams()
-                v, w = g.v[order][opens], g.w[order][opens]
-                p = np.empty(len(g.v))
-                p[order] = np.repeat(backed_off(count, _opens(v), words.unigram(w), kept[0]), _sizes(opens, len(order)))
-                if len(kept) > 1:
-                    p = backed_off(g.count, _opens(g.v, g.u), p, kept[1])
-                rows, logs = g.per_row(np.log10(p))
+                rows, logs = evaluated(*stored)
                 yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(logs)], names=["row", "log"])
 
     return grams.where(F.col("kind") == COLD_GRAMS).select("v", "u", "w", "size", "rows").mapInArrow(run, _LOGS)
@@ -567,7 +590,7 @@ def _hot_rows(grams: DataFrame, words: Words) -> DataFrame:
             for bucket, *stored in _each(batch):
                 g = _Grams.of(*stored)
                 n = len(g.v)
-                columns = [np.full(n, bucket), np.arange(n), g.u, g.v, g.w, g.count, words.unigram(g.w)]
+                columns = [*(x.astype(np.int64) for x in (np.full(n, bucket), np.arange(n), g.u, g.v, g.w, g.count)), words.unigram(g.w)]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*names, "p1"])
 
     hot = grams.where(F.col("kind") == HOT_GRAMS)

@@ -38,12 +38,17 @@ class Plain:
         for n in range(1, order + 1):
             for gram, c in self.count[n].items():
                 self.next[n][gram[:-1]][gram[-1]] = c
-        self.weights = {}
+        self.weights, self.lefts = {}, {}
 
     def share(self, n, c):
         return self.kept[n][min(c, 6)] * c
 
     def left(self, context):
+        if context not in self.lefts:
+            self.lefts[context] = self.find_left(context)
+        return self.lefts[context]
+
+    def find_left(self, context):
         n, seen = len(context) + 1, self.next[len(context) + 1][context]
         total, kept = sum(seen.values()), sum(self.share(n, c) for c in seen.values())
         total += kept >= total
