@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millwright.llm.tables import arrow_batch, arrow_schema, saved
+from millwright.llm.tables import arrow_batch, arrow_schema, give_back, saved
 from millwright.session import shared_dir
 from millwright.sources.layout import delete
 
@@ -41,11 +41,13 @@ ORDER = 3
 #: Counts up to this one are discounted.
 MOST_DISCOUNTED = 5
 #: Tokens of a block; tokens of a bucket, and words of a dictionary's range, on average.
-BLOCK, BUCKET = 1 << 21, 1 << 19
+BLOCK, BUCKET = 1 << 21, 1 << 20
 #: Tokens of a word that still has a bucket.
 HOT = 1 << 21
 #: The most frequent words, at most so many, are numbered without gaps.
 HEAD = 1 << 16
+#: Grams of a bucket that are evaluated at a time, if they are of several middle words.
+CHUNK = 1 << 18
 #: Numbers of the unknown word and of what stands before a document; known words follow.
 UNKNOWN, START, FIRST = 0, 1, 2
 #: The end of a document; no word holds a line feed.
@@ -84,7 +86,7 @@ def _unpack_sorted(data: bytes) -> np.ndarray:
 
 
 def _joined(parts: Iterable[bytes], unpack=_unpack) -> np.ndarray:
-    return np.concatenate([np.zeros(0, np.int64), *map(unpack, parts)])
+    return np.concatenate([np.zeros(0, np.int32), *(_narrow(unpack(p)) for p in parts)])
 
 
 def _each(batch: pa.RecordBatch) -> Iterator[tuple]:
@@ -461,6 +463,8 @@ def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buck
         for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
             kind = HOT_GRAMS if bucket[a] >= buckets else COLD_GRAMS
             out_rows.append((int(bucket[a]), kind, _pack_sorted(v[a:b]), _pack(u[a:b]), _pack(w[a:b]), None, _pack(row[a:b])))
+        del v, u, w, row, bucket, by
+        give_back()
         return pa.Table.from_batches([arrow_batch(out_rows, out)])
 
     mine = known.select("block", "tokens", "rows", "lengths", "trained").groupBy("block")
@@ -474,12 +478,14 @@ def _sorted_grams(table: pa.Table) -> pa.Table:
     v = _joined(table["v"].to_pylist(), _unpack_sorted)
     u, w, rows = (_joined(table[c].to_pylist()) for c in ("u", "w", "rows"))
     order = _order(v, u, w)
-    v, u, w = v[order], u[order], w[order]
+    v, u, w, rows = v[order], u[order], w[order], rows[order]
     opens = _opens(v, u, w)
     row = (
         table["bucket"][0].as_py(), table["kind"][0].as_py(), _pack_sorted(v[opens]), _pack(u[opens]), _pack(w[opens]),
-        _pack(_sizes(opens, len(order))), _pack(rows[order]),
+        _pack(_sizes(opens, len(order))), _pack(rows),
     )
+    del v, u, w, rows, order, opens
+    give_back()
     return pa.Table.from_batches([arrow_batch([row], table.schema)])
 
 
@@ -500,6 +506,17 @@ class _Grams:
         opens = np.cumsum(size) - size
         return cls(*map(_narrow, (_unpack_sorted(v), _unpack(u), _unpack(w), _sums(rows & 1, opens), size)), rows >> 1)
 
+    def chunks(self) -> Iterator[_Grams]:
+        """Parts of about CHUNK grams; a middle word's grams stay together, and a part can be evaluated by itself."""
+        begins = _opens(self.v)
+        cuts = [0]
+        for a, b in zip(begins, np.append(begins[1:], len(self.v))):
+            if b - cuts[-1] > CHUNK and a > cuts[-1]:
+                cuts.append(int(a))
+        rows = np.concatenate([[0], np.cumsum(self.size, dtype=np.int64)])
+        for a, b in zip(cuts, [*cuts[1:], len(self.v)]):
+            yield _Grams(*(x[a:b] for x in (self.v, self.u, self.w, self.count, self.size)), self.rows[rows[a]: rows[b]])
+
     def bigrams(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """An order by (v, w), the opening places of each bigram in it, and the bigrams' counts."""
         order = _order(self.v, self.w)
@@ -557,8 +574,7 @@ _LOGS = T.StructType([T.StructField("row", T.LongType()), T.StructField("log", T
 def _cold_logs(grams: DataFrame, words: Words, kept: list[np.ndarray]) -> DataFrame:
     """(row, log): what each bucket adds to each document."""
 
-    def evaluated(*stored: bytes) -> tuple[np.ndarray, np.ndarray]:
-        g = _Grams.of(*stored)
+    def evaluated(g: _Grams) -> tuple[np.ndarray, np.ndarray]:
         order, opens, count = g.bigrams()
         first = order[opens]
         p2 = backed_off(count, _opens(g.v[first]), words.unigram(g.w[first]), kept[0])
@@ -571,8 +587,10 @@ def _cold_logs(grams: DataFrame, words: Words, kept: list[np.ndarray]) -> DataFr
     def run(batches):
         for batch in batches:
             for stored in _each(batch):
-                rows, logs = evaluated(*stored)
-                yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(logs)], names=["row", "log"])
+                for chunk in _Grams.of(*stored).chunks():
+                    rows, logs = evaluated(chunk)
+                    yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(logs)], names=["row", "log"])
+                give_back()
 
     return grams.where(F.col("kind") == COLD_GRAMS).select("v", "u", "w", "size", "rows").mapInArrow(run, _LOGS)
 
@@ -580,23 +598,37 @@ def _cold_logs(grams: DataFrame, words: Words, kept: list[np.ndarray]) -> DataFr
 # --- hot words, by Spark's own joins -------------------------------------------------------------
 
 
-def _hot_rows(grams: DataFrame, words: Words) -> DataFrame:
-    """The grams of hot words as rows: bucket, place (in its order), u, v, w, count (there), p1 (of w)."""
+def _hot_rows(grams: DataFrame) -> DataFrame:
+    """The grams of hot words as rows: bucket, place (in its order), u, v, w, count (there)."""
     names = ("bucket", "place", "u", "v", "w", "count")
-    schema = T.StructType([T.StructField(c, T.LongType()) for c in names] + [T.StructField("p1", T.DoubleType())])
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in names])
 
     def run(batches):
         for batch in batches:
             for bucket, *stored in _each(batch):
                 g = _Grams.of(*stored)
                 n = len(g.v)
-                columns = [*(x.astype(np.int64) for x in (np.full(n, bucket), np.arange(n), g.u, g.v, g.w, g.count)), words.unigram(g.w)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=[*names, "p1"])
+                columns = (np.full(n, bucket), np.arange(n), g.u, g.v, g.w, g.count)
+                yield pa.RecordBatch.from_arrays([pa.array(c.astype(np.int64)) for c in columns], names=names)
+                give_back()
 
     hot = grams.where(F.col("kind") == HOT_GRAMS)
     return hot.select("bucket", "v", "u", "w", "size", "rows").mapInArrow(run, schema)
 
 
+def _with_unigram(grams: DataFrame, words: Words) -> DataFrame:
+    """Adds p1, the probability of w alone, to bigrams (v, w, count)."""
+    names = ("v", "w", "count")
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in names] + [T.StructField("p1", T.DoubleType())])
+
+    def run(batches):
+        for batch in batches:
+            p1 = words.unigram(batch.column("w").to_numpy())
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p1)], names=schema.names)
+
+    return grams.select(*names).mapInArrow(run, schema)
+
+
 def _hot_times(grams: DataFrame) -> list[int]:
     found = [0] * (MOST_DISCOUNTED + 1)
     rows = grams.where(F.col("count").between(1, MOST_DISCOUNTED + 1)).groupBy("count").agg(F.count("*").alias("n"))
@@ -638,6 +670,8 @@ def _hot_logs(grams: DataFrame, hot: DataFrame, whole: DataFrame, pairs: DataFra
         found = np.empty(len(g.v))
         found[right["place"].to_numpy()] = right["log"].to_numpy()
         rows, sums = g.per_row(found)
+        del g, found
+        give_back()
         return pa.table({"row": rows, "log": sums})
 
     mine = grams.where(F.col("kind") == HOT_GRAMS).select("bucket", "v", "u", "w", "size", "rows")
@@ -697,9 +731,9 @@ def score(documents: DataFrame, trained: Column, order: int = ORDER, hot: int =
 
     times = _counted(grams)
     if has_hot:
-        rows = _hot_rows(grams, words)
-        whole = saved(rows.groupBy("u", "v", "w").agg(F.sum("count").alias("count"), F.max("p1").alias("p1")), "katz-hot")
-        pairs = whole.groupBy("v", "w").agg(F.sum("count").alias("count"), F.max("p1").alias("p1"))
+        rows = _hot_rows(grams)
+        whole = saved(rows.groupBy("u", "v", "w").agg(F.sum("count").alias("count")), "katz-hot")
+        pairs = _with_unigram(whole.groupBy("v", "w").agg(F.sum("count").alias("count")), words)
         for name, more in (("vw", _hot_times(pairs)), ("uvw", _hot_times(whole))):
             times[name] = [a + b for a, b in zip(times[name], more)]
     kept = [discounts(times[g]) for g in ("vw", "uvw")[: order - 1]]

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -59,3 +61,17 @@ def arrow_batch(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
     """Rows of a task as a batch; nulls and whole numbers stay exact, which pandas does not grant."""
     columns = list(zip(*rows)) or [()] * len(schema)
     return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except (OSError, AttributeError):  # another C library than glibc
+    _trim = None
+
+
+def give_back() -> None:
+    """Return freed memory to the system. A Python worker waits for the next task with all that it once held, beside other
+    workers of its executor."""
+    pa.default_memory_pool().release_unused()
+    if _trim:
+        _trim(0)
