@@ -67,11 +67,11 @@ KEYS = {c.TOPIC_LOGISTICS: ["asset_id"], c.TOPIC_HRSS: ["is_anomalous", "is_opti
 LAST = "last_time"
 
 
-def partial_sums(rows: DataFrame, topic: str, by: list[str]) -> DataFrame:
-    """One row per quarter, key and ``by`` (a batch, a file): the sums, and the last event time."""
+def partial_sums(rows: DataFrame, topic: str, by: list[str], also: tuple[Column, ...] = ()) -> DataFrame:
+    """One row per quarter, key and ``by`` (a batch, a file): the sums, the last event time, and aggregates ``also``."""
     ts = c.EVENT_TIME[topic]
     return rows.groupBy(*by, quarter_start(F.col(ts)).alias("quarter_start"), *KEYS[topic]).agg(
-        *[part.alias(name) for m in measures(topic) for name, part in m.parts.items()], F.max(ts).alias(LAST)
+        *[part.alias(name) for m in measures(topic) for name, part in m.parts.items()], F.max(ts).alias(LAST), *also
     )
 
 

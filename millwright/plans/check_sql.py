@@ -179,6 +179,53 @@ from (select *, regexp_matches(line, '{_LINE}') as m from log_lines)
 where not regexp_matches(line, 'GET /(health|healthz|ready)\\b')"""
 
 
+#: Lines in file order, numbered by the headers up to them; lines before a file's first header stay alone.
+_ENTRIES = f"""
+with lines as ({_PARSED.replace("select service,", "select service, line, ts, event_id,").replace("from log_lines", "from placed_lines")
+    .split("where not regexp_matches")[0]}),
+numbered as (
+  select *, sum(case when layout <> 'unparsed' then 1 else 0 end)
+    over (partition by service order by ts, event_id rows unbounded preceding) as entry from lines),
+alone as (select *, case when entry = 0 then -1 - event_id else entry end as key from numbered),
+heads as (select * from alone where layout <> 'unparsed' or entry = 0),
+rest as (
+  select service, key, string_agg(line, chr(10) order by ts, event_id) as trace, count(*) as n
+  from alone where layout = 'unparsed' and entry > 0 group by 1, 2)
+select service, log_time, level, logger, message, layout, trace, 1 + coalesce(n, 0) as line_count
+from heads left join rest using (service, key)"""
+
+_GAPS = f"""
+select asset_id, gap_start, gap_end from (
+  select asset_id, lag(event_timestamp) over (partition by asset_id order by event_timestamp) as gap_start,
+    event_timestamp as gap_end from logistics_events)
+where epoch_us(gap_end) - epoch_us(gap_start) > {q.ASSET_GAP_SECONDS * 1000000}"""
+
+_COVERAGE = f"""
+with ends as (
+  select asset_id, min(event_timestamp) as first, max(event_timestamp) as last from logistics_events group by 1),
+quarters as (
+  select asset_id, cast(unnest(generate_series(
+    date_trunc('quarter', cast(first as timestamp)), date_trunc('quarter', cast(last as timestamp)), interval 3 months)) as timestamp) as q
+  from ends),
+missing as (
+  select * from gaps union all
+  select asset_id, date_trunc('quarter', first), first from ends
+  where epoch_us(first) - epoch_us(cast(date_trunc('quarter', first) as timestamp)) > {q.ASSET_GAP_SECONDS * 1000000}
+  union all
+  select asset_id, last, cast(date_trunc('quarter', last) as timestamp) + interval 3 months from ends
+  where epoch_us(cast(date_trunc('quarter', last) as timestamp) + interval 3 months) - epoch_us(last)
+    > {q.ASSET_GAP_SECONDS * 1000000}),
+pieces as (
+  select s.asset_id, q, greatest(epoch_us(gap_start), epoch_us(q)) as a,
+    least(epoch_us(gap_end), epoch_us(q + interval 3 months)) as b
+  from quarters s join missing m on s.asset_id = m.asset_id and gap_start < q + interval 3 months and gap_end > q),
+sums as (select asset_id, q, count(*) as n, cast(sum(b - a) as bigint) as lost from pieces group by 1, 2)
+select s.asset_id, cast(s.q as date) as quarter_start, coalesce(n, 0) as missing_count, coalesce(lost, 0) as missing_micros,
+  cast(round(cast(epoch_us(s.q + interval 3 months) - epoch_us(s.q) - coalesce(lost, 0) as double)
+    / (epoch_us(s.q + interval 3 months) - epoch_us(s.q)), 6) as decimal(7,6)) as covered_share
+from quarters s left join sums on s.asset_id = sums.asset_id and s.q = sums.q"""
+
+
 def _json_fields() -> str:
     parts = []
     for f in LOGISTICS_EVENTS.fields:
@@ -548,6 +595,19 @@ def oracle() -> dict[str, str]:
         from ({_PARSED}) group by 1, 2, 3""",
         "log_lines",
     )
+    sql["compacted_readings"] = _with(f"select {kept_readings} from hrss_telemetry", "hrss_telemetry")
+    sql["incremental_hrss_features"] = _with(HRSS_FEATURES, "hrss_telemetry")
+    sql["incremental_logistics_features"] = _with(LOGISTICS_FEATURES, "logistics_events")
+    sql["recognised_messages"] = _with(f"select distinct {', '.join(wire_hrss)} from hrss_telemetry", "hrss_telemetry")
+    sql["missing_intervals"] = _with(_GAPS, "logistics_events")
+    sql["quarter_coverage"] = _with("select * from coverage", "logistics_events", also={"gaps": _GAPS, "coverage": _COVERAGE})
+    sql["log_entries"] = _with("select * from entries", "placed_lines", also={"entries": _ENTRIES})
+    sql["traced_events"] = _with(
+        f"""select *, {_quarter('event_timestamp')} as quarter_start from logistics_events
+        where ({_quarter('event_timestamp')}, asset_id) in
+            (select (quarter_start, asset_id) from features where delay_rate > {q.LATE_RATE})""",
+        "logistics_events", also={"features": LOGISTICS_FEATURES},
+    )
     sql["ingest_stream"] = _with(
         f"select {', '.join(wire_hrss)} from hrss_telemetry", "hrss_telemetry"
     )

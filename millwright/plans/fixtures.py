@@ -176,8 +176,9 @@ def events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(f"{sf_dir}/events.parque[t]")
 
 
-def log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    body = _LOGS.replace("DAYTEXT", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')")
+def log_lines(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
+    """Columns ``also`` are the table's own."""
+    body = ", ".join([_LOGS.replace("DAYTEXT", "date_format(ts, 'yyyy-MM-dd HH:mm:ss')"), *also])
     return _select(spark, body, _table(spark, sf_dir, "events"), "source")
 
 
@@ -223,6 +224,7 @@ def check_views() -> dict[str, str]:
         "logistics_events": logistics,
         "hrss_telemetry": f"select {_duck(_HRSS)} from events",
         "log_lines": f"select {_duck(_LOGS)} from events",
+        "placed_lines": f"select {_duck(_LOGS)}, ts, event_id from events",
         "wire_rows": f"select {_duck(_WIRE)} from logistics_events",
         "deliveries": """
             select 'hrss_telemetry' as topic, cast(reading_id % 8 as int) as "partition",

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from millwright import contracts as c
 from millwright.functions.casting import iso_parse, iso_text
 from millwright.operators import (
+    coverage,
     features,
     lineage,
     logs,
     ordering,
+    partials,
     privacy,
     profile,
     project,
@@ -25,10 +27,11 @@ from millwright.operators import (
 )
 from millwright.plans import fixtures as fx, jobs
 from millwright.session import shared_dir
-from millwright.sources import files, tables
+from millwright.sources import files, layout, tables
 from millwright.sources.messages import as_messages, publish_files, stream_files
 from millwright.sources.tables import overwrite_quarters, read_raw
-from millwright.streaming.ingest import ingest
+from millwright.streaming import history
+from millwright.streaming.ingest import checked, ingest
 from millwright.streaming.live import latest, live_aggregate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +52,9 @@ BOOTSTRAP_RATE = 0.5
 REBUILT_QUARTER = "2023-04-01"
 READY_ROWS = 100
 READY_GAP_DAYS = 7
+INGESTED_IN = 4  # batches, each of which spans the whole period
+ASSET_GAP_SECONDS = 7 * 86_400
+LATE_RATE = 0.4
 
 CATEGORICAL = ["asset_id", "shipment_status", "traffic_status", "logistics_delay_reason"]
 LOGISTICS_COLUMNS = [
@@ -556,3 +562,97 @@ def quarterly_tables(spark, sf_dir):
         join anomaly_rate r using (quarter_start)
         join (select quarter_start, sum(reading_count) as reading_count
             from hrss_features_quarterly group by quarter_start) f using (quarter_start)""")
+
+
+# --- tables kept batch by batch ------------------------------------------------------------------
+
+def _ingested(rows, row_id, path, ts, sort_by, order=tuple(range(INGESTED_IN))):
+    for k in order:
+        tables.append_raw(rows.where(F.pmod(row_id, F.lit(INGESTED_IN)) == k), path, ts, f"{k:012d}", sort_by)
+
+
+@query
+def compacted_readings(spark, sf_dir):
+    """The readings ingested in several batches, their small files merged, read back."""
+    path = shared_dir(spark, "compacted")
+    sort_by = ["is_anomalous", "is_optimised"]
+    _ingested(fx.hrss_telemetry(spark, sf_dir), "reading_id", path, "reading_timestamp", sort_by)
+    layout.compact(spark, path, c.HRSS_TELEMETRY, sort_by)
+    return read_raw(spark, path, c.HRSS_TELEMETRY).select(
+        *[f.name for f in c.HRSS_TELEMETRY.fields if f.name != "ingested_at"]
+    )
+
+
+def _incremental(spark, topic, rows, row_id):
+    """Batches out of order, sums brought up to date in between, a batch delivered again, and a compaction."""
+    base = shared_dir(spark, "incremental")
+    contract, ts, sort_by = jobs.CONTRACTS[topic]
+    path = f"{base}/raw/{topic}"
+    for order in ((2, 0), (3, 1, 0)):
+        _ingested(rows, row_id, path, ts, sort_by, order)
+        jobs.refresh_partials(spark, base, topic)
+    jobs.compact_topic(spark, topic, base)
+    return partials.added_up(jobs.partial_rows(spark, base, topic), topic)
+
+
+@query
+def incremental_hrss_features(spark, sf_dir):
+    return _incremental(spark, c.TOPIC_HRSS, fx.hrss_telemetry(spark, sf_dir), "reading_id")
+
+
+@query
+def incremental_logistics_features(spark, sf_dir):
+    return _incremental(spark, c.TOPIC_LOGISTICS, fx.logistics_events(spark, sf_dir), "event_id")
+
+
+@query
+def recognised_messages(spark, sf_dir):
+    """The readings as messages in two batches, then the anomalous ones delivered again: every payload once."""
+    base = shared_dir(spark, "recognised")
+    contract = c.wire(c.HRSS_TELEMETRY)
+    readings = fx.hrss_telemetry(spark, sf_dir)
+    batches = [readings.where(F.pmod("reading_id", F.lit(2)) == k) for k in (0, 1)] + [readings.where("is_anomalous")]
+    for k, rows in enumerate(batches):
+        checked(as_messages(rows, contract), c.HRSS_TELEMETRY).write.parquet(f"{base}/checked/{k}")
+        fresh = history.first_deliveries(
+            spark, quality.accepted(spark.read.parquet(f"{base}/checked/{k}")), "reading_timestamp", f"{base}/history",
+            f"{k:012d}", ["value"],
+        )
+        history.remember(spark, fresh, "reading_timestamp", f"{base}/history", f"{k:012d}")
+        tables.append_raw(fresh.select(*contract.names), f"{base}/raw", "reading_timestamp", f"{k:012d}", [])
+    return read_raw(spark, f"{base}/raw", c.HRSS_TELEMETRY).select(*contract.names)
+
+
+@query
+def missing_intervals(spark, sf_dir):
+    events = fx.logistics_events(spark, sf_dir, ["asset_id", "event_timestamp"])
+    return coverage.missing_intervals(events, "asset_id", "event_timestamp", ASSET_GAP_SECONDS)
+
+
+@query
+def quarter_coverage(spark, sf_dir):
+    events = fx.logistics_events(spark, sf_dir, ["asset_id", "event_timestamp"])
+    return coverage.quarter_coverage(events, "asset_id", "event_timestamp", ASSET_GAP_SECONDS)
+
+
+@query
+def log_entries(spark, sf_dir):
+    """The log lines as one file per service, in order, read back as entries with their traces."""
+    path = shared_dir(spark, "log-files")
+    lines = fx.log_lines(spark, sf_dir, "ts", "event_id").repartition("service")
+    lines.sortWithinPartitions("service", "ts", "event_id").select("service", "line").write.partitionBy("service").text(path)
+    # the folder names the service here, and a file is read in the order it was written in
+    by_folder = F.regexp_extract("file", "service=([^/]*)/", 1)
+    return logs.entries(tables.read_log_lines(spark, path).withColumn("service", by_folder)).drop("file")
+
+
+@query
+def traced_events(spark, sf_dir):
+    """Raw events behind the features of assets that were often late, found by the files recorded with the features."""
+    path = shared_dir(spark, "traced")
+    tables.append_raw(fx.logistics_events(spark, sf_dir), path, "event_timestamp", "0", ["asset_id"])
+    record_path = shared_dir(spark, "record")
+    lineage.recorded(read_raw(spark, path, c.LOGISTICS_EVENTS), c.TOPIC_LOGISTICS).write.parquet(record_path)
+    record = spark.read.parquet(record_path)
+    late = partials.added_up(record, c.TOPIC_LOGISTICS).where(F.col("delay_rate") > LATE_RATE)
+    return lineage.trace_recorded(spark, record, late, c.TOPIC_LOGISTICS, c.LOGISTICS_EVENTS).drop("ingested_at")

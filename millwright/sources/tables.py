@@ -113,3 +113,15 @@ def read_log_files(spark: SparkSession, path: str) -> DataFrame:
         F.substring_index("_metadata.file_name", ".", 1).alias("service"),
         F.col("value").alias("line"),
     )
+
+
+def read_log_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Log files as ``service``, ``line`` and the line's place: ``file``, ``block`` (where the part of the file begins
+    that one task reads) and ``place`` (ascending inside a block). The service is the file's name up to the first dot."""
+    return spark.read.text(path).select(
+        F.substring_index("_metadata.file_name", ".", 1).alias("service"),
+        F.col("value").alias("line"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"),
+    )
