@@ -107,16 +107,19 @@ def _opens(*keys: np.ndarray) -> np.ndarray:
 
 
 def _order(*keys: np.ndarray) -> np.ndarray:
-    """An order by the first key, then the next ones; in one sort where ranks of the first and the others fit 63 bits."""
+    """An order by the first key, then the next ones; in one sort where the keys, or ranks of the first, fit 63 bits."""
     if not len(keys[0]):
         return np.zeros(0, np.int64)
-    _, rank = np.unique(keys[0], return_inverse=True)
-    widths = [int(k.max()).bit_length() for k in (rank, *keys[1:])]
+    first, widths = keys[0], [int(k.max()).bit_length() for k in keys]
+    if sum(widths) > 63:
+        first = np.unique(first, return_inverse=True)[1]
+        widths[0] = int(first.max()).bit_length()
     if sum(widths) > 63:
         return np.lexsort(keys[::-1])
-    one = rank.astype(np.int64)
+    one = first.astype(np.int64)
     for key, width in zip(keys[1:], widths[1:]):
-        one = (one << width) | key.astype(np.int64)
+        one <<= width
+        one |= key
     return np.argsort(one)
 
 
@@ -430,40 +433,49 @@ def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buck
     out = arrow_schema(_GRAMS)
     n, v_types = words.tokens, int(words.types.sum())
 
+    def home(numbers: np.ndarray, block: int) -> np.ndarray:
+        """The buckets of grams by their middle word."""
+        spread = block ^ (block >> 33)
+        hot = (numbers >= FIRST) & (numbers < words.first_cold) | ((numbers == START) & start_is_hot)
+        hashed = (numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets
+        # an unknown word has no grams in training: its tokens need no company and stay spread
+        hashed[numbers == UNKNOWN] = spread % buckets
+        hashed[hot] = buckets + spread % max(1, hot_pieces)
+        return _narrow(hashed)
+
     def deal(left: pa.Table, right: pa.Table) -> pa.Table:
         block = left["block"][0].as_py()
         rows, length, trained, tokens = (
             unpack(left[c][0].as_py())
             for c, unpack in (("rows", _unpack_sorted), ("lengths", _unpack), ("trained", _unpack), ("tokens", _unpack))
         )
-        w = _unpack(right["numbers"][0].as_py())[tokens]
+        numbers = _narrow(_unpack(right["numbers"][0].as_py()))
         opens = np.cumsum(length) - length
+        # what depends on a word alone is worked out once for the block's dictionary
+        counts = words.counts(numbers)
+        base = _sums(np.log10((counts + 0.5) / (n + 0.5 * (v_types + 1)))[tokens], opens)
+        n_known = _sums((counts > 0).astype(np.int32)[tokens], opens)
+        out_rows = [(-1 - block, FIGURES, _pack_sorted(rows), _pack(length), _pack(n_known), base.tobytes(), None)]
+        bucket = np.roll(home(numbers, block)[tokens], 1)
+        bucket[opens] = home(np.array([START]), block)[0]
+        w = numbers[tokens]
+        del tokens
         v, u = np.roll(w, 1), np.roll(w, 2)
         v[opens] = START
         u[opens] = START
         u[(opens + 1)[length > 1]] = START
         if order == 2:
             u[:] = START
-        counts = words.counts(w)
-        base = _sums(np.log10((counts + 0.5) / (n + 0.5 * (v_types + 1))), opens)
-        out_rows = [(
-            -1 - block, FIGURES, _pack_sorted(rows), _pack(length), _pack(_sums((counts > 0).astype(np.int64), opens)), base.tobytes(), None
-        )]
-        # the lowest bit says whether the document is trained on
-        row = np.repeat(2 * rows + trained, length)
-        hot = (v >= FIRST) & (v < words.first_cold) | ((v == START) & start_is_hot)
-        spread = block ^ (block >> 33)
-        bucket = (v.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets
-        # an unknown word has no grams in training: its tokens need no company and stay spread
-        bucket = np.where(v == UNKNOWN, spread % buckets, bucket)
-        bucket = np.where(hot, buckets + spread % max(1, hot_pieces), bucket)
         by = _order(bucket, v)
-        v, u, w, row, bucket = v[by], u[by], w[by], row[by], bucket[by]
+        bucket, v, u, w = bucket[by], v[by], u[by], w[by]
+        # the lowest bit says whether the document is trained on
+        row = np.repeat(2 * rows + trained, length)[by]
+        del by
         cuts = _opens(bucket)
         for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
             kind = HOT_GRAMS if bucket[a] >= buckets else COLD_GRAMS
             out_rows.append((int(bucket[a]), kind, _pack_sorted(v[a:b]), _pack(u[a:b]), _pack(w[a:b]), None, _pack(row[a:b])))
-        del v, u, w, row, bucket, by
+        del v, u, w, row, bucket
         give_back()
         return pa.Table.from_batches([arrow_batch(out_rows, out)])
 
