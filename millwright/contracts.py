@@ -144,6 +144,13 @@ def wire(contract: T.StructType) -> T.StructType:
     return T.StructType([f for f in contract.fields if f.name not in _ID_AND_ARRIVAL])
 
 
+def with_length(contract: T.StructType, name: str, max_length: int) -> T.StructType:
+    """The contract with another greatest length for one text column."""
+    return T.StructType([
+        _text(f.name, max_length, f.nullable) if f.name == name else f for f in contract.fields
+    ])
+
+
 def source_schema(contract: T.StructType, names: dict[str, str]) -> T.StructType:
     """The source's columns, under their own names, in the types of the contract."""
     return T.StructType([

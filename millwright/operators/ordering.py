@@ -10,7 +10,7 @@ from millwright.session import shared_dir
 def sorted_by_time(rows: DataFrame, ts: str, row_id: str) -> DataFrame:
     """A distributed sort: range partitions, each sorted. The id breaks ties, so even a single
     crowded instant is split over partitions."""
-    return rows.orderBy(ts, row_id)
+    return rows.orderBy(ts, row_id) if ts != row_id else rows.orderBy(ts)
 
 
 def with_position(rows: DataFrame, ts: str, row_id: str) -> DataFrame:

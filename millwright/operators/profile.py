@@ -37,7 +37,9 @@ def profile_columns(
     booleans = [f.name for f in fields if isinstance(f.dataType, T.BooleanType)]
     wide = rows.agg(
         F.count("*").alias("row_count"),
-        *[F.count(c).alias(f"{c}__filled") for c in columns],
+        # NaN is how a missing number arrives
+        *[F.count(nan_to_null(F.col(f.name)) if isinstance(f.dataType, (T.FloatType, T.DoubleType)) else F.col(f.name))
+          .alias(f"{f.name}__filled") for f in fields],
         *[F.count_if(c).alias(f"{c}__true") for c in booleans],
     )
 
@@ -104,6 +106,39 @@ def top_categories(rows: DataFrame, column: str, k: int) -> DataFrame:
     )
 
 
+#: Buckets of the first pass of ``heavy_hitters``, and how many of them a filter may name.
+BUCKETS, NAMED_BUCKETS = 1 << 16, 4096
+
+
+def heavy_hitters(rows: DataFrame, column: str, k: int) -> DataFrame:
+    """The k most frequent values, ties by value, as ``top_categories`` finds them, without a shuffle of all values.
+
+    A first pass adds up the rows of BUCKETS hash buckets: a summary of bounded size that merges, and whose total is an
+    upper bound for each value in the bucket. The values of the heaviest buckets are then counted exactly. The k-th
+    count found decides: a bucket left out whose total is smaller can't hold a value that belongs among the k. If there
+    is such a bucket, the values of all buckets with a total that large are counted, which is complete, since that
+    k-th count can only grow. Where a filter would have to name too many of them, all values are counted.
+    """
+    value = F.col(column)
+    known = rows.where(value.isNotNull()).withColumn("bucket", F.pmod(F.xxhash64(value), F.lit(BUCKETS)).cast("int"))
+    totals = {r["bucket"]: r["n"] for r in known.groupBy("bucket").agg(F.count("*").alias("n")).collect()}  # BUCKETS at most
+
+    def counted(buckets: list[int] | None) -> DataFrame:
+        chosen = known if buckets is None else known.where(F.col("bucket").isin(buckets))
+        return top_categories(chosen, column, k)
+
+    heaviest = sorted(totals, key=lambda b: (-totals[b], b))
+    first = heaviest[: max(64, 4 * k)]
+    if len(first) == len(heaviest):
+        return counted(None)
+    found = counted(first).collect()  # k rows
+    least = found[-1]["category_count"] if len(found) == k else 0
+    if totals[heaviest[len(first)]] < least:
+        return counted(first)
+    wanted = [b for b in heaviest if totals[b] >= least]
+    return counted(wanted if len(wanted) <= NAMED_BUCKETS else None)
+
+
 def class_weights(readings: DataFrame) -> DataFrame:
     """Share of each (anomalous, optimised) cell; the window sees the four cells only."""
     everything = W.partitionBy(F.lit(1))

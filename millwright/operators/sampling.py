@@ -9,6 +9,8 @@ import math
 
 from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as T
 
+from millwright.operators.ordering import with_position
+
 _HASH_RANGE = 2**32
 #: Rates beyond this are drawn in parts: exp(-rate) must stay well above the hash's resolution.
 PART_RATE = 8.0
@@ -58,6 +60,23 @@ def bootstrap_sample(rows: DataFrame, row_id: str, rate: float, seed: int) -> Da
     )
 
 
+def bootstrap_exact(rows: DataFrame, row_id: str, n: int, seed: int) -> DataFrame:
+    """Exactly ``n`` rows drawn with replacement, each draw with equal chances for all rows; with the ``draw`` (from 1).
+
+    Row ids (unique) are numbered by a distributed sort; a draw is the hash of its number, taken as a place in that
+    order. Draws and places are both spread evenly, so their join has no crowded key. The same rows are drawn
+    however the table is partitioned. A table without rows gives none.
+    """
+    spark = rows.sparkSession
+    placed = with_position(rows.select(row_id), row_id, row_id)
+    count = rows.count()
+    draws = spark.range(1, n + 1 if count else 1).select(
+        F.col("id").alias("draw"),
+        (F.pmod(_leading_hex(F.md5(F.concat(F.lit(f"{seed}/"), F.col("id").cast("string"))), 15), F.lit(max(1, count))) + 1).alias("position"),
+    )
+    return rows.join(draws.join(placed, "position").select(row_id, "draw"), row_id)
+
+
 def stratified_sample(
     rows: DataFrame, classes: list[str], row_id: str, percent: int, seed: int
 ) -> DataFrame:

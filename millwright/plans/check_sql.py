@@ -3,9 +3,9 @@ medians and joins, which a single-node engine can afford."""
 
 from __future__ import annotations
 
+import math
+
 from millwright.contracts import AXES, HRSS_TELEMETRY, LOGISTICS_EVENTS, VALUE_RANGES
-from millwright.operators.profile import kind_of
-from millwright.operators.sampling import poisson_thresholds
 from millwright.plans import queries as q
 from millwright.plans.fixtures import check_views
 
@@ -66,6 +66,18 @@ select {_quarter('reading_timestamp')} as quarter_start, is_anomalous, is_optimi
 from hrss_telemetry group by 1, 2, 3"""
 
 
+def _poisson_points(rate: float) -> list[int]:
+    """Where the distribution function of a Poisson number steps, on a scale of 2**32; steps too small to be hit are left out."""
+    below = [sum(math.exp(-rate) * rate**j / math.factorial(j) for j in range(k + 1)) for k in range(30)]
+    return [p for p in (math.floor(b * 2**32) for b in below) if p < 2**32 - 1]
+
+
+#: Kinds of the readings' columns that aren't whole numbers (fixed values).
+_READING_KINDS = {
+    "reading_timestamp": "timestamp", "cycle_elapsed_sec": "numeric", "is_anomalous": "boolean", "is_optimised": "boolean",
+}
+
+
 def _by_axis(select: str) -> str:
     return " union all ".join(select.replace("AXIS", axis) for axis in AXES)
 
@@ -254,7 +266,7 @@ def oracle() -> dict[str, str]:
     day_frame = _rolling_frame("event_date").format(span="interval 6 days")
     quarter_end = f"date '{q.QUARTER}' + interval 3 months"
     poisson = " + ".join(
-        f"case when point >= {t} then 1 else 0 end" for t in poisson_thresholds(q.BOOTSTRAP_RATE)
+        f"case when point >= {t} then 1 else 0 end" for t in _poisson_points(q.BOOTSTRAP_RATE)
     )
     sql: dict[str, str] = {}
 
@@ -431,7 +443,7 @@ def oracle() -> dict[str, str]:
     )
     sql["profile_kinds"] = _with(
         " union all ".join(
-            f"""select '{n}' as "column", '{kind_of(HRSS_TELEMETRY[n])}' as kind,
+            f"""select '{n}' as "column", '{_READING_KINDS.get(n, "integer")}' as kind,
             count(*) as row_count, count({n}) as non_null_count from hrss_telemetry"""
             for n in q.HRSS_COLUMNS
         ),
@@ -561,15 +573,36 @@ def oracle() -> dict[str, str]:
     )
 
     sql["bootstrap_sample"] = _with(
-        f"""select reading_id, reading_timestamp, {_FLAGS},
+        f"""select {kept_readings},
         unnest(range(1, copies + 1))::int as copy
         from (select *, {poisson} as copies from
               (select *, cast('0x' || substring(md5('{q.SAMPLE_SEED}:' || reading_id), 1, 8)
                as bigint) as point from hrss_telemetry))""",
         "hrss_telemetry",
     )
+    sql["bootstrap_exact"] = _with(
+        f"""select {kept_readings}, draw from
+        (select *, row_number() over (order by reading_id) as position from hrss_telemetry) join
+        (select draw, 1 + cast('0x' || substring(md5('{q.SAMPLE_SEED}/' || draw), 1, 15) as bigint)
+           % (select count(*) from hrss_telemetry) as position
+         from (select unnest(range(1, {q.BOOTSTRAP_ROWS} + 1)) as draw)) using (position)""",
+        "hrss_telemetry",
+    )
+    sql["heavy_hitters"] = _with(
+        f"""select user_transaction_amount, count(*) as category_count from logistics_events
+        where user_transaction_amount is not null group by 1
+        order by category_count desc, user_transaction_amount limit {q.HEAVY_K}""",
+        "logistics_events",
+    )
+    longer = _reasons().replace("> 50 then 'length:asset_id'", f"> {q.LONGER_ASSET_ID} then 'length:asset_id'")
+    wire_logistics = ", ".join(f.name for f in _WIRE)
+    sql["replayed_quarantine"] = _with(
+        f"""select {wire_logistics} from typed where event_id in
+        (select event_id from wire_rows where concat_ws(',', {longer}) = '')""",
+        "wire_rows", also={"typed": _TYPED},
+    )
     sql["stratified_sample"] = _with(
-        f"""select reading_id, reading_timestamp, {_FLAGS} from
+        f"""select {kept_readings} from
         (select *, row_number() over (partition by {_FLAGS}
              order by md5('{q.SAMPLE_SEED}:' || reading_id), reading_id) as r,
              count(*) over (partition by {_FLAGS}) as n from hrss_telemetry)

@@ -30,7 +30,7 @@ from millwright.session import shared_dir
 from millwright.sources import files, layout, tables
 from millwright.sources.messages import as_messages, publish_files, stream_files
 from millwright.sources.tables import overwrite_quarters, read_raw
-from millwright.streaming import history
+from millwright.streaming import history, replay
 from millwright.streaming.ingest import checked, ingest
 from millwright.streaming.live import latest, live_aggregate
 
@@ -49,6 +49,9 @@ ERASED_EVERY = 1000  # ids that erasure requests name
 SAMPLE_PERCENT = 10
 SAMPLE_SEED = 42
 BOOTSTRAP_RATE = 0.5
+BOOTSTRAP_ROWS = 1500
+HEAVY_K = 20
+LONGER_ASSET_ID = 100
 REBUILT_QUARTER = "2023-04-01"
 READY_ROWS = 100
 READY_GAP_DAYS = 7
@@ -321,6 +324,13 @@ def top_delay_reasons(spark, sf_dir):
     )
 
 
+@query
+def heavy_hitters(spark, sf_dir):
+    return profile.heavy_hitters(
+        fx.logistics_events(spark, sf_dir, AMOUNT_COLUMNS), "user_transaction_amount", HEAVY_K
+    )
+
+
 @query
 def sort_events(spark, sf_dir):
     events = fx.logistics_events(spark, sf_dir, ["event_id", "event_timestamp"])
@@ -457,19 +467,18 @@ def reconcile_anti(spark, sf_dir):
 
 @query
 def bootstrap_sample(spark, sf_dir):
-    readings = fx.hrss_telemetry(spark, sf_dir).select(
-        "reading_id", "reading_timestamp", "is_anomalous", "is_optimised"
-    )
-    return sampling.bootstrap_sample(readings, "reading_id", BOOTSTRAP_RATE, SAMPLE_SEED)
+    return sampling.bootstrap_sample(fx.hrss_telemetry(spark, sf_dir), "reading_id", BOOTSTRAP_RATE, SAMPLE_SEED)
+
+
+@query
+def bootstrap_exact(spark, sf_dir):
+    return sampling.bootstrap_exact(fx.hrss_telemetry(spark, sf_dir), "reading_id", BOOTSTRAP_ROWS, SAMPLE_SEED)
 
 
 @query
 def stratified_sample(spark, sf_dir):
-    readings = fx.hrss_telemetry(spark, sf_dir).select(
-        "reading_id", "reading_timestamp", "is_anomalous", "is_optimised"
-    )
     return sampling.stratified_sample(
-        readings, ["is_anomalous", "is_optimised"], "reading_id", SAMPLE_PERCENT, SAMPLE_SEED
+        fx.hrss_telemetry(spark, sf_dir), ["is_anomalous", "is_optimised"], "reading_id", SAMPLE_PERCENT, SAMPLE_SEED
     )
 
 
@@ -656,3 +665,20 @@ def traced_events(spark, sf_dir):
     record = spark.read.parquet(record_path)
     late = partials.added_up(record, c.TOPIC_LOGISTICS).where(F.col("delay_rate") > LATE_RATE)
     return lineage.trace_recorded(spark, record, late, c.TOPIC_LOGISTICS, c.LOGISTICS_EVENTS).drop("ingested_at")
+
+
+@query
+def replayed_quarantine(spark, sf_dir):
+    """Faulty messages ingested, then those in quarantine taken again under a contract with longer asset ids."""
+    base = shared_dir(spark, "replayed")
+    contract = c.wire(c.LOGISTICS_EVENTS)
+    text = F.to_json(F.struct(*contract.names), {"ignoreNullFields": "false"})
+    publish_files(fx.wire_rows(spark, sf_dir).select(text.alias("value")), f"{base}/landing")
+    paths = (f"{base}/raw", f"{base}/quarantine")
+    ingest(
+        stream_files(spark, f"{base}/landing", c.TOPIC_LOGISTICS), c.LOGISTICS_EVENTS, "event_timestamp", *paths,
+        f"{base}/checkpoint", ["asset_id"],
+    ).awaitTermination()
+    longer = c.with_length(c.LOGISTICS_EVENTS, "asset_id", LONGER_ASSET_ID)
+    replay.replay(spark, longer, "event_timestamp", *paths, "longer-ids", ["asset_id"])
+    return read_raw(spark, f"{base}/raw", c.LOGISTICS_EVENTS).select(*contract.names)
