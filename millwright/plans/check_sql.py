@@ -641,6 +641,14 @@ def oracle() -> dict[str, str]:
             (select (quarter_start, asset_id) from features where delay_rate > {q.LATE_RATE})""",
         "logistics_events", also={"features": LOGISTICS_FEATURES},
     )
+    sql["merged_quantiles"] = _with(
+        " union all ".join(
+            f"""select '{n}' as "column", cast(p as double) as probability, count({n}) as row_count, true as within_error
+            from hrss_telemetry, (select unnest([{', '.join(map(str, q.MERGED_AT))}]) as p) group by p"""
+            for n in q.QUANTILE_COLUMNS
+        ),
+        "hrss_telemetry",
+    )
     sql["ingest_stream"] = _with(
         f"select {', '.join(wire_hrss)} from hrss_telemetry", "hrss_telemetry"
     )

@@ -1,7 +1,7 @@
 """Contract-shaped views over the benchmark tables.
 
 The tables the operators are written for come from a plant. For checks and benchmarks these views
-give ``lineitem``, ``part`` and ``events`` the same columns, types and value ranges. A view body is
+give ``lineitem`` and ``events`` the same columns, types and value ranges. A view body is
 one SELECT list, shared with the check SQL; only a few function names differ between the engines.
 """
 
@@ -19,7 +19,7 @@ _LOGISTICS = """
     concat('ASSET-', cast(l_suppkey as string)) as asset_id,
     cast(cast(l_suppkey*37 % 18000 as double)/100 - 90 as decimal(9,4)) as latitude,
     cast(cast(l_suppkey*91 % 36000 as double)/100 - 180 as decimal(9,4)) as longitude,
-    case when (l_orderkey + l_linenumber) % 200 = 0 then null else cast(p_size*10 as int) end
+    case when (l_orderkey + l_linenumber) % 200 = 0 then null else cast((l_partkey % 50 + 1)*10 as int) end
         as inventory_level,
     case when l_linestatus = 'F' then 'Delivered' when l_returnflag = 'N' then 'In Transit'
          else 'Delayed' end as shipment_status,
@@ -34,7 +34,7 @@ _LOGISTICS = """
     case when l_returnflag <> 'R' then null when l_linenumber % 3 = 0 then 'Weather'
          when l_linenumber % 3 = 1 then 'Traffic' else 'Mechanical' end as logistics_delay_reason,
     cast(l_quantity*2 as decimal(5,2)) as asset_utilization_pct,
-    cast(floor(p_retailprice) as int) as demand_forecast,
+    cast(900 + l_partkey % 1100 as int) as demand_forecast,
     case when (l_orderkey + l_partkey) % 200 = 0 then null else l_returnflag = 'R' end
         as logistics_delay
 """
@@ -134,8 +134,7 @@ def logistics_events(
     start: str | None = None,
     end: str | None = None,
 ) -> DataFrame:
-    """All columns, or those named. An event exists whether or not its part is known, so where no
-    column comes from ``part`` the outer join on its key could change nothing and is left out.
+    """All columns, or those named.
 
     ``start`` and ``end`` (dates) bound the scan where the caller filters on event time: an event
     falls on its ship date, so the bounds reach the file's statistics.
@@ -145,21 +144,10 @@ def logistics_events(
         lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp"))
     if end:
         lineitem = lineitem.where(F.col("l_shipdate") <= F.lit(end).cast("timestamp"))
-    if columns is None or _FROM_PART & set(columns):
-        part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
-        # No hint: the size of ``part`` decides the strategy.
-        source = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
-    else:
-        source = lineitem.withColumns({
-            "p_size": F.lit(None).cast("int"), "p_retailprice": F.lit(None).cast("double"),
-        })
-    view = _select(spark, _LOGISTICS, source, "source")
+    view = _select(spark, _LOGISTICS, lineitem, "source")
     return view.select(*columns) if columns else view
 
 
-_FROM_PART = {"inventory_level", "demand_forecast"}
-
-
 def hrss_from(spark: SparkSession, events: DataFrame) -> DataFrame:
     return _select(spark, _HRSS, events, "source")
 
@@ -219,7 +207,7 @@ def _duck(columns: str) -> str:
 
 def check_views() -> dict[str, str]:
     """The same views as named subqueries for the check SQL."""
-    logistics = f"select {_duck(_LOGISTICS)} from lineitem left join part on l_partkey = p_partkey"
+    logistics = f"select {_duck(_LOGISTICS)} from lineitem"
     return {
         "logistics_events": logistics,
         "hrss_telemetry": f"select {_duck(_HRSS)} from events",

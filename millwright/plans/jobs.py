@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright import contracts as c
@@ -18,17 +18,20 @@ from millwright.operators.features import (
     logistics_features,
     stamp,
 )
-from millwright.operators import partials
+from millwright.operators import partials, privacy
+from millwright.operators.logs import entries, without_health_checks
 from millwright.operators.profile import category_frequencies, profile_columns, quantile_profile
 from millwright.operators.project import in_quarter
 from millwright.operators.quality import key_uniqueness, raw_readiness
 from millwright.operators.rolling import rolling_asset_stats
 from millwright.session import use_utc
 from millwright.sources import derived, layout
+from millwright.sources.files import read_csv
 from millwright.sources.messages import stream_files, stream_kafka
 from millwright.sources.tables import (
-    overwrite_quarter, overwrite_quarters, read_features, read_raw, register,
+    overwrite_quarter, overwrite_quarters, read_features, read_log_lines, read_raw, register, write_logs,
 )
+from millwright.streaming import replay
 from millwright.streaming.ingest import ingest, without_redeliveries
 
 CONTRACTS = {
@@ -189,6 +192,43 @@ def compact_topic(
     return found
 
 
+def retain_topic(spark: SparkSession, topic: str, base: str, oldest: str) -> list[str]:
+    """Remove a topic's raw rows from before ``oldest``; returns the folders that went."""
+    use_utc(spark)
+    return privacy.retain(spark, f"{base}/raw/{topic}", CONTRACTS[topic][0], oldest)
+
+
+def erase_topic(spark: SparkSession, topic: str, base: str, column: str, ids: str) -> int:
+    """Remove a topic's raw rows whose ``column`` is named in a CSV file; returns the folders touched."""
+    use_utc(spark)
+    contract = CONTRACTS[topic][0]
+    named = spark.read.csv(ids, header=True).select(F.col(column).cast(contract[column].dataType).alias(column))
+    return privacy.erase(spark, f"{base}/raw/{topic}", contract, column, named)
+
+
+def replay_topic(spark: SparkSession, topic: str, base: str, run: str) -> int:
+    """Take a topic's quarantined messages again under today's contract; returns how many were moved."""
+    use_utc(spark)
+    contract, ts, sort_by = CONTRACTS[topic]
+    return replay.replay(spark, contract, ts, f"{base}/raw/{topic}", f"{base}/quarantine/{topic}", run, sort_by)
+
+
+def add_logs(spark: SparkSession, path: str, base: str, batch: str) -> None:
+    """Add log files to the table of log entries, health checks left out. A batch that is added again replaces itself."""
+    use_utc(spark)
+    write_logs(without_health_checks(entries(read_log_lines(spark, path))), f"{base}/logs", batch)
+
+
+def profile_csv(spark: SparkSession, path: str, out: str) -> None:
+    """The profile of CSV files, written as three tables."""
+    use_utc(spark)
+    rows = read_csv(spark, path)
+    numeric = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.NumericType)]
+    text = [f.name for f in rows.schema.fields if isinstance(f.dataType, T.StringType)]
+    for name, table in profile(rows, text, numeric).items():
+        table.write.mode("overwrite").parquet(f"{out}/{name}")
+
+
 def serve(spark: SparkSession, base: str, topics: tuple[str, ...] = tuple(CONTRACTS)) -> list[str]:
     """Make the raw tables, feature tables and reports below ``base`` available to SQL under their names."""
     tables = {}

@@ -23,11 +23,12 @@ from millwright.operators import (
     quality,
     rolling,
     sampling,
+    summaries,
     tumbling,
 )
 from millwright.plans import fixtures as fx, jobs
 from millwright.session import shared_dir
-from millwright.sources import files, layout, tables
+from millwright.sources import derived, files, layout, tables
 from millwright.sources.messages import as_messages, publish_files, stream_files
 from millwright.sources.tables import overwrite_quarters, read_raw
 from millwright.streaming import history, replay
@@ -58,6 +59,7 @@ READY_GAP_DAYS = 7
 INGESTED_IN = 4  # batches, each of which spans the whole period
 ASSET_GAP_SECONDS = 7 * 86_400
 LATE_RATE = 0.4
+MERGED_AT = (0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0)
 
 CATEGORICAL = ["asset_id", "shipment_status", "traffic_status", "logistics_delay_reason"]
 LOGISTICS_COLUMNS = [
@@ -682,3 +684,30 @@ def replayed_quarantine(spark, sf_dir):
     longer = c.with_length(c.LOGISTICS_EVENTS, "asset_id", LONGER_ASSET_ID)
     replay.replay(spark, longer, "event_timestamp", *paths, "longer-ids", ["asset_id"])
     return read_raw(spark, f"{base}/raw", c.LOGISTICS_EVENTS).select(*contract.names)
+
+
+@query
+def merged_quantiles(spark, sf_dir):
+    """Quantiles of the readings from summaries stored batch by batch, with the places that the values have among all
+    rows. The last column says whether these lie within the summaries' error."""
+    base = shared_dir(spark, "summaries")
+    contract, columns = c.HRSS_TELEMETRY, QUANTILE_COLUMNS
+    readings = fx.hrss_telemetry(spark, sf_dir)
+    _ingested(readings, "reading_id", f"{base}/raw", "reading_timestamp", ["is_anomalous"])
+    state = derived.refresh(
+        spark, f"{base}/raw", contract, f"{base}/summaries", lambda rows, by: summaries.summaries(rows, columns, by), additive=True
+    )
+    found = summaries.merged_quantiles(derived.read(spark, f"{base}/summaries", summaries.SCHEMA, state.counting), list(MERGED_AT))
+    values = readings.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("column"), F.col(n).cast("double").alias("x")) for n in columns
+    ])))
+    # each value is counted against the few quantiles of its column
+    places = values.join(found, "column").groupBy("column", "probability", "n").agg(
+        F.count_if(F.col("x") < F.col("value")).alias("below"), F.count_if(F.col("x") <= F.col("value")).alias("upto")
+    )
+    slack = summaries.ERROR * F.col("n") + 1
+    target = F.col("probability") * F.col("n")
+    return places.select(
+        "column", "probability", F.col("n").alias("row_count"),
+        ((F.col("below") <= target + slack) & (F.col("upto") >= target - slack)).alias("within_error"),
+    )

@@ -13,7 +13,7 @@ from tests.conftest import SMALL, utc
 QUERIES = registry()
 WRITERS = {"quarterly_tables", "tagged_files", "ingest_stream", "live_features", "overwritten_quarters", "sort_events",
            "profile_csv", "retained_readings", "erased_readings", "compacted_readings", "incremental_hrss_features",
-           "incremental_logistics_features", "recognised_messages", "log_entries", "traced_events", "replayed_quarantine"}
+           "incremental_logistics_features", "recognised_messages", "log_entries", "traced_events", "replayed_quarantine", "merged_quantiles"}
 # One row per class cell, per hour or per column meets in one task; nothing else may.
 SMALL_SINGLES = {"class_weights", "hour_profile"}
 
@@ -54,9 +54,9 @@ def test_features_take_one_shuffle_and_read_only_their_columns(spark):
     assert "event_id" in schema and "user_id" in schema
 
 
-def test_queries_without_part_columns_do_not_join_part(spark):
-    for name in ("rolling_asset_stats", "median_by_group", "hour_profile", "profile_categories"):
-        assert "p_partkey" not in plan_of(QUERIES[name](spark, SMALL))
+def test_logistics_features_take_one_shuffle_and_no_join(spark):
+    plan = plan_of(QUERIES["logistics_features_quarterly"](spark, SMALL))
+    assert plan.count("Exchange hashpartitioning") == 1 and "Join" not in plan
 
 
 def test_quarter_bounds_reach_the_file(spark):

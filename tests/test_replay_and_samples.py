@@ -1,6 +1,7 @@
 """Quarantine taken again, exact bootstrap, heavy hitters, coverage and log entries on made-up cases."""
 
 import random
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from datetime import timedelta
 
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millwright import contracts as c
-from millwright.operators import coverage, logs, profile, sampling
+from millwright.operators import coverage, logs, profile, sampling, summaries
 from millwright.operators.lineage import origins, recorded, trace, trace_recorded
 from millwright.operators.features import logistics_features
 from millwright.operators.partials import added_up
@@ -192,3 +193,31 @@ def test_a_trace_opens_the_recorded_files_alone(spark, events, tmp_path):
     assert len(files) < len(raw.inputFiles()) / 4
     nothing = trace_recorded(spark, record, late.where("false"), c.TOPIC_LOGISTICS, c.LOGISTICS_EVENTS)
     assert nothing.columns == found.columns and nothing.count() == 0
+
+
+# --- mergeable quantiles -------------------------------------------------------------------------
+
+
+def test_merged_quantiles_keep_to_their_error(spark, monkeypatch):
+    monkeypatch.setattr(summaries, "PIECES", 50)
+    monkeypatch.setattr(summaries, "ACCURACY", 500)
+    rng = random.Random(2)
+    batches = {b: [rng.gauss(b % 3, 1 + b) for _ in range(rng.choice([1, 30, 4000]))] for b in range(9)}
+    batches[9] = [7.0] * 9000  # one value holds a third of all rows
+    rows = [(b, x, None) for b, xs in batches.items() for x in xs] + [(1, None, None), (2, float("nan"), None)]
+    frame = spark.createDataFrame(rows, "b int, x double, y double").repartition(6)
+    stored = summaries.summaries(frame, ["x", "y"], ["b"])
+    assert stored.select("column").distinct().collect() == [("x",)]
+    points = [0.0, 0.01, 0.3, 0.5, 0.77, 0.99, 1.0]
+    every = sorted(x for xs in batches.values() for x in xs)
+    n, error = len(every), 1 / 50 + 1 / 500
+    found = summaries.merged_quantiles(stored, points).collect()
+    assert len(found) == len(points)
+    for r in found:
+        assert r["n"] == n
+        below, upto = bisect_left(every, r["value"]), bisect_right(every, r["value"])
+        # every batch can be off by one row beside its share
+        assert below - error * n - 10 <= r["probability"] * n <= upto + error * n + 10
+    # the order and grouping of batches don't matter
+    again = summaries.merged_quantiles(stored.repartition(3).orderBy(F.desc("b")), points)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, found))

@@ -210,3 +210,28 @@ def test_command_line_flushes_and_rebuilds(spark, tmp_path):
     assert {(r["asset_id"], r["event_count"], r["computed_at"].isoformat())
             for r in stored.collect()} == {("A", 1, "2025-07-01T00:00:00"),
                                            ("B", 1, "2025-07-01T00:00:00")}
+
+
+def test_command_line_keeps_the_tables(spark, tmp_path):
+    from millwright.plans import run
+    from tests.conftest import event
+
+    base = str(tmp_path)
+    raw = f"{base}/raw/logistics_events"
+    for batch in ("0", "1"):
+        rows = [event(event_id=int(batch) * 10 + k, asset_id=f"A{k}", event_timestamp=utc(f"2025-0{k + 1}-02T00:00:00")) for k in range(3)]
+        tables.append_raw(spark.createDataFrame(rows, c.LOGISTICS_EVENTS), raw, "event_timestamp", batch, ["asset_id"])
+    stored = lambda: sorted(r["event_id"] for r in tables.read_raw(spark, raw, c.LOGISTICS_EVENTS).collect())
+    table = ["--topic", "logistics_events", "--base", base]
+    run.main(["compact", *table, "--keep-hours", "0"])
+    assert stored() == [0, 1, 2, 10, 11, 12] and len(tables.read_raw(spark, raw, c.LOGISTICS_EVENTS).inputFiles()) == 3
+    run.main(["retain", *table, "--oldest", "2025-02-01"])
+    (tmp_path / "ids.csv").write_text("asset_id\nA2\nA9\n")
+    run.main(["erase", *table, "--column", "asset_id", "--ids", f"{base}/ids.csv"])
+    assert stored() == [1, 11]
+    (tmp_path / "x.log").write_text("2025-02-01 10:00:00,000 ERROR a: x\n  trace\n2025-02-01 10:00:01,000 INFO a: GET /health 200\n")
+    run.main(["logs", "--path", f"{base}/x.log", "--base", base, "--batch", "0"])
+    assert [(r["message"], r["trace"]) for r in spark.read.parquet(f"{base}/logs").collect()] == [("x", "  trace")]
+    (tmp_path / "s.csv").write_text("a,b\n1,x\n3,\n")
+    run.main(["profile", "--path", f"{base}/s.csv", "--out", f"{base}/profile"])
+    assert {r["column"]: r["non_null_count"] for r in spark.read.parquet(f"{base}/profile/columns").collect()} == {"a": 2, "b": 1}
