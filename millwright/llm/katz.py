@@ -43,11 +43,11 @@ MOST_DISCOUNTED = 5
 #: Tokens of a block; tokens of a bucket, and words of a dictionary's range, on average.
 BLOCK, BUCKET = 1 << 21, 1 << 20
 #: Tokens of a word that still has a bucket.
-HOT = 1 << 21
+HOT = 1 << 22
 #: The most frequent words, at most so many, are numbered without gaps.
 HEAD = 1 << 16
 #: Grams of a bucket that are evaluated at a time, if they are of several middle words.
-CHUNK = 1 << 18
+CHUNK = 1 << 16
 #: Numbers of the unknown word and of what stands before a document; known words follow.
 UNKNOWN, START, FIRST = 0, 1, 2
 #: The end of a document; no word holds a line feed.
@@ -738,7 +738,7 @@ def score(documents: DataFrame, trained: Column, order: int = ORDER, hot: int =
     hot_tokens = int((words.count * words.types)[hot_classes].sum())
     dealt = _dealt(of_kind(TOKENS), numbered, words, order, buckets, 1 + hot_tokens // BUCKET, start_is_hot)
     # a bucket is a row from here on
-    grams = saved(dealt.groupBy("bucket").applyInArrow(_sorted_grams, _GRAMS), "katz-grams")
+    grams = saved(dealt.groupBy("bucket").applyInArrow(_sorted_grams, _GRAMS), "katz-grams", group_bytes=8 << 20)
     delete(spark, path, [f"kind={TOKENS}"])
 
     times = _counted(grams)

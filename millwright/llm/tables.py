@@ -21,15 +21,17 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def saved(frame: DataFrame, purpose: str) -> DataFrame:
-    """The rows written to the cluster's shared folder and read again.
+def saved(frame: DataFrame, purpose: str, group_bytes: int | None = None) -> DataFrame:
+    """The rows written to the cluster's shared folder and read again. Where single rows are large, ``group_bytes`` keeps
+    row groups small, so that a task need not read a whole file.
 
     This cuts the lineage and keeps a costly result for several readers; a lost executor costs
     nothing that was written.
     """
     spark = frame.sparkSession
     path = shared_dir(spark, purpose)
-    frame.write.parquet(path)
+    write = frame.write.option("parquet.block.size", group_bytes) if group_bytes else frame.write
+    write.parquet(path)
     return spark.read.schema(frame.schema).parquet(path)
 
 
