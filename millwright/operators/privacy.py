@@ -9,8 +9,8 @@ from millwright.sources import layout
 
 def pseudonym(identifier: Column, salt: str) -> Column:
     """The SHA-256 of salt and identifier; NULL stays NULL. Equal identifiers keep equal digests, so joins and counts per
-    identifier still hold."""
-    return F.sha2(F.concat(F.lit(salt), identifier.cast("string")), 256)
+    identifier still hold. The salt's length goes first: no other salt and identifier give the same text."""
+    return F.sha2(F.concat(F.lit(f"{len(salt)}:{salt}:"), identifier.cast("string")), 256)
 
 
 def pseudonymised(rows: DataFrame, columns: list[str], salt: str) -> DataFrame:

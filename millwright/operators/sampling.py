@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window as W, functions as F, types as
 from millwright.operators.ordering import with_position
 
 _HASH_RANGE = 2**32
+#: Flags that classes may consist of: 65,536 slices for each of 3**4 classes.
+MOST_FLAGS = 4
 #: Rates beyond this are drawn in parts: exp(-rate) must stay well above the hash's resolution.
 PART_RATE = 8.0
 
@@ -88,6 +90,8 @@ def stratified_sample(
     """
     if any(not isinstance(rows.schema[c].dataType, T.BooleanType) for c in classes):
         raise ValueError("classes must be boolean flags")
+    if len(classes) > MOST_FLAGS:
+        raise ValueError(f"{len(classes)} flags make a table of slices too large to send to every task")
     hashed = rows.withColumn("digest", digest(row_id, seed)).withColumn(
         "slice", _leading_hex(F.col("digest"), 4)
     )

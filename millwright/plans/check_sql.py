@@ -412,7 +412,7 @@ def oracle() -> dict[str, str]:
         "logistics_events",
     )
     sql["pseudonymised_assets"] = _with(
-        f"""select event_id, sha256('{q.SALT}' || asset_id) as asset_id, event_timestamp, waiting_time_min,
+        f"""select event_id, sha256('{len(q.SALT)}:{q.SALT}:' || asset_id) as asset_id, event_timestamp, waiting_time_min,
         logistics_delay from logistics_events""",
         "logistics_events",
     )
@@ -641,6 +641,8 @@ def oracle() -> dict[str, str]:
             (select (quarter_start, asset_id) from features where delay_rate > {q.LATE_RATE})""",
         "logistics_events", also={"features": LOGISTICS_FEATURES},
     )
+    sql["csv_quarantine"] = sql["validate_events"]
+    sql["folded_features"] = _with(HRSS_FEATURES, "hrss_telemetry")
     sql["merged_quantiles"] = _with(
         " union all ".join(
             f"""select '{n}' as "column", cast(p as double) as probability, count({n}) as row_count, true as within_error

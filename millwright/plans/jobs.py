@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from millwright import contracts as c
+from millwright.operators.coverage import quarter_coverage
 from millwright.operators.features import (
     anomaly_rate,
     anomaly_rate_by_axis,
@@ -49,6 +50,8 @@ FEATURES = {
 }
 
 ROLLING_DAYS = 7
+#: A time without any row of a topic that is longer than this is a hole.
+HOLE_SECONDS = 3600
 
 #: Per topic the further tables of a quarter: name, computation, days of raw data before the quarter it needs.
 REPORTS: dict[str, list[tuple[str, Callable[[DataFrame], DataFrame], int]]] = {
@@ -111,6 +114,7 @@ def quarterly(
     max_gap_days: int = 7,
     topics: tuple[str, ...] = tuple(FEATURES),
     from_partials: bool = False,
+    min_covered: float = 0.0,
 ) -> dict[str, str]:
     """Rebuild one quarter of the feature tables and reports; running it again gives the same tables.
 
@@ -118,7 +122,8 @@ def quarterly(
     were added since the last run are read for them (see ``refresh_partials``). The result is the same.
 
     The job refuses a quarter whose raw data has not arrived: fewer than ``min_rows`` rows, or none in the last
-    ``max_gap_days`` days (0 rows and 92 days refuse nothing). The check reads one aggregated row per table. Keys are
+    ``max_gap_days`` days (0 rows and 92 days refuse nothing). With ``min_covered`` it also refuses one whose hours
+    without any row add up to more: every hole of over an hour counts, wherever it is. The check reads one aggregated row per table. Keys are
     checked before the feature table is replaced.
     """
     use_utc(spark)
@@ -138,6 +143,10 @@ def quarterly(
             ).head()
             if state is None or not state["is_ready"]:
                 raise NotReady(f"{topic} {quarter}: {state}")
+        if min_covered:
+            whole = quarter_coverage(rows.select(F.lit(topic).alias("source"), ts), "source", ts, HOLE_SECONDS).head()
+            if whole is None or whole["covered_share"] < min_covered:
+                raise NotReady(f"{topic} {quarter}: {whole}")
         computed = compute(rows) if sums is None else partials.added_up(sums, topic)
         features = stamp(computed, key, F.lit(computed_at).cast("timestamp")).select(*output.names)
         features.persist()  # aggregated rows, read by the check and the write

@@ -33,7 +33,7 @@ from millwright.sources.messages import as_messages, publish_files, stream_files
 from millwright.sources.tables import overwrite_quarters, read_raw
 from millwright.streaming import history, replay
 from millwright.streaming.ingest import checked, ingest
-from millwright.streaming.live import latest, live_aggregate
+from millwright.streaming.live import current, fold, latest, live_aggregate
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -398,6 +398,28 @@ def validate_events(spark, sf_dir):
     )
 
 
+@query
+def csv_quarantine(spark, sf_dir):
+    """Faulty rows as a CSV file, read in the contract's types with what doesn't fit."""
+    path = shared_dir(spark, "csv-checked")
+    fx.wire_rows(spark, sf_dir).write.csv(path, header=True)
+    found = files.read_csv_checked(spark, path, c.wire(c.LOGISTICS_EVENTS))
+    return found.select(F.col("event_id").cast("bigint").alias("event_id"), F.concat_ws(",", "reasons").alias("reasons"))
+
+
+@query
+def folded_features(spark, sf_dir):
+    """The class features kept by a stream in several batches, some of them folded into a snapshot, read back."""
+    base = shared_dir(spark, "folded")
+    parts = f"{base}/parts"
+    fx.hrss_telemetry(spark, sf_dir).repartition(4, "reading_id").write.parquet(parts)
+    stream = spark.readStream.schema(spark.read.parquet(parts).schema).option("maxFilesPerTrigger", 1).parquet(parts)
+    live_aggregate(stream, features.hrss_features, f"{base}/updates", f"{base}/checkpoint").awaitTermination()
+    for upto in (0, 2):
+        fold(spark, f"{base}/updates", list(c.HRSS_KEY), upto)
+    return current(spark, f"{base}/updates", list(c.HRSS_KEY))
+
+
 @query
 def range_violations(spark, sf_dir):
     typed = project.to_contract(fx.wire_rows(spark, sf_dir), c.LOGISTICS_EVENTS)

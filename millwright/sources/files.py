@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from millwright.operators.quality import validate
+
 # --- fixed values: cells that mean NULL in the producers' files -----------------------------------
 NULL_TEXTS = (
     "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN", "<NA>", "N/A", "NA",
@@ -28,6 +30,19 @@ def read_csv(
     return cells.select(*[_as_type(f).alias(f.name) for f in inferred(cells).fields])
 
 
+def read_csv_checked(
+    spark: SparkSession, path: str, contract: T.StructType, null_texts: tuple[str, ...] = NULL_TEXTS
+) -> DataFrame:
+    """CSV with a header, its columns named as in ``contract``, in the contract's types, with ``reasons``: which cells don't
+    fit, as for messages (``quality.validate``), and empty for a good row. No cell that doesn't fit becomes NULL without
+    a trace: ``quality.accepted`` and ``quality.quarantined`` part the rows. Other columns of the file are kept as text;
+    ``file`` names the row's file."""
+    cells = spark.read.options(header=True, nullValue="", enforceSchema=False, inferSchema=False).csv(path)
+    names = cells.columns
+    rows = _without(cells.select(*[F.col(_quoted(n)) for n in names]), null_texts)
+    return validate(rows.withColumn("file", F.input_file_name()), contract)
+
+
 def _quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 

@@ -101,8 +101,8 @@ def publish(messages: DataFrame, **options) -> None:
     messages.select("value").write.format("kafka").options(**kafka_write_options(**options)).save()
 
 
-def publish_files(messages: DataFrame, path: str) -> None:
-    """The file twin of ``publish``; files of the producer's batch size."""
+def publish_files(messages: DataFrame, path: str, rows_per_file: int = BATCH_ROWS) -> None:
+    """The file twin of ``publish``; files of the producer's batch size, or of another where that makes too many."""
     messages.select("value").write.mode("append").option(
-        "maxRecordsPerFile", BATCH_ROWS
+        "maxRecordsPerFile", rows_per_file
     ).text(path)

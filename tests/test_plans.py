@@ -13,7 +13,8 @@ from tests.conftest import SMALL, utc
 QUERIES = registry()
 WRITERS = {"quarterly_tables", "tagged_files", "ingest_stream", "live_features", "overwritten_quarters", "sort_events",
            "profile_csv", "retained_readings", "erased_readings", "compacted_readings", "incremental_hrss_features",
-           "incremental_logistics_features", "recognised_messages", "log_entries", "traced_events", "replayed_quarantine", "merged_quantiles"}
+           "incremental_logistics_features", "recognised_messages", "log_entries", "traced_events", "replayed_quarantine", "merged_quantiles",
+           "csv_quarantine", "folded_features"}
 # One row per class cell, per hour or per column meets in one task; nothing else may.
 SMALL_SINGLES = {"class_weights", "hour_profile"}
 

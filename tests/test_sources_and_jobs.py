@@ -235,3 +235,42 @@ def test_command_line_keeps_the_tables(spark, tmp_path):
     (tmp_path / "s.csv").write_text("a,b\n1,x\n3,\n")
     run.main(["profile", "--path", f"{base}/s.csv", "--out", f"{base}/profile"])
     assert {r["column"]: r["non_null_count"] for r in spark.read.parquet(f"{base}/profile/columns").collect()} == {"a": 2, "b": 1}
+
+
+def test_cells_that_do_not_fit_are_named(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("n,t,extra\n1,2025-01-01T00:00:00Z,x\nsoon,2025-01-01T00:00:00Z,y\nNA,,z\n")
+    contract = c.T.StructType([
+        c.T.StructField("n", c.T.IntegerType()), c.T.StructField("t", c.T.TimestampType(), False)])
+    found = files.read_csv_checked(spark, str(tmp_path / "a.csv"), contract)
+    assert [(r["extra"], r["n"], r["reasons"]) for r in found.orderBy("extra").collect()] == [
+        ("x", 1, []), ("y", None, ["type:n"]), ("z", None, ["missing:t"])]
+    assert found.where(F.endswith("file", F.lit("a.csv"))).count() == 3
+
+
+def test_job_refuses_a_quarter_with_a_hole(spark, tmp_path):
+    rows = [reading(reading_id=d, reading_timestamp=utc(f"2025-0{m}-{d:02d}T00:30:00"))
+            for m in (1, 2, 3) for d in range(1, 29) if m != 2]
+    tables.append_raw(spark.createDataFrame(rows, c.HRSS_TELEMETRY), f"{tmp_path}/raw/hrss_telemetry", "reading_timestamp", "0", [])
+    run = lambda share: jobs.quarterly(
+        spark, "2025-01-01", str(tmp_path), utc("2025-07-01T00:00:00"), topics=(c.TOPIC_HRSS,), min_covered=share)
+    jobs.HOLE_SECONDS, before = 2 * 86_400, jobs.HOLE_SECONDS
+    try:
+        assert run(0.5)
+        with pytest.raises(jobs.NotReady):  # February is missing
+            run(0.7)
+    finally:
+        jobs.HOLE_SECONDS = before
+
+
+def test_pseudonyms_of_other_salts_differ(spark):
+    from millwright.operators.privacy import pseudonym
+    row = spark.createDataFrame([("bc", "c")], "x string, y string")
+    assert row.select(pseudonym(F.col("x"), "a").alias("a"), pseudonym(F.col("y"), "ab").alias("b")).where("a = b").count() == 0
+
+
+def test_too_many_flags_are_refused(spark):
+    from millwright.operators.sampling import stratified_sample
+    flags = [f"f{k}" for k in range(5)]
+    rows = spark.range(3).selectExpr("id", *[f"true as {f}" for f in flags])
+    with pytest.raises(ValueError, match="5 flags"):
+        stratified_sample(rows, flags, "id", 10, 1)

@@ -1,4 +1,5 @@
 import json
+import re
 from datetime import timedelta
 
 import pytest
@@ -9,7 +10,7 @@ from millwright.operators.tumbling import tumbling_counts
 from millwright.plans import jobs
 from millwright.sources import messages, tables
 from millwright.streaming import ingest as ingest_module
-from millwright.streaming.live import latest, live_aggregate, throughput
+from millwright.streaming.live import current, fold, latest, live_aggregate, throughput
 from tests.conftest import utc
 
 
@@ -145,3 +146,27 @@ def test_dropped_late_rows_are_counted(spark, events, tmp_path):
                            f"{tmp_path}/checkpoint", ts="event_timestamp", late_by="1 hour")
     query.awaitTermination()
     assert sum(p["late_rows_dropped"] for p in throughput(query)) > 0
+
+
+def test_folded_updates_are_not_read_again(spark, events, tmp_path):
+    rows = [{"event_id": n, "asset_id": f"A{n % 3}", "waiting_time_min": n} for n in range(80)]
+    stream, batch = raw_stream(spark, events, tmp_path, rows)
+    path, key = f"{tmp_path}/updates", ["quarter_start", "asset_id"]
+    live_aggregate(stream, logistics_features, path, f"{tmp_path}/checkpoint").awaitTermination()
+    expected = sorted(map(tuple, logistics_features(batch).collect()))
+
+    def bounds():
+        """The partition filters of the updates' scan."""
+        frame = current(spark, path, key)
+        assert sorted(map(tuple, frame.select(*logistics_features(batch).columns).collect())) == expected
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        return [int(n) for n in re.findall(r"PartitionFilters: \[[^\]]*batch#\d+ > (\d+)\)", plan)]
+
+    assert bounds() == []
+    for upto in (1, 2, 3):
+        target = fold(spark, path, key, upto)
+        assert set(bounds()) == {upto}
+        assert spark.read.parquet(target).count() == 3
+    # a snapshot that isn't whole doesn't count
+    (tmp_path / "updates-folded" / "upto=9").mkdir()
+    assert set(bounds()) == {3}
