@@ -429,7 +429,10 @@ _GRAMS = T.StructType(
 
 
 def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buckets: int, hot_pieces: int, start_is_hot: bool) -> DataFrame:
-    """The grams of all tokens by bucket, and per block the figures of its documents (unigram sums, known tokens)."""
+    """The grams of all tokens by bucket, and per block the figures of its documents (unigram sums, known tokens).
+
+    In the bucket of a word that isn't hot, `v` only tells middle words apart; their numbers aren't needed again.
+    """
     out = arrow_schema(_GRAMS)
     n, v_types = words.tokens, int(words.types.sum())
 
@@ -437,11 +440,11 @@ def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buck
         """The buckets of grams by their middle word."""
         spread = block ^ (block >> 33)
         hot = (numbers >= FIRST) & (numbers < words.first_cold) | ((numbers == START) & start_is_hot)
-        hashed = (numbers.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(20)).astype(np.int64) % buckets
+        of = numbers.astype(np.int64) % buckets  # numbers go by frequency, so this deals evenly
         # an unknown word has no grams in training: its tokens need no company and stay spread
-        hashed[numbers == UNKNOWN] = spread % buckets
-        hashed[hot] = buckets + spread % max(1, hot_pieces)
-        return _narrow(hashed)
+        of[numbers == UNKNOWN] = spread % buckets
+        of[hot] = buckets + spread % max(1, hot_pieces)
+        return _narrow(of)
 
     def deal(left: pa.Table, right: pa.Table) -> pa.Table:
         block = left["block"][0].as_py()
@@ -474,7 +477,10 @@ def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buck
         cuts = _opens(bucket)
         for a, b in zip(cuts, np.append(cuts[1:], len(bucket))):
             kind = HOT_GRAMS if bucket[a] >= buckets else COLD_GRAMS
-            out_rows.append((int(bucket[a]), kind, _pack_sorted(v[a:b]), _pack(u[a:b]), _pack(w[a:b]), None, _pack(row[a:b])))
+            middle = v[a:b]
+            if kind == COLD_GRAMS:  # a bucket's middle words differ by multiples of the buckets; the unknown word stays apart
+                middle = np.where(middle == UNKNOWN, 0, middle // buckets + 1)
+            out_rows.append((int(bucket[a]), kind, _pack_sorted(middle), _pack(u[a:b]), _pack(w[a:b]), None, _pack(row[a:b])))
         del v, u, w, row, bucket
         give_back()
         return pa.Table.from_batches([arrow_batch(out_rows, out)])
