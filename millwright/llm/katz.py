@@ -171,10 +171,10 @@ def blocks(documents: DataFrame, trained: Column) -> DataFrame:
         # places go by frequency: small numbers pack well
         times = np.bincount(tokens, minlength=len(index))
         by_count = np.argsort(-times, kind="stable")
-        place = np.empty(len(index), np.int64)
+        place = np.empty(len(index), np.int32)
         place[by_count] = np.arange(len(index))
         words = np.array([xxhash.xxh64_intdigest(w) >> 1 for w in index], np.int64)
-        known = np.bincount(tokens[np.repeat(is_trained, lengths) == 1], minlength=len(index))
+        known = np.bincount(tokens[np.repeat(is_trained == 1, lengths)], minlength=len(index))
         order = np.argsort(words)
         name = docs[0][0]
         listed = [{"row": r, "doc_id": i, "trained": t} for r, i, t, _ in docs]
@@ -187,17 +187,22 @@ def blocks(documents: DataFrame, trained: Column) -> DataFrame:
     def run(batches):
         docs, places, index, held = [], [], _Index(), 0
         for batch in batches:
-            for row, doc_id, is_trained, text in zip(*[c.to_pylist() for c in batch.columns]):
+            for row, doc_id, is_trained, text in _each(batch):
                 found = (text or "").encode("utf-8", "surrogatepass").lower().split()  # ASCII only, as on bytes
                 found.append(END)
-                places.append(np.fromiter(map(index.__getitem__, found), np.int64, len(found)))
+                places.append(np.fromiter(map(index.__getitem__, found), np.int32, len(found)))
                 docs.append((row, doc_id, is_trained, len(found)))
                 held += len(found)
                 if held >= BLOCK:
-                    yield block(docs, places, index)
+                    whole = block(docs, places, index)
                     docs, places, index, held = [], [], _Index(), 0
+                    give_back()
+                    yield whole
         if docs:
-            yield block(docs, places, index)
+            whole = block(docs, places, index)
+            docs, places, index = [], [], _Index()
+            give_back()
+            yield whole
 
     numbered = documents.select(
         F.monotonically_increasing_id().alias("row"), "doc_id", F.coalesce(trained, F.lit(True)).alias("trained"), "text"
@@ -496,7 +501,11 @@ def _sorted_grams(table: pa.Table) -> pa.Table:
     v = _joined(table["v"].to_pylist(), _unpack_sorted)
     u, w, rows = (_joined(table[c].to_pylist()) for c in ("u", "w", "rows"))
     order = _order(v, u, w)
-    v, u, w, rows = v[order], u[order], w[order], rows[order]
+    # one after the other, so that each old array goes before the next new one
+    v = v[order]
+    u = u[order]
+    w = w[order]
+    rows = rows[order]
     opens = _opens(v, u, w)
     row = (
         table["bucket"][0].as_py(), table["kind"][0].as_py(), _pack_sorted(v[opens]), _pack(u[opens]), _pack(w[opens]),
@@ -520,9 +529,12 @@ class _Grams:
 
     @classmethod
     def of(cls, v: bytes, u: bytes, w: bytes, size: bytes, rows: bytes) -> _Grams:
-        size, rows = _unpack(size), _unpack(rows)
-        opens = np.cumsum(size) - size
-        return cls(*map(_narrow, (_unpack_sorted(v), _unpack(u), _unpack(w), _sums(rows & 1, opens), size)), rows >> 1)
+        narrow = lambda packed, unpack=_unpack: _narrow(unpack(packed))
+        size, rows = narrow(size), _unpack(rows)
+        opens = np.cumsum(size, dtype=np.int64) - size
+        count = _narrow(_sums((rows & 1).astype(np.int32), opens))
+        rows >>= 1
+        return cls(narrow(v, _unpack_sorted), narrow(u), narrow(w), count, size, rows)
 
     def chunks(self) -> Iterator[_Grams]:
         """Parts of about CHUNK grams; a middle word's grams stay together, and a part can be evaluated by itself."""
