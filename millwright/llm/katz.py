@@ -48,6 +48,8 @@ HOT = 1 << 22
 HEAD = 1 << 16
 #: Grams of a bucket that are evaluated at a time, if they are of several middle words.
 CHUNK = 1 << 16
+#: Grams of a stored row, likewise.
+STORED = 1 << 18
 #: Numbers of the unknown word and of what stands before a document; known words follow.
 UNKNOWN, START, FIRST = 0, 1, 2
 #: The end of a document; no word holds a line feed.
@@ -120,7 +122,7 @@ def _order(*keys: np.ndarray) -> np.ndarray:
     for key, width in zip(keys[1:], widths[1:]):
         one <<= width
         one |= key
-    return np.argsort(one)
+    return np.argsort(one, kind="stable")  # what is equal stays in order: documents, which then pack better
 
 
 def _sums(values: np.ndarray, opens: np.ndarray) -> np.ndarray:
@@ -495,8 +497,10 @@ def _dealt(known: DataFrame, numbered: DataFrame, words: Words, order: int, buck
 
 
 def _sorted_grams(table: pa.Table) -> pa.Table:
-    """One row per bucket: its different grams in order of (v, u, w), how often each occurs, and the documents."""
-    if table["kind"][0].as_py() == FIGURES:
+    """A bucket's different grams in order of (v, u, w), how often each occurs, and the documents; in rows of about STORED
+    grams, a hot piece in one row."""
+    kind = table["kind"][0].as_py()
+    if kind == FIGURES:
         return table
     v = _joined(table["v"].to_pylist(), _unpack_sorted)
     u, w, rows = (_joined(table[c].to_pylist()) for c in ("u", "w", "rows"))
@@ -507,13 +511,17 @@ def _sorted_grams(table: pa.Table) -> pa.Table:
     w = w[order]
     rows = rows[order]
     opens = _opens(v, u, w)
-    row = (
-        table["bucket"][0].as_py(), table["kind"][0].as_py(), _pack_sorted(v[opens]), _pack(u[opens]), _pack(w[opens]),
-        _pack(_sizes(opens, len(order))), _pack(rows),
-    )
-    del v, u, w, rows, order, opens
+    size = _sizes(opens, len(order))
+    del order
+    whole = _Grams(v[opens], u[opens], w[opens], size, size, rows)
+    del v, u, w, rows, opens
+    bucket, batches = table["bucket"][0].as_py(), []
+    for g in whole.chunks(STORED) if kind == COLD_GRAMS else [whole]:
+        row = (bucket, kind, _pack_sorted(g.v), _pack(g.u), _pack(g.w), _pack(g.size), _pack(g.rows))
+        batches.append(arrow_batch([row], table.schema))
+    del whole
     give_back()
-    return pa.Table.from_batches([arrow_batch([row], table.schema)])
+    return pa.Table.from_batches(batches)
 
 
 @dataclass
@@ -536,12 +544,12 @@ class _Grams:
         rows >>= 1
         return cls(narrow(v, _unpack_sorted), narrow(u), narrow(w), count, size, rows)
 
-    def chunks(self) -> Iterator[_Grams]:
-        """Parts of about CHUNK grams; a middle word's grams stay together, and a part can be evaluated by itself."""
+    def chunks(self, most: int) -> Iterator[_Grams]:
+        """Parts of about `most` grams; a middle word's grams stay together, and a part can be evaluated by itself."""
         begins = _opens(self.v)
         cuts = [0]
         for a, b in zip(begins, np.append(begins[1:], len(self.v))):
-            if b - cuts[-1] > CHUNK and a > cuts[-1]:
+            if b - cuts[-1] > most and a > cuts[-1]:
                 cuts.append(int(a))
         rows = np.concatenate([[0], np.cumsum(self.size, dtype=np.int64)])
         for a, b in zip(cuts, [*cuts[1:], len(self.v)]):
@@ -617,7 +625,7 @@ def _cold_logs(grams: DataFrame, words: Words, kept: list[np.ndarray]) -> DataFr
     def run(batches):
         for batch in batches:
             for stored in _each(batch):
-                for chunk in _Grams.of(*stored).chunks():
+                for chunk in _Grams.of(*stored).chunks(CHUNK):
                     rows, logs = evaluated(chunk)
                     yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(logs)], names=["row", "log"])
                 give_back()
@@ -755,7 +763,7 @@ def score(documents: DataFrame, trained: Column, order: int = ORDER, hot: int =
     has_hot = bool(hot_classes.any()) or start_is_hot
     hot_tokens = int((words.count * words.types)[hot_classes].sum())
     dealt = _dealt(of_kind(TOKENS), numbered, words, order, buckets, 1 + hot_tokens // BUCKET, start_is_hot)
-    # a bucket is a row from here on
+    # a bucket is a few rows from here on
     grams = saved(dealt.groupBy("bucket").applyInArrow(_sorted_grams, _GRAMS), "katz-grams", group_bytes=8 << 20)
     delete(spark, path, [f"kind={TOKENS}"])
 

@@ -120,6 +120,7 @@ def test_katz(spark, monkeypatch, order):
     rows = made_up()
     monkeypatch.setattr(katz, "BUCKET", 5_000)  # several buckets and ranges
     monkeypatch.setattr(katz, "CHUNK", 100)
+    monkeypatch.setattr(katz, "STORED", 300)
     monkeypatch.setattr(katz, "HEAD", 50)  # most words are not among the frequent ones
     same(katz.score(frame(spark, rows), trained(), order), expected(rows, order))
 
@@ -154,12 +155,11 @@ def test_discounts():
         assert ((kept[1:-1] > 0) & (kept[1:-1] < 1) | (kept[1:-1] == 1)).all() and kept[1] < 1
 
 
-def test_chunks_keep_middle_words_together(monkeypatch):
-    monkeypatch.setattr(katz, "CHUNK", 4)
+def test_chunks_keep_middle_words_together():
     v = np.repeat([1, 2, 3, 4, 9], [3, 2, 9, 1, 1])
     size = np.arange(1, len(v) + 1)
     whole = katz._Grams(v, v, v, v, size, np.arange(size.sum()))
-    parts = list(whole.chunks())
+    parts = list(whole.chunks(4))
     assert [p.v.tolist() for p in parts] == [[1] * 3, [2] * 2, [3] * 9, [4, 9]]
     assert np.concatenate([p.rows for p in parts]).tolist() == whole.rows.tolist()
     assert [len(p.rows) for p in parts] == [p.size.sum() for p in parts]
