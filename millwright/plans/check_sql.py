@@ -12,8 +12,8 @@ from millwright.plans.fixtures import check_views
 _NEEDS = {"wire_rows": ("logistics_events",), "deliveries": ("hrss_telemetry",)}
 
 
-def _with(body: str, *views: str, also: dict[str, str] | None = None) -> str:
-    known = check_views()
+def _with(body: str, *views: str, also: dict[str, str] | None = None, parts: bool = False) -> str:
+    known = check_views(parts)
     order: list[str] = []
     for view in views:
         for name in (*_NEEDS.get(view, ()), view):
@@ -270,7 +270,7 @@ def oracle() -> dict[str, str]:
     )
     sql: dict[str, str] = {}
 
-    sql["logistics_features_quarterly"] = _with(LOGISTICS_FEATURES, "logistics_events")
+    sql["logistics_features_quarterly"] = _with(LOGISTICS_FEATURES, "logistics_events", parts=True)
     sql["hrss_features_quarterly"] = _with(HRSS_FEATURES, "hrss_telemetry")
     sql["live_features"] = sql["hrss_features_quarterly"]
     sql["overwritten_quarters"] = sql["hrss_features_quarterly"]

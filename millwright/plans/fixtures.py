@@ -1,7 +1,7 @@
 """Contract-shaped views over the benchmark tables.
 
 The tables the operators are written for come from a plant. For checks and benchmarks these views
-give ``lineitem`` and ``events`` the same columns, types and value ranges. A view body is
+give ``lineitem``, ``part`` and ``events`` the same columns, types and value ranges. A view body is
 one SELECT list, shared with the check SQL; only a few function names differ between the engines.
 """
 
@@ -19,7 +19,7 @@ _LOGISTICS = """
     concat('ASSET-', cast(l_suppkey as string)) as asset_id,
     cast(cast(l_suppkey*37 % 18000 as double)/100 - 90 as decimal(9,4)) as latitude,
     cast(cast(l_suppkey*91 % 36000 as double)/100 - 180 as decimal(9,4)) as longitude,
-    case when (l_orderkey + l_linenumber) % 200 = 0 then null else cast((l_partkey % 50 + 1)*10 as int) end
+    case when (l_orderkey + l_linenumber) % 200 = 0 then null else cast(STOCK as int) end
         as inventory_level,
     case when l_linestatus = 'F' then 'Delivered' when l_returnflag = 'N' then 'In Transit'
          else 'Delayed' end as shipment_status,
@@ -34,11 +34,23 @@ _LOGISTICS = """
     case when l_returnflag <> 'R' then null when l_linenumber % 3 = 0 then 'Weather'
          when l_linenumber % 3 = 1 then 'Traffic' else 'Mechanical' end as logistics_delay_reason,
     cast(l_quantity*2 as decimal(5,2)) as asset_utilization_pct,
-    cast(900 + l_partkey % 1100 as int) as demand_forecast,
+    cast(FORECAST as int) as demand_forecast,
     case when (l_orderkey + l_partkey) % 200 = 0 then null else l_returnflag = 'R' end
         as logistics_delay
 """
 
+#: What an event's stock and forecast are made from: its part, or the part's key alone.
+_OF_PART = {"STOCK": "p_size*10", "FORECAST": "floor(p_retailprice)"}
+_OF_KEY = {"STOCK": "(l_partkey % 50 + 1)*10", "FORECAST": "900 + l_partkey % 1100"}
+
+
+def _logistics(parts: bool) -> str:
+    body = _LOGISTICS
+    for name, value in (_OF_PART if parts else _OF_KEY).items():
+        body = body.replace(name, value)
+    return body
+
+
 _AXIS = """
     cast(floor(value*{mm}) as int) % 997 as {axis}_position_mm,
     cast(floor(value*{w}) as int) % {cap} as {axis}_power_w,
@@ -133,9 +145,13 @@ def logistics_events(
     columns: list[str] | None = None,
     start: str | None = None,
     end: str | None = None,
+    parts: bool = False,
 ) -> DataFrame:
     """All columns, or those named.
 
+    With ``parts`` stock and forecast come from the event's part. The join is an outer one: an event exists whether or
+    not its part is known.
+
     ``start`` and ``end`` (dates) bound the scan where the caller filters on event time: an event
     falls on its ship date, so the bounds reach the file's statistics.
     """
@@ -144,7 +160,11 @@ def logistics_events(
         lineitem = lineitem.where(F.col("l_shipdate") >= F.lit(start).cast("timestamp"))
     if end:
         lineitem = lineitem.where(F.col("l_shipdate") <= F.lit(end).cast("timestamp"))
-    view = _select(spark, _LOGISTICS, lineitem, "source")
+    if parts:
+        part = _table(spark, sf_dir, "part").select("p_partkey", "p_size", "p_retailprice")
+        # No hint: the size of ``part`` decides the strategy.
+        lineitem = lineitem.join(part, F.col("l_partkey") == F.col("p_partkey"), "left")
+    view = _select(spark, _logistics(parts), lineitem, "source")
     return view.select(*columns) if columns else view
 
 
@@ -170,12 +190,12 @@ def log_lines(spark: SparkSession, sf_dir: str, *also: str) -> DataFrame:
     return _select(spark, body, _table(spark, sf_dir, "events"), "source")
 
 
-def wire_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wire_rows(spark: SparkSession, sf_dir: str, parts: bool = False) -> DataFrame:
     body = _WIRE.replace(
         "strftime_iso(event_timestamp)",
         "date_format(event_timestamp, \"yyyy-MM-dd'T'HH:mm:ss'Z'\")",
     )
-    return _select(spark, body, logistics_events(spark, sf_dir), "source")
+    return _select(spark, body, logistics_events(spark, sf_dir, parts=parts), "source")
 
 
 def deliveries(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -205,9 +225,11 @@ def _duck(columns: str) -> str:
     )
 
 
-def check_views() -> dict[str, str]:
+def check_views(parts: bool = False) -> dict[str, str]:
     """The same views as named subqueries for the check SQL."""
-    logistics = f"select {_duck(_LOGISTICS)} from lineitem"
+    logistics = f"select {_duck(_logistics(parts))} from lineitem"
+    if parts:
+        logistics += " left join part on l_partkey = p_partkey"
     return {
         "logistics_events": logistics,
         "hrss_telemetry": f"select {_duck(_HRSS)} from events",

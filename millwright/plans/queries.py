@@ -95,7 +95,7 @@ def registry() -> dict[str, Query]:
 
 @query
 def logistics_features_quarterly(spark, sf_dir):
-    return features.logistics_features(fx.logistics_events(spark, sf_dir))
+    return features.logistics_features(fx.logistics_events(spark, sf_dir, parts=True))
 
 
 @query
