@@ -350,7 +350,7 @@ def oracle() -> dict[str, str]:
     sql["project_logistics"] = _with(
         "select event_id, " + ", ".join(
             n for n in q.LOGISTICS_COLUMNS if n != "event_timestamp"
-        ) + " from logistics_events", "logistics_events",
+        ) + " from logistics_events", "logistics_events", parts=True,
     )
     sql["project_hrss"] = _with(
         "select reading_id, " + ", ".join(

@@ -152,7 +152,7 @@ def quarter_over_quarter(spark, sf_dir):
 
 @query
 def project_logistics(spark, sf_dir):
-    events = fx.logistics_events(spark, sf_dir)
+    events = fx.logistics_events(spark, sf_dir, parts=True)
     back = {new: old for old, new in c.LOGISTICS_SOURCE_NAMES.items()}
     source = events.withColumnsRenamed({**back, "event_timestamp": "Timestamp"})
     return project.project_logistics(source)

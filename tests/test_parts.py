@@ -16,6 +16,7 @@ from tests.compare import connect, differences
 DAYS = (datetime(2001, 3, 5), datetime(1998, 5, 6))
 QUERIES = [
     "logistics_features_quarterly",
+    "project_logistics",
 ]
 
 
