@@ -357,7 +357,7 @@ def oracle() -> dict[str, str]:
             n for n in q.HRSS_COLUMNS if n != "reading_timestamp"
         ) + " from hrss_telemetry", "hrss_telemetry",
     )
-    sql["typed_events"] = _with(_TYPED, "wire_rows")
+    sql["typed_events"] = _with(_TYPED, "wire_rows", parts=True)
     sql["iso_timestamps"] = _with(
         """select event_id, strftime(event_timestamp, '%Y-%m-%dT%H:%M:%SZ') as iso,
         date_trunc('second', event_timestamp) as parsed from logistics_events""",

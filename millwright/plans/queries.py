@@ -167,7 +167,7 @@ def project_hrss(spark, sf_dir):
 
 @query
 def typed_events(spark, sf_dir):
-    return project.to_contract(fx.wire_rows(spark, sf_dir), c.LOGISTICS_EVENTS)
+    return project.to_contract(fx.wire_rows(spark, sf_dir, parts=True), c.LOGISTICS_EVENTS)
 
 
 @query

@@ -17,6 +17,7 @@ DAYS = (datetime(2001, 3, 5), datetime(1998, 5, 6))
 QUERIES = [
     "logistics_features_quarterly",
     "project_logistics",
+    "typed_events",
 ]
 
 
