@@ -366,7 +366,7 @@ def oracle() -> dict[str, str]:
     sql["window_filter"] = _with(
         f"""select * from logistics_events where event_timestamp between
         timestamp '{q.WINDOW_END}' - interval {q.WINDOW_DAYS} days and timestamp '{q.WINDOW_END}'""",
-        "logistics_events",
+        "logistics_events", parts=True,
     )
     sql["quarter_filter"] = _with(
         f"""select * from logistics_events where event_timestamp >= date '{q.QUARTER}'

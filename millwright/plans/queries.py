@@ -183,7 +183,7 @@ def window_filter(spark, sf_dir):
     end = F.lit(WINDOW_END).cast("timestamp")
     start = end - F.make_dt_interval(F.lit(WINDOW_DAYS))
     first_day = (date.fromisoformat(WINDOW_END) - timedelta(days=WINDOW_DAYS)).isoformat()
-    events = fx.logistics_events(spark, sf_dir, start=first_day, end=WINDOW_END)
+    events = fx.logistics_events(spark, sf_dir, start=first_day, end=WINDOW_END, parts=True)
     return project.time_window(events, "event_timestamp", start, end)
 
 

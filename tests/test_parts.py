@@ -18,6 +18,7 @@ QUERIES = [
     "logistics_features_quarterly",
     "project_logistics",
     "typed_events",
+    "window_filter",
 ]
 
 
