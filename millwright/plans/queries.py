@@ -189,7 +189,7 @@ def window_filter(spark, sf_dir):
 
 @query
 def quarter_filter(spark, sf_dir):
-    events = fx.logistics_events(spark, sf_dir, start=QUARTER, end=QUARTER_LAST_DAY)
+    events = fx.logistics_events(spark, sf_dir, start=QUARTER, end=QUARTER_LAST_DAY, parts=True)
     return project.in_quarter(events, "event_timestamp", QUARTER)
 
 

@@ -19,6 +19,7 @@ QUERIES = [
     "project_logistics",
     "typed_events",
     "window_filter",
+    "quarter_filter",
 ]
 
 
