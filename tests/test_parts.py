@@ -20,6 +20,7 @@ QUERIES = [
     "typed_events",
     "window_filter",
     "quarter_filter",
+    "clip_values",
 ]
 
 
