@@ -216,7 +216,7 @@ def rint_values(spark, sf_dir):
 
 @query
 def to_json_rows(spark, sf_dir):
-    return as_messages(fx.logistics_events(spark, sf_dir), c.LOGISTICS_EVENTS)
+    return as_messages(fx.logistics_events(spark, sf_dir, parts=True), c.LOGISTICS_EVENTS)
 
 
 @query

@@ -21,6 +21,7 @@ QUERIES = [
     "window_filter",
     "quarter_filter",
     "clip_values",
+    "to_json_rows",
 ]
 
 
