@@ -81,23 +81,34 @@ def refresh(
     """
     found = look(spark, raw, path, additive)
     if found.lacking:
-        rows = sourced(spark, raw, contract, list(found.lacking))
-        by = ["event_month", "batch", "source"]
+        names = _names(spark, list(found.lacking))
+        rows = sourced(spark, raw, contract, list(found.lacking)).drop("event_month", "batch", "source")
+        # what is moved carries the folder's number, not its names
+        parts = compute(rows, ["folder"]).repartition("folder").join(F.broadcast(names), "folder").drop("folder", "_month")
         (
-            compute(rows, by).repartition(*by)
-            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
+            parts.withColumnRenamed("_batch", "batch")
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            .partitionBy("event_month", "batch", "source").parquet(path)
         )
     layout.delete(spark, path, [place(p) for p in found.stale])
     return found
 
 
+def _names(spark: SparkSession, chosen: list[Unit]) -> DataFrame:
+    """One row per folder: its number, month as text and as a date, batch and digest."""
+    return spark.createDataFrame(
+        [(k, u.month, u.batch, u.source) for k, u in enumerate(chosen)], "folder int, _month string, _batch string, source string"
+    ).withColumn("event_month", F.when(F.col("_month") != layout.NO_MONTH, F.col("_month")).cast("date"))
+
+
 def sourced(spark: SparkSession, raw: str, contract: T.StructType, chosen: list[Unit]) -> DataFrame:
-    """The rows of the folders with month, batch and the folder's digest."""
-    names = spark.createDataFrame([(u.month, u.batch, u.source) for u in chosen], "_month string, _batch string, source string")
+    """The rows of the folders with month, batch, the folder's digest and its number among those chosen."""
+    names = _names(spark, chosen).drop("event_month")
     rows = layout.read_units(spark, raw, contract, chosen)
     month = F.coalesce(F.col("event_month").cast("string"), F.lit(layout.NO_MONTH))
-    # one row per folder; its size decides how it is joined
-    return rows.join(names, (month == F.col("_month")) & (F.col("batch") == F.col("_batch"))).drop("_month", "_batch")
+    # named as small: without it both sides would be shuffled before their sizes are known
+    same = (month == F.col("_month")) & (F.col("batch") == F.col("_batch"))
+    return rows.join(F.broadcast(names), same).drop("_month", "_batch")
 
 
 def read(spark: SparkSession, path: str, schema: T.StructType, parts: tuple[Part, ...] | list[Part]) -> DataFrame:

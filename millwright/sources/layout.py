@@ -17,7 +17,9 @@ import json
 import time
 import uuid
 from collections import defaultdict
+from contextlib import contextmanager
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
@@ -27,6 +29,8 @@ MADE = "swap-"
 NO_MONTH = "__HIVE_DEFAULT_PARTITION__"
 #: Size that a file should have.
 TARGET_BYTES = 256 << 20
+#: New folders that one write of a compaction makes.
+ROUND = 100
 PARTITIONS = [T.StructField("event_month", T.DateType()), T.StructField("batch", T.StringType())]
 
 
@@ -144,30 +148,37 @@ def event_time(contract: T.StructType) -> str:
     return next(f.name for f in contract.fields if isinstance(f.dataType, T.TimestampType))
 
 
+@contextmanager
+def _one_after_the_other(spark: SparkSession):
+    """A union keeps its sides' partitions. Since Spark 4.1 it would otherwise merge sides of one partition each into one."""
+    name = "spark.sql.unionOutputPartitioning"
+    before = spark.conf.get(name, None)
+    spark.conf.set(name, "false")
+    try:
+        yield
+    finally:
+        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
+
+
 def replace(
-    spark: SparkSession, path: str, contract: T.StructType, kind: str, rows: DataFrame, sources: dict[str, list[Unit]],
-    sort_by: list[str], pieces: dict[str, int] | None = None, expected: int | None = None,
+    spark: SparkSession, path: str, contract: T.StructType, kind: str, rows: DataFrame | list[DataFrame],
+    sources: dict[str, list[Unit]], sort_by: list[str], expected: int | None = None,
 ) -> list[Unit]:
     """Put ``rows`` in the place of folders. ``sources`` names the folders that each new folder (a key) replaces; the rows
     carry the new folder's name in ``batch`` and their month. A new folder without rows doesn't come to be, and its
-    sources go. ``pieces`` is the number of files that a new folder should have (1 if not given).
+    sources go. A new folder gets one file; rows in several frames are written frame by frame as they lie in partitions.
 
     Returns the new folders. Nothing counts before the last step. That step fails, and the table stays as it is, where the
     new folders hold another number of rows than ``expected`` or where someone else replaced a folder meanwhile.
     """
-    name_of = {folder: folder.split("/batch=")[1] for folder in sources}
-    wanted = {name_of[f]: (pieces or {}).get(f, 1) for f in sources}
+    wanted = {folder.split("/batch=")[1] for folder in sources}
     day = F.to_date(event_time(contract))
-    piece = F.lit(0)
-    if large := {b: n for b, n in wanted.items() if n > 1}:
-        # days stay together, so that a file covers few of them
-        of = F.create_map(*[F.lit(x) for b, n in large.items() for x in (b, n)])
-        piece = F.pmod(F.xxhash64(day), F.coalesce(of[F.col("batch")], F.lit(1)))
-    (
-        rows.repartition(sum(wanted.values()), "event_month", "batch", piece)
-        .sortWithinPartitions("event_month", "batch", day, *(sort_by or [event_time(contract)]))
-        .write.mode("append").partitionBy("event_month", "batch").parquet(path)
-    )
+    with _one_after_the_other(spark):
+        for part in rows if isinstance(rows, list) else [rows.repartition(len(wanted), "event_month", "batch")]:
+            (
+                part.sortWithinPartitions("event_month", "batch", day, *(sort_by or [event_time(contract)]))
+                .write.mode("append").partitionBy("event_month", "batch").parquet(path)
+            )
     made = [u for u in units(spark, path) if u.batch in wanted]
     if expected is not None and (found := read_units(spark, path, contract, made).count()) != expected:
         raise RuntimeError(f"{found} rows written in the place of {expected}")
@@ -276,22 +287,36 @@ def compact(
         sources = {f"event_month={held[0].month}/batch={new_name()}": held for held in todo}
         rows = read_units(spark, path, contract, sorted(old))
         made = replace(
-            spark, path, contract, "compact", _moved(spark, rows, sources), sources, sort_by or [],
-            {f: file_count(held, target) for f, held in sources.items()}, rows.count(),
+            spark, path, contract, "compact", _merged(rows, contract, sources, target), sources, sort_by or [], rows.count(),
         )
     after = [u for u in now if u not in old] + made
     return Compaction(sum(u.files for u in now), sum(u.files for u in after), len(now), len(after))
 
 
+def _merged(rows: DataFrame, contract: T.StructType, sources: dict[str, list[Unit]], target: int) -> list[DataFrame]:
+    """The rows with the name of their new folder in ``batch``, ROUND folders a frame. Old folders that make one file are
+    read by one task, so that their rows aren't shuffled."""
+    day = F.to_date(event_time(contract))
+    found = []
+    for folder, held in sources.items():
+        month = None if held[0].month == NO_MONTH else held[0].month
+        own = F.col("event_month").eqNullSafe(F.lit(month).cast("date")) & F.col("batch").isin([u.batch for u in held])
+        part = rows.where(own).withColumn("batch", F.lit(folder.split("/batch=")[1]))
+        files = file_count(held, target)
+        # days stay together, so that a file covers few of them
+        found.append(part.coalesce(1) if files == 1 else part.repartition(files, day))
+    return [reduce(DataFrame.unionByName, found[k: k + ROUND]) for k in range(0, len(found), ROUND)]
+
+
 def _moved(spark: SparkSession, rows: DataFrame, sources: dict[str, list[Unit]]) -> DataFrame:
     """The rows with the name of their new folder in ``batch``."""
     names = spark.createDataFrame(
         [(u.month, u.batch, folder.split("/batch=")[1]) for folder, held in sources.items() for u in held],
         "old_month string, old_batch string, new_batch string",
-    )  # one row per folder; its size decides how it is joined
+    )  # one row per folder
     month = F.coalesce(F.col("event_month").cast("string"), F.lit(NO_MONTH))
     return (
-        rows.join(names, (month == F.col("old_month")) & (F.col("batch") == F.col("old_batch")))
+        rows.join(F.broadcast(names), (month == F.col("old_month")) & (F.col("batch") == F.col("old_batch")))
         .withColumn("batch", F.col("new_batch")).drop("old_month", "old_batch", "new_batch")
     )
 

@@ -1,9 +1,22 @@
 """What raw rows cost on their way: packed messages, merging and partial sums without a shuffle of rows, traces that move few rows."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from millwright import contracts as c
+from millwright.sources import derived, layout, tables
 from millwright.sources.messages import as_messages, batch_files, publish_files
+from tests.conftest import utc
+from tests.test_plans import plan_of
+
+
+@pytest.fixture
+def no_broadcast(spark):
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    yield
+    spark.conf.set(name, before)
 
 
 def test_published_files_are_packed(spark, events, tmp_path):
@@ -15,3 +28,41 @@ def test_published_files_are_packed(spark, events, tmp_path):
     assert on_disk * 3 < messages.agg(F.sum(F.length("value"))).head()[0]
     found = batch_files(spark, path, c.TOPIC_LOGISTICS).select("value")
     assert found.exceptAll(messages).count() == 0 and found.count() == 2000
+
+
+def _in_batches(events, path, batches=3):
+    for k in range(batches):
+        rows = events([
+            {"event_id": 100 * k + m, "asset_id": f"A{m % 2}", "event_timestamp": utc(f"2025-0{max(m, 1)}-1{k}T00:00:00")}
+            for m in range(4)
+        ]).withColumn("event_timestamp", F.expr("if(event_id % 100 = 0, null, event_timestamp)"))
+        tables.append_raw(rows, path, "event_timestamp", f"{k:012d}", ["asset_id"])
+
+
+def test_folders_of_one_file_are_merged_without_a_shuffle(spark, events, tmp_path):
+    path = str(tmp_path / "raw")
+    _in_batches(events, path)
+    before = tables.read_raw(spark, path, c.LOGISTICS_EVENTS).select(*c.LOGISTICS_EVENTS.names)
+    before = before.orderBy("event_id").collect()
+    held = layout.bins(layout.live(spark, path))
+    sources = {f"event_month={h[0].month}/batch={layout.new_name()}": h for h in held}
+    rows = layout.read_units(spark, path, c.LOGISTICS_EVENTS, [u for h in held for u in h])
+    frames = layout._merged(rows, c.LOGISTICS_EVENTS, sources, layout.TARGET_BYTES)
+    assert len(held) == 4 and [("Exchange" in plan_of(f)) for f in frames] == [False]
+    with layout._one_after_the_other(spark):
+        assert frames[0].rdd.getNumPartitions() == 4
+    found = layout.compact(spark, path, c.LOGISTICS_EVENTS, ["asset_id"])
+    assert (found.folders_before, found.folders_after, found.files_after) == (12, 4, 4)
+    after = tables.read_raw(spark, path, c.LOGISTICS_EVENTS).select(*c.LOGISTICS_EVENTS.names)
+    assert after.orderBy("event_id").collect() == before
+
+
+def test_rows_meet_their_folders_names_without_a_shuffle(spark, events, tmp_path, no_broadcast):
+    path = str(tmp_path / "raw")
+    _in_batches(events, path)
+    chosen = layout.live(spark, path)
+    rows = derived.sourced(spark, path, c.LOGISTICS_EVENTS, chosen)
+    assert "Exchange hashpartitioning" not in plan_of(rows)
+    assert {(str(r[0]), r[1], r[2]) for r in rows.select("event_month", "batch", "source").collect()} == {
+        (u.month.replace(layout.NO_MONTH, "None"), u.batch, u.source) for u in chosen
+    }
