@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millwright import contracts as c
+from millwright.operators import lineage
 from millwright.sources import derived, layout, tables
 from millwright.sources.messages import as_messages, batch_files, publish_files
 from tests.conftest import utc
@@ -66,3 +67,22 @@ def test_rows_meet_their_folders_names_without_a_shuffle(spark, events, tmp_path
     assert {(str(r[0]), r[1], r[2]) for r in rows.select("event_month", "batch", "source").collect()} == {
         (u.month.replace(layout.NO_MONTH, "None"), u.batch, u.source) for u in chosen
     }
+
+
+def test_trace_moves_few_rows_that_it_does_not_return(spark, events, tmp_path, no_broadcast):
+    path = str(tmp_path / "raw")
+    rows = [{"event_id": k, "asset_id": f"A{k}", "logistics_delay": k % 100 == 0} for k in range(5000)]
+    nameless = events(rows).withColumn("asset_id", F.expr("if(event_id = 0, null, asset_id)"))
+    tables.append_raw(nameless, path, "event_timestamp", "0", ["asset_id"])
+    raw = tables.read_raw(spark, path, c.LOGISTICS_EVENTS)
+    record = lineage.recorded(raw, c.TOPIC_LOGISTICS)
+    record.write.parquet(str(tmp_path / "record"))
+    record = spark.read.parquet(str(tmp_path / "record"))
+    late = record.where("delay_rate_rows > 0").select("quarter_start", "asset_id")
+    found = lineage.trace_recorded(spark, record, late, c.TOPIC_LOGISTICS, c.LOGISTICS_EVENTS)
+    assert sorted(r["event_id"] for r in found.collect()) == list(range(0, 5000, 100))
+    final = plan_of(found)
+    assert "BroadcastHashJoin" in final  # sorted out before the rows are moved
+    placed = raw.withColumn("quarter_start", F.lit("2025-01-01").cast("date"))
+    kept = {r["event_id"] for r in lineage._marked(placed, ["quarter_start", "asset_id"], late).collect()}
+    assert kept >= set(range(0, 5000, 100)) and len(kept) < 100
