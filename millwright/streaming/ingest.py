@@ -6,6 +6,7 @@ period, and a watermark on event time would drop most of it as late.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -71,14 +72,17 @@ def ingest(
         batch.sparkSession.conf.set("spark.sql.adaptive.enabled", "true")
         batch.sparkSession.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
         name = f"{number:012d}"
-        rows = checked(batch, contract).withColumn("place", F.monotonically_increasing_id()).persist()
-        kept = [rows]
+        rows = checked(batch, contract).withColumn("place", F.monotonically_increasing_id())
+        if not history:  # which alone asks for the payload of an accepted message
+            rows = rows.withColumn("value", F.when(F.size("reasons") > 0, F.col("value")))
+        # Kept on disk: a batch can be a whole backfill, of which memory would hold a small part only and be full of it.
+        kept = [rows := rows.persist(StorageLevel.DISK_ONLY)]
         try:
             fresh = accepted(rows)
             if history:
                 spark = batch.sparkSession
-                fresh = first_deliveries(spark, fresh, ts, history, name, [*POSITION, "place"]).persist()
-                kept.append(fresh)
+                fresh = first_deliveries(spark, fresh, ts, history, name, [*POSITION, "place"]).drop("value")
+                kept.append(fresh := fresh.persist(StorageLevel.DISK_ONLY))
                 remember(spark, fresh, ts, history, name)
             good = with_defaults(fresh, row_id, [*POSITION, F.lit(number), "place"], F.current_timestamp())
             append_raw(good.select(*columns), raw_path, ts, name, sort_by)

@@ -1,4 +1,7 @@
-"""What raw rows cost on their way: packed messages, merging and partial sums without a shuffle of rows, traces that move few rows."""
+"""What raw rows cost on their way: packed messages, batches kept off the heap, merging and partial sums without a shuffle of
+rows, traces that move few rows."""
+
+import json
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,8 +10,10 @@ from millwright import contracts as c
 from millwright.operators import lineage
 from millwright.sources import derived, layout, tables
 from millwright.sources.messages import as_messages, batch_files, publish_files
+from millwright.streaming import ingest as ingest_module
 from tests.conftest import utc
 from tests.test_plans import plan_of
+from tests.test_streaming import drop, flush, message, stored
 
 
 @pytest.fixture
@@ -86,3 +91,27 @@ def test_trace_moves_few_rows_that_it_does_not_return(spark, events, tmp_path, n
     placed = raw.withColumn("quarter_start", F.lit("2025-01-01").cast("date"))
     kept = {r["event_id"] for r in lineage._marked(placed, ["quarter_start", "asset_id"], late).collect()}
     assert kept >= set(range(0, 5000, 100)) and len(kept) < 100
+
+
+@pytest.mark.parametrize("repeats_ever", [False, True])
+def test_a_batch_takes_no_memory_for_caching(spark, tmp_path, monkeypatch, repeats_ever):
+    cached = lambda: {i.id(): (i.memSize(), i.diskSize()) for i in spark.sparkContext._jsc.sc().getRDDStorageInfo()}
+    seen, payloads, before, quarantined = [], [], set(cached()), ingest_module.quarantined
+
+    def looks(rows):
+        of = rows.select((F.size("reasons") == 0).alias("good"), F.col("value").isNotNull().alias("held")).distinct()
+        payloads.extend(sorted(map(tuple, of.collect())))
+        level = (rows.storageLevel.useMemory, rows.storageLevel.useDisk)
+        seen.append((level, [sizes for k, sizes in cached().items() if k not in before and sizes[1]]))
+        return quarantined(rows)
+
+    monkeypatch.setattr(ingest_module, "quarantined", looks)
+    long = message(0, asset_id="x" * 60)
+    drop(tmp_path / "landing", "a.json", [*map(message, range(1, 300)), long])
+    flush(spark, tmp_path, repeats_ever=repeats_ever)
+    (level, blocks), = seen
+    assert level == (False, True) and len(blocks) == 1 + repeats_ever and all(memory == 0 for memory, _ in blocks)
+    assert payloads == [(False, True), (True, repeats_ever)], "only a history asks for the payload of an accepted message"
+    assert sorted(r["waiting_time_min"] for r in stored(spark, tmp_path).collect()) == list(range(1, 300))
+    waiting = spark.read.parquet(f"{tmp_path}/quarantine/{c.TOPIC_LOGISTICS}").select("value", "reasons").collect()
+    assert [(json.loads(r["value"]), r["reasons"]) for r in waiting] == [(long, ["length:asset_id"])]
